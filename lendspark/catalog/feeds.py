@@ -6,6 +6,8 @@ strangers, misspelt names, ambiguous birth dates, stale reports.
 
 from __future__ import annotations
 
+import re
+import zlib
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -171,11 +173,21 @@ class Feeds:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.tables = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}
+        tag = zlib.crc32(f"{spark.sparkContext.applicationId}{sf_dir}".encode())
+        self.tables = {t: f"given_{t}_{tag}" for t in TABLES}
+        for table, view in self.tables.items():
+            if not spark.catalog.tableExists(view):
+                spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(view)
 
     def query(self, sql: str) -> DataFrame:
-        """A query over the feeds and the given tables (in braces)."""
-        ctes = ", ".join(f"{name} AS ({text})" for name, text in FEEDS.items())
+        """A query over the feeds, with only the feeds it needs written out before it."""
+        needed: list[str] = []
+        text = sql
+        for name in reversed(FEEDS):
+            if re.search(rf"\b{name}\b", text):
+                needed.insert(0, name)
+                text += FEEDS[name]
+        ctes = ", ".join(f"{name} AS ({FEEDS[name]})" for name in needed)
         return self.spark.sql(f"WITH {ctes} {sql}".format(**self.tables))
 
     def feed(self, name: str) -> DataFrame:

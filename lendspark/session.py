@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +51,20 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Not needed where it is installed on every node; the archive travels with the application's files.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_lendspark_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="lendspark-")) / "lendspark.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for source in sorted(root.rglob("*.py")):
+            bundle.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._lendspark_shipped = True
