@@ -26,16 +26,13 @@ def decide(
     """
     seed = F.concat_ws(":", F.lit(run_id), "emirates_id", "product")
     answer = evaluate_current(F.col("product"), F.col, packs)
-    return (
-        vectors.withColumn("_answer", answer)
-        .withColumn("decision_id", F.concat(F.lit("dcn_"), F.substring(F.sha2(seed, 256), 1, 26)))
-        .withColumn("decision_ts", F.lit(decided_at).cast("timestamp"))
-        .withColumn("outcome", F.col("_answer.outcome"))
-        .withColumn("reason_codes", F.col("_answer.reason_codes"))
-        .withColumn("engine_version", F.lit(DECISION_ENGINE_VERSION))
-        .withColumn("rule_pack_version", F.col("_answer.rule_pack_version"))
-        .drop("_answer")
-    )
+    return vectors.select(
+        "*",
+        F.concat(F.lit("dcn_"), F.substring(F.sha2(seed, 256), 1, 26)).alias("decision_id"),
+        F.lit(decided_at).cast("timestamp").alias("decision_ts"),
+        F.lit(DECISION_ENGINE_VERSION).alias("engine_version"),
+        answer.alias("_answer"),
+    ).select("*", "_answer.outcome", "_answer.reason_codes", "_answer.rule_pack_version").drop("_answer")
 
 
 def fact_decision(decided: DataFrame) -> DataFrame:

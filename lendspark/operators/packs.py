@@ -1,8 +1,7 @@
 """Decision rule packs as Catalyst expressions: no Python runs per row.
 
-A pack is an ordered list of gates. The first gate that is not clear decides: a list gate gathers
-every reason that applies, a single gate gives its one reason. If all are clear, the answer is
-APPROVE. Packs read no personal fields, so they decide alike on tokenised vectors.
+A pack is an ordered list of gates. The first closed gate decides: a gate over several signals gives
+every reason that applies, a single one its own reason. If none is closed, the answer is APPROVE. Packs read no personal fields, so they decide alike on tokenised vectors.
 """
 
 from __future__ import annotations
@@ -10,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,53 +18,73 @@ from pyspark.sql import functions as F
 from lendspark.config import BNPL, CREDIT_CARD_ALT, PERSONAL_FINANCE
 
 Field = Callable[[str], Column]
-Gate = tuple[str, Column]  # outcome, reasons (empty array: clear)
 
 
-def _reasons(*conditions: tuple[Column, str]) -> Column:
-    """The texts whose condition is true, in the order given."""
-    texts = [F.when(F.coalesce(c, F.lit(False)), F.lit(text)) for c, text in conditions]
+def _holds(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
+
+
+def _listed(conditions: Iterable[tuple[Column, str]]) -> Column:
+    texts = [F.when(c, F.lit(text)) for c, text in conditions]
     return F.filter(F.array(*texts), lambda t: t.isNotNull())
 
 
-def hard_declines(v: Field) -> Column:
-    """Every reason that declines whatever the product."""
-    return _reasons(
+def _hard_signals(v: Field) -> list[tuple[Column, str]]:
+    return [
         (v("aml_status") == "HIT", "AML_HIT"),
         (v("fraud_decision") == "FAIL", "FRAUD_FAIL"),
         (v("payment_order_flag") & (v("num_bounced_cheques") >= 3), "MULTIPLE_BOUNCED_CHEQUES"),
         (v("num_open_court_cases") > 0, "OPEN_COURT_CASE"),
-    )
+    ]
 
 
-def refer_signals(v: Field) -> Column:
-    """Every reason for manual review that is common to the products."""
-    return _reasons(
+def _review_signals(v: Field) -> list[tuple[Column, str]]:
+    return [
         (~v("aecb_available"), "AECB_MISSING"),
         (~v("aml_available"), "AML_PENDING"),
         (v("aml_status") == "REVIEW", "AML_REVIEW"),
         (v("fraud_decision") == "REVIEW", "FRAUD_REVIEW"),
-    )
+    ]
+
+
+def hard_declines(v: Field) -> Column:
+    """Every reason that declines whatever the product."""
+    return _listed(_hard_signals(v))
+
+
+def refer_signals(v: Field) -> Column:
+    """Every reason for manual review that is common to the products."""
+    return _listed(_review_signals(v))
+
+
+class Gate(NamedTuple):
+    closed: Column
+    outcome: str
+    reasons: Column
+
+
+def _any(outcome: str, signals: list[tuple[Column, str]]) -> Gate:
+    """Closed if any signal holds; the reasons are all that hold. The list is built only then."""
+    closed = reduce(or_, [_holds(c) for c, _ in signals])
+    return Gate(closed, outcome, _listed(signals))
 
 
 def decline_if(condition: Column, reason: str) -> Gate:
-    return "DECLINE", _reasons((condition, reason))
+    return Gate(_holds(condition), "DECLINE", F.array(F.lit(reason)))
 
 
 def refer_if(condition: Column, reason: str) -> Gate:
-    return "REFER", _reasons((condition, reason))
+    return Gate(_holds(condition), "REFER", F.array(F.lit(reason)))
 
 
 def first_closed(gates: Iterable[Gate]) -> Column:
-    """struct(outcome, reason_codes) of the first gate that is not clear."""
+    """struct(outcome, reason_codes) of the first closed gate, or approval."""
 
     def answer(outcome: str, reasons: Column) -> Column:
         return F.struct(F.lit(outcome).alias("outcome"), reasons.alias("reason_codes"))
 
-    chain = answer("APPROVE", F.array(F.lit("ALL_CHECKS_PASSED")))
-    for outcome, reasons in reversed(list(gates)):
-        chain = F.when(F.size(reasons) > 0, answer(outcome, reasons)).otherwise(chain)
-    return chain
+    chain = reduce(lambda done, gate: done.when(gate.closed, answer(gate.outcome, gate.reasons)), gates, F)
+    return chain.otherwise(answer("APPROVE", F.array(F.lit("ALL_CHECKS_PASSED"))))
 
 
 @dataclass(frozen=True)
@@ -78,7 +99,7 @@ class RulePack:
 
 def _personal_finance(v: Field) -> list[Gate]:
     return [
-        ("DECLINE", hard_declines(v)),
+        _any("DECLINE", _hard_signals(v)),
         decline_if(v("had_overdue_before"), "INTERNAL_OVERDUE_HISTORY"),
         decline_if(v("credit_score").isNull() | (v("credit_score") < 650), "CREDIT_SCORE_BELOW_650"),
         decline_if(v("num_bounced_cheques") >= 1, "BOUNCED_CHEQUE_HISTORY"),
@@ -86,14 +107,14 @@ def _personal_finance(v: Field) -> list[Gate]:
         refer_if(v("kyc_age_days") < 60, "KYC_TOO_NEW"),
         refer_if(v("is_new_user"), "NEW_USER_ON_PLATFORM"),
         refer_if(v("fraud_score") > 400, "FRAUD_SCORE_ABOVE_400"),
-        ("REFER", refer_signals(v)),
+        _any("REFER", _review_signals(v)),
     ]
 
 
 def _bnpl(v: Field) -> list[Gate]:
     bureau = v("aecb_available")
     return [
-        ("DECLINE", hard_declines(v)),
+        _any("DECLINE", _hard_signals(v)),
         refer_if(~v("aml_available"), "AML_PENDING"),
         refer_if(v("aml_status") == "REVIEW", "AML_REVIEW"),
         refer_if(v("fraud_score") > 600, "FRAUD_SCORE_ABOVE_600"),
@@ -105,13 +126,13 @@ def _bnpl(v: Field) -> list[Gate]:
 
 def _credit_card_alt(v: Field) -> list[Gate]:
     return [
-        ("DECLINE", hard_declines(v)),
+        _any("DECLINE", _hard_signals(v)),
         refer_if(~v("aecb_available"), "AECB_MISSING"),
         decline_if(v("credit_score") < 600, "CREDIT_SCORE_BELOW_600"),
         decline_if(v("num_bounced_cheques") >= 2, "MULTIPLE_BOUNCED_CHEQUES"),
         refer_if(v("kyc_age_days") < 30, "KYC_TOO_NEW"),
         refer_if(v("fraud_score") > 500, "FRAUD_SCORE_ABOVE_500"),
-        ("REFER", refer_signals(v)),
+        _any("REFER", _review_signals(v)),
     ]
 
 

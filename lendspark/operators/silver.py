@@ -7,6 +7,8 @@ rejects with their reason. With `strict=True` the first reject fails the job ins
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -51,30 +53,34 @@ def _origin() -> list[Column]:
     ]
 
 
-def _problem(condition: Column, text: str) -> Column:
-    return F.when(~F.coalesce(condition, F.lit(False)), F.lit(text))
+Check = tuple[Column, str]  # what must hold, and the reason given where it does not
 
 
-def _present(*names: str) -> list[Column]:
-    return [_problem(F.col(n).isNotNull(), f"{n} missing") for n in names]
+def _present(*names: str) -> list[Check]:
+    return [(F.col(n).isNotNull(), f"{n} missing") for n in names]
 
 
-def _split(typed: DataFrame, source: str, problems: list[Column], strict: bool) -> Parsed:
-    """Separate the rows that satisfy every check; `typed` carries the delivered record as `item`."""
-    found = F.filter(F.array(*problems), lambda p: p.isNotNull())
-    checked = typed.withColumn("_problems", found)
-    ok = F.size("_problems") == 0
-    if strict:
-        message = F.concat(F.lit(f"{source} record rejected: "), F.array_join("_problems", "; "))
-        ok = F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-    rows = checked.where(ok).drop("item", "_problems")
-    rejects = checked.where(F.size("_problems") > 0).select(
+def _allowed(name: str, values: tuple[str, ...]) -> Check:
+    return F.coalesce(F.col(name).isin(*values), F.lit(False)), f"{name} not allowed"
+
+
+def _split(typed: DataFrame, source: str, checks: list[Check], strict: bool) -> Parsed:
+    """Separate the rows that satisfy every check; `typed` carries the delivered record as `item`.
+
+    Reasons are only put together for rows that fail.
+    """
+    ok = reduce(and_, [holds for holds, _ in checks])
+    reasons = F.concat_ws("; ", *[F.when(~holds, F.lit(reason)) for holds, reason in checks])
+    rejects = typed.where(~ok).select(
         F.lit(source).alias("source"),
-        F.array_join("_problems", "; ").alias("reason"),
+        reasons.alias("reason"),
         F.to_json("item", {"ignoreNullFields": "false"}).alias("raw"),
         "raw_path",
     )
-    return Parsed(rows, rejects)
+    if strict:
+        message = F.concat(F.lit(f"{source} record rejected: "), reasons)
+        ok = F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return Parsed(typed.where(ok).drop("item"), rejects)
 
 
 def json_items(bronze: DataFrame, item_schema: str) -> DataFrame:
@@ -121,7 +127,7 @@ def parse_fraud(items: DataFrame, strict: bool = False) -> Parsed:
         "position",
     )
     checks = _present("provider_ref", "phone", "email", "score", "model_version", "scored_at")
-    checks.append(_problem(F.col("decision").isin(*FRAUD_DECISIONS), "decision not allowed"))
+    checks.append(_allowed("decision", FRAUD_DECISIONS))
     return _split(typed, FRAUD, checks, strict)
 
 
@@ -142,7 +148,7 @@ def parse_aml(items: DataFrame, strict: bool = False) -> Parsed:
         "position",
     )
     checks = _present("callback_id", "full_name", "dob", "received_at")
-    checks.append(_problem(F.col("status").isin(*AML_STATUSES), "status not allowed"))
+    checks.append(_allowed("status", AML_STATUSES))
     return _split(typed, AML, checks, strict)
 
 
