@@ -226,7 +226,7 @@ WHERE NOT gone AND (coalesce(gap, false) OR (seq = 1 AND coalesce(touched_before
 
 
 def _with(query: str, extra: dict[str, str] | None = None) -> str:
-    names = {t: t for t in TABLES}
+    names = {t: t for t in TABLES} | {"cores": "1"}
     feeds = [f"{name} AS ({text.format(**names)})" for name, text in FEEDS.items()]
     steps = [f"{name} AS ({text})" for name, text in (_STEPS | (extra or {})).items()]
     return f"WITH RECURSIVE {', '.join(feeds + steps)} {query}"

@@ -119,11 +119,11 @@ def _with_text(rows: DataFrame) -> DataFrame:
     """Canonical body text split at the pointer's value, and the digest of all but the pointer."""
     head = canonical_json({c: F.col(c) for c in _BEFORE})
     tail = canonical_json({c: F.col(c) for c in _AFTER})
-    return rows.withColumn(
-        "_head", F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(f',"{_PREV}":"'))
-    ).withColumn("_tail", F.concat(F.lit('",'), F.regexp_replace(tail, r"^\{", ""))).withColumn(
-        "_digest", F.sha2(F.concat("_head", "_tail"), 256)
-    )
+    return rows.select(
+        "*",
+        F.concat(F.left(head, F.length(head) - 1), F.lit(f',"{_PREV}":"')).alias("_head"),
+        F.concat(F.lit('",'), F.right(tail, F.length(tail) - 1)).alias("_tail"),
+    ).withColumn("_digest", F.sha2(F.concat("_head", "_tail"), 256))
 
 
 def _segment_digest() -> Column:

@@ -212,14 +212,17 @@ def parse_profile(
 
 
 def bureau_documents(bronze: DataFrame) -> DataFrame:
-    """Bureau documents parsed into a nested struct; malformed text keeps `_corrupt_record`."""
-    text = F.decode("content", "UTF-8")
+    """Bureau documents parsed into a nested struct; malformed text keeps `_corrupt_record`.
+
+    The one-element explode keeps the optimizer from copying the XML parse into every filter that
+    looks at its result: each document is parsed once.
+    """
+    document = F.from_xml(F.decode("content", "UTF-8"), schemas.BUREAU_DOCUMENT, _XML_OPTIONS)
     return bronze.select(
-        "source_event_id", "raw_path", "ingest_run_id", F.from_xml(text, schemas.BUREAU_DOCUMENT, _XML_OPTIONS).alias("doc")
+        "source_event_id", "raw_path", "ingest_run_id", F.explode(F.array(document)).alias("doc")
     )
 
 
-
 def parse_bureau(bronze: DataFrame, as_of: datetime) -> Parsed:
     """Bureau reports flattened to one row each; documents without a report body are rejected."""
     documents = bureau_documents(bronze)

@@ -17,6 +17,8 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rows are widened after their shuffle (products, JSON, hashes), so small partitions still pay.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
