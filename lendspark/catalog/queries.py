@@ -251,7 +251,7 @@ def jaro_winkler(f: Feeds) -> DataFrame:
     def names(df: DataFrame) -> DataFrame:
         return df.select("dob", F.lower("full_name").alias("name")).distinct()
 
-    pairs = resolve.strong_name_pairs(names(f.feed("aml_feed")), names(f.feed("users")), small_block=0)
+    pairs = resolve.strong_name_pairs(names(f.feed("aml_feed")), names(f.feed("users")))
     return pairs.dropDuplicates(["dob", "name", "known_name"]).select(
         "dob", "name", "known_name", F.round("score", 6).alias("score")
     )

@@ -76,11 +76,15 @@ def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(DoubleType())
-def jaro_winkler_column(left: pd.Series, right: pd.Series) -> pd.Series:
-    """`jaro_winkler` as a column function over two non-null text columns."""
+def _jaro_winkler_udf(left: pd.Series, right: pd.Series) -> pd.Series:
     return jaro_winkler(left, right)
 
 
+# `jaro_winkler` as a column function over two non-null text columns. It is marked so that a filter on
+# the score is not pushed below the projection, where each pair would be scored a second time.
+jaro_winkler_column = _jaro_winkler_udf.asNondeterministic()
+
+
 def _needed_ratio(floor: float, prefix: int) -> float:
     """t in the module text: the least m/a + m/b for a pair with `prefix` equal leading characters."""
     boost = _PREFIX_WEIGHT * prefix

@@ -22,6 +22,7 @@ from lendspark.functions.similarity import (
 )
 from lendspark.functions.text import valid_eid
 from lendspark.operators.keyed import latest_per_key
+from lendspark.operators.skew import lookup
 from lendspark.session import cut
 
 EVENT_IDS = {
@@ -42,10 +43,6 @@ NOTE_FUZZY = "jaro-winkler=%.3f, backfilled emirates_id"
 NOTE_QUARANTINE = "no match in any tier"
 
 _MAY_INTRODUCE = (PROFILE, BUREAU)
-# A birth date with at most this many distinct profile names is compared name by name; a larger one
-# goes through blocking keys, so that its work does not grow with the square of its size.
-_SMALL_BLOCK = 200
-
 _INPUT_COLUMNS = ("emirates_id", "phone", "email", "full_name", "dob")
 
 
@@ -95,8 +92,7 @@ def match_emirates_id(records: DataFrame, profiles: DataFrame) -> DataFrame:
     looked_up = valid_eid(F.col("emirates_id")) & (F.col("source") != PROFILE)
     known = profiles.select(F.col("emirates_id")).where(valid_eid(F.col("emirates_id"))).distinct()
     hits = (
-        records.where(looked_up)
-        .join(known.withColumn("_known", F.lit(True)), "emirates_id", "left")
+        lookup(records.where(looked_up), known.withColumn("_known", F.lit(True)), ["emirates_id"], "left")
         .withColumn("_known", F.coalesce("_known", F.lit(False)))
     )
     others = records.where(~looked_up).withColumn("_known", valid_eid(F.col("emirates_id")))
@@ -117,7 +113,7 @@ def match_phone_email(records: DataFrame, profiles: DataFrame) -> DataFrame:
         "phone", "_mail", F.col("emirates_id").alias("_eid")
     )
     eligible = records.where(_filled("phone", "email")).withColumn("_mail", F.lower("email"))
-    return eligible.join(index, ["phone", "_mail"]).select(
+    return lookup(eligible, index, ["phone", "_mail"]).select(
         *records.columns, *_outcome(PHONE_EMAIL_EXACT, F.col("_eid"), F.lit(0.95), F.lit(NOTE_BACKFILLED))
     )
 
@@ -126,26 +122,26 @@ def _distinct_names(df: DataFrame) -> DataFrame:
     return df.where(_filled("full_name", "dob")).select("dob", F.lower("full_name").alias("name"))
 
 
-def strong_name_pairs(
-    wanted: DataFrame, known: DataFrame, floor: float = NAME_FUZZY_THRESHOLD, small_block: int = _SMALL_BLOCK
-) -> DataFrame:
+def _spread(names: DataFrame, *by: str) -> DataFrame:
+    """Names over all tasks: the rows are small, but each is about to become a hundred keys."""
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return names.repartition(parts, F.xxhash64(*by))
+
+
+def strong_name_pairs(wanted: DataFrame, known: DataFrame, floor: float = NAME_FUZZY_THRESHOLD) -> DataFrame:
     """Pairs of distinct (dob, name) with similarity of at least `floor`: all of them, perhaps twice.
 
     `wanted` and `known` hold distinct non-empty (dob, name); `known` may carry further columns.
+    Names meet through blocking keys, never by birth date alone: a date that holds a third of all
+    customers would otherwise pair every name with every other.
     """
-    sizes = known.groupBy("dob").agg(F.count(F.lit(1)).alias("_size"))
-    sizes = sizes.join(wanted.select("dob").distinct(), "dob", "left_semi")
-    left = wanted.join(sizes, "dob")
-    right = known.join(sizes, "dob").withColumnRenamed("name", "known_name")
-    carried = [c for c in known.columns if c not in ("dob", "name")]
-    pair = ["dob", "name", "known_name", *carried]
-    small = F.col("_size") <= small_block
-    within_small = left.where(small).drop("_size").join(right.where(small).drop("_size"), "dob").select(*pair)
-    probes = with_probe_keys(left.where(~small).drop("_size"), "dob", "name", floor)
-    index = with_index_keys(right.where(~small).drop("_size"), "dob", "known_name", floor)
-    by_key = probes.join(index, ["key", "dob"]).select(*pair)
+    index = with_index_keys(
+        _spread(known.withColumnRenamed("name", "known_name"), "dob", "known_name"), "dob", "known_name", floor
+    )
+    probes = with_probe_keys(_spread(wanted, "dob", "name"), "dob", "name", floor)
     return (
-        within_small.unionByName(by_key)
+        probes.join(index, ["key", "dob"])
+        .drop("key")
         .where(lengths_allow(F.col("name"), F.col("known_name"), floor))
         .withColumn("score", jaro_winkler_column("name", "known_name"))
         .where(F.col("score") >= floor)
@@ -176,7 +172,7 @@ def match_name_dob(records: DataFrame, profiles: DataFrame, floor: float = NAME_
         .select("dob", F.col("name").alias("_name"), F.col("lo.eid").alias("_eid"), F.col("lo.score").alias("_score"))
     )
     eligible = records.where(_filled("full_name", "dob")).withColumn("_name", F.lower("full_name"))
-    return eligible.join(single, ["dob", "_name"]).select(
+    return lookup(eligible, single, ["dob", "_name"]).select(
         *records.columns,
         *_outcome(
             NAME_DOB_FUZZY,
