@@ -401,6 +401,13 @@ ORACLES: dict[str, str] = {
     "dim_customer": _with(
         "SELECT emirates_id, full_name, emirate, strftime(kyc_verified_at, '%Y-%m-%d %H:%M:%S') AS kyc_verified_at FROM users"
     ),
+    "dim_product": _with(
+        "SELECT product_id, product_name, description, count(*) AS decisions FROM decided JOIN (VALUES"
+        " ('personal_finance', 'Personal Finance', 'Unsecured personal loan'),"
+        " ('bnpl', 'Buy Now Pay Later', 'Short-term point-of-sale credit'),"
+        " ('credit_card_alt', 'Credit Card Alternative', 'Revolving credit facility'))"
+        " AS d(product_id, product_name, description) ON product = product_id GROUP BY ALL"
+    ),
     "outcome_counts": _with("SELECT outcome, count(*) AS decisions FROM decided GROUP BY outcome"),
     "outcome_by_product": _with(
         "SELECT product, count(*) FILTER (outcome = 'APPROVE') AS APPROVE, count(*) FILTER (outcome = 'DECLINE') AS DECLINE,"

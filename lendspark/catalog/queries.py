@@ -133,8 +133,9 @@ def bronze_summary(f: Feeds) -> DataFrame:
 def bronze_idempotent(f: Feeds) -> DataFrame:
     store = scratch_path(f.spark, "bronze")
     batch = cut(f.batch())
-    bronze.append_new(batch, store)
-    return bronze.summary(bronze.append_new(batch, store))
+    day = AS_OF.date().isoformat()
+    bronze.append_new(batch, store, day)
+    return bronze.summary(bronze.append_new(batch, store, day))
 
 
 @query
@@ -442,6 +443,13 @@ def dim_customer(f: Feeds) -> DataFrame:
     return decisions.dim_customer(f.profile()).withColumn("kyc_verified_at", _stamp("kyc_verified_at"))
 
 
+@query
+def dim_product(f: Feeds) -> DataFrame:
+    """The product dimension, joined to the facts it describes."""
+    counts = _facts(f).groupBy(F.col("product").alias("product_id")).agg(F.count(F.lit(1)).alias("decisions"))
+    return decisions.dim_product(f.spark).join(counts, "product_id", "left")
+
+
 @query
 def outcome_counts(f: Feeds) -> DataFrame:
     return decisions.outcome_counts(_facts(f))

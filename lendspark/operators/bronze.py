@@ -40,26 +40,30 @@ def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
     return read_table(spark, bronze, schemas.BRONZE)
 
 
-def append_new(batch: DataFrame, bronze: str) -> DataFrame:
-    """Store the rows of `batch` that are not stored yet; landing the same files again adds nothing.
+def stored_on(spark: SparkSession, bronze: str, ingest_date: str) -> DataFrame:
+    """The rows landed on one day; only that day's partitions are read."""
+    return read_bronze(spark, bronze).where(F.col("ingest_date") == ingest_date)
 
-    The stored side is read for its identity columns only, and only in the batch's own partitions
-    when these prune; the content of stored files is never read.
+
+def append_new(batch: DataFrame, bronze: str, ingest_date: str) -> DataFrame:
+    """Store the rows of a day's `batch` that are not stored yet and return the day's stored rows.
+
+    Landing the same files again adds nothing. The first batch of a day goes straight to storage;
+    later ones are checked against the identity columns of that day, so stored content is never read.
     """
-    known = read_bronze(batch.sparkSession, bronze).select(*_IDENTITY)
-    fresh = batch.dropDuplicates(_IDENTITY).join(known, _IDENTITY, "left_anti")
+    known = stored_on(batch.sparkSession, bronze, ingest_date).select(*_IDENTITY)
+    fresh = batch if known.isEmpty() else batch.join(known, _IDENTITY, "left_anti")
     fresh.write.mode("append").partitionBy("source", "ingest_date").parquet(bronze)
-    return read_bronze(batch.sparkSession, bronze)
+    return stored_on(batch.sparkSession, bronze, ingest_date)
 
 
 def land(spark: SparkSession, landing: str, bronze: str, run_id: str, received_at: datetime) -> DataFrame:
-    """Land every source folder below `landing` and return the landed batch."""
+    """Land every source folder below `landing` and return what is stored for that day."""
     batch = None
     for source in SOURCES:
         rows = envelopes(scan_landing(spark, landing, source), source, run_id, received_at)
         batch = rows if batch is None else batch.unionByName(rows)
-    append_new(batch, bronze)
-    return batch
+    return append_new(batch, bronze, received_at.date().isoformat())
 
 
 def summary(rows: DataFrame) -> DataFrame:

@@ -30,39 +30,39 @@ class Layout:
         return "/".join((self.root, *parts))
 
 
+def _profile_databases(landed: DataFrame) -> list[str]:
+    """Names of the profile databases delivered that day: a handful of files."""
+    files = landed.where(F.col("source") == PROFILE).select("source_event_id").distinct()
+    return sorted(row["source_event_id"] for row in files.collect())
+
+
 def parse_sources(
-    spark: SparkSession, landed: DataFrame, landing: str, as_of: datetime, run_id: str, strict: bool = False
+    spark: SparkSession,
+    stored: DataFrame,
+    landing: str,
+    databases: list[str],
+    as_of: datetime,
+    run_id: str,
+    strict: bool = False,
 ) -> dict[str, silver.Parsed]:
-    """Silver rows and rejects of every source from a landed batch.
+    """Silver rows and rejects of every source from stored raw documents.
 
     Profile databases are opened where they were delivered: SQLite reads pages at random, so it
     needs the file and not a column of bytes.
     """
-    of = lambda source: landed.where(F.col("source") == source)
+    of = lambda source: stored.where(F.col("source") == source)
     parsed = {
         BUREAU: silver.parse_bureau(of(BUREAU), as_of),
         FRAUD: silver.parse_fraud(silver.json_items(of(FRAUD), schemas.FRAUD_ITEM), strict),
         AML: silver.parse_aml(silver.json_items(of(AML), schemas.AML_ITEM), strict),
     }
-    databases = [r["source_event_id"] for r in of(PROFILE).select("source_event_id").orderBy("raw_path").collect()]
-    parts = [
-        silver.parse_profile(
-            *[
-                tables[name].withColumn("raw_path", F.lit(stem)) if name == "users" else tables[name]
-                for name in ("users", "applications", "instalments")
-            ],
-            run_id,
-            strict,
-        )
-        for stem in databases
-        for tables in [read_profile_tables(spark, f"{landing}/{PROFILE}/{stem}.db")]
-    ]
-    rows, rejects = spark.createDataFrame([], schemas.SILVER_PROFILE), None
-    for part in parts:
-        rows = rows.unionByName(part.rows)
-        rejects = part.rejects if rejects is None else rejects.unionByName(part.rejects)
-    if rejects is None:
-        rejects = spark.createDataFrame([], "source string, reason string, raw string, raw_path string")
+    rows = spark.createDataFrame([], schemas.SILVER_PROFILE)
+    rejects = spark.createDataFrame([], "source string, reason string, raw string, raw_path string")
+    for name in databases:
+        tables = read_profile_tables(spark, f"{landing}/{PROFILE}/{name}.db")
+        users = tables["users"].withColumn("raw_path", F.lit(name))
+        part = silver.parse_profile(users, tables["applications"], tables["instalments"], run_id, strict)
+        rows, rejects = rows.unionByName(part.rows), rejects.unionByName(part.rejects)
     parsed[PROFILE] = silver.Parsed(rows, rejects)
     return parsed
 
@@ -151,19 +151,23 @@ def run(
     strict: bool = False,
     use_er_links: bool = False,
     append_audit: bool = False,
+    since: str | None = None,
 ) -> dict[str, DataFrame]:
     """Land, parse, resolve, check, decide, snapshot and verify. Returns every stored table.
 
-    `as_of` stands for "now" throughout, so a run can be repeated with the same results.
+    `as_of` stands for "now" throughout, so a run can be repeated with the same results. All landed
+    days are parsed, so that the last record per customer wins over days too; `since` (an ISO date)
+    leaves out the partitions before it.
     """
     configure(spark)
     layout = Layout(root)
-    batch = bronze.land(spark, landing, layout.path("bronze"), run_id, as_of)
-    stored = bronze.read_bronze(spark, layout.path("bronze")).where(
-        F.col("ingest_date") == as_of.date().isoformat()
-    )
-    tables = {"bronze_summary": bronze.summary(batch)}
-    tables |= build_silver(parse_sources(spark, stored, landing, as_of, run_id, strict), layout)
+    today = bronze.land(spark, landing, layout.path("bronze"), run_id, as_of)
+    stored = bronze.read_bronze(spark, layout.path("bronze"))
+    if since is not None:
+        stored = stored.where(F.col("ingest_date") >= since)
+    tables = {"bronze_summary": bronze.summary(today)}
+    parsed = parse_sources(spark, stored, landing, _profile_databases(today), as_of, run_id, strict)
+    tables |= build_silver(parsed, layout)
     tables |= build_resolution(tables, layout, as_of)
     tables["dq_result"] = check_quality(tables, layout, as_of, run_id)
     tables |= build_gold(tables, layout, as_of, run_id, use_er_links)
