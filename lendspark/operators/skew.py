@@ -19,6 +19,8 @@ def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, row
     A one-pass sketch names the few keys that may be frequent; a second pass counts just these.
     """
     hashes = df.select(F.xxhash64(*keys).alias("h"))
+    if hashes.limit(rows).count() < rows:
+        return []
     maybe = hashes.stat.freqItems(["h"], share).head()[0]
     if not maybe:
         return []

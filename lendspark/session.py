@@ -1,4 +1,4 @@
-"""Session defaults and the shared folder for checkpoints and intermediate tables."""
+"""Session defaults and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -48,11 +48,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Compute `df` once, store it reliably and go on from the stored rows."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Compute `df` once, store it in the shared folder and go on from the stored table.
+
+    A table rather than an RDD checkpoint: that would run the last stage twice, and leave later steps
+    without column pruning and without a size to plan by.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:
