@@ -167,8 +167,42 @@ def with_probe_keys(df: DataFrame, block: str, name: str, floor: float) -> DataF
     return _with_keys(df, block, name, floor, _probe_keys)
 
 
-def lengths_allow(left: Column, right: Column, floor: float) -> Column:
-    """False only where the lengths alone rule out a score of `floor`."""
-    ratio = _needed_ratio(floor, _PREFIX_MAX)
-    a, b = F.length(left), F.length(right)
-    return F.least(a, b) >= F.greatest(a, b) * F.lit(ratio - 1.0) - _SLACK
+def letter_bits(letters: str) -> Column:
+    """struct(bits, rest) of a sorted letter-rank array: two bits per listed letter, set if it occurs
+    at least once and at least twice, and the number of letters that these bits leave out."""
+    ranks = F.col(letters)
+    bits = F.transform(
+        ranks,
+        lambda x, i: F.when(
+            (x <= len(_LETTER_RANKS)) & (i + 2 - F.array_position(ranks, x) <= 2),
+            F.call_function(
+                "shiftleft", F.lit(1).cast("bigint"), (2 * (x - 1) + i + 1 - F.array_position(ranks, x)).cast("int")
+            ),
+        ).otherwise(F.lit(0).cast("bigint")),
+    )
+    total = F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(b))
+    return F.struct(total.alias("bits"), (F.size(ranks) - F.bit_count(total)).alias("rest"))
+
+
+def with_letter_bits(df: DataFrame, name: str, out: str) -> DataFrame:
+    """Adds the letter bits of a name, for `may_reach`."""
+    return (
+        df.withColumn("_letters", _letter_ranks(name)).withColumn(out, letter_bits("_letters")).drop("_letters")
+    )
+
+
+def may_reach(left: str, right: str, left_bits: str, right_bits: str, floor: float) -> Column:
+    """False only where the letters two names have in common rule out a score of `floor`.
+
+    Common letters are bounded from above by the common bits and the smaller rest. This takes a few
+    machine operations per pair, so that only likely pairs go on to be scored.
+    """
+    common = F.bit_count(F.col(left_bits)["bits"].bitwiseAND(F.col(right_bits)["bits"])) + F.least(
+        F.col(left_bits)["rest"], F.col(right_bits)["rest"]
+    )
+    share = common / F.length(left) + common / F.length(right)
+    needed = F.lit(_needed_ratio(floor, _PREFIX_MAX))
+    for prefix in reversed(range(_PREFIX_MAX)):
+        differs = F.substring(left, 1, prefix + 1) != F.substring(right, 1, prefix + 1)
+        needed = F.when(differs, F.lit(_needed_ratio(floor, prefix))).otherwise(needed)
+    return share >= needed - _SLACK

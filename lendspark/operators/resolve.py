@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from lendspark.config import AML, BUREAU, FRAUD, NAME_FUZZY_THRESHOLD, PROFILE
 from lendspark.functions.similarity import (
     jaro_winkler_column,
-    lengths_allow,
+    may_reach,
     with_index_keys,
+    with_letter_bits,
     with_probe_keys,
 )
 from lendspark.functions.text import valid_eid
@@ -135,14 +136,16 @@ def strong_name_pairs(wanted: DataFrame, known: DataFrame, floor: float = NAME_F
     Names meet through blocking keys, never by birth date alone: a date that holds a third of all
     customers would otherwise pair every name with every other.
     """
-    index = with_index_keys(
-        _spread(known.withColumnRenamed("name", "known_name"), "dob", "known_name"), "dob", "known_name", floor
+    listed = with_letter_bits(
+        _spread(known.withColumnRenamed("name", "known_name"), "dob", "known_name"), "known_name", "_known_bits"
     )
-    probes = with_probe_keys(_spread(wanted, "dob", "name"), "dob", "name", floor)
+    asked = with_letter_bits(_spread(wanted, "dob", "name"), "name", "_bits")
+    index = with_index_keys(listed, "dob", "known_name", floor)
+    probes = with_probe_keys(asked, "dob", "name", floor)
     return (
         probes.join(index, ["key", "dob"])
-        .drop("key")
-        .where(lengths_allow(F.col("name"), F.col("known_name"), floor))
+        .where(may_reach("name", "known_name", "_bits", "_known_bits", floor))
+        .drop("key", "_bits", "_known_bits")
         .withColumn("score", jaro_winkler_column("name", "known_name"))
         .where(F.col("score") >= floor)
     )
