@@ -16,7 +16,7 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-TABLES = ("customer", "nation", "orders", "lineitem", "supplier")
+TABLES = ("customer", "nation", "orders", "lineitem", "supplier", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 spark_seconds = 0.0
@@ -77,6 +77,7 @@ def main() -> int:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
