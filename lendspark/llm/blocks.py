@@ -4,7 +4,7 @@ Exploding each occurrence of each word would move several times the corpus. Here
 it reads into blocks: the distinct words of a block, and for every position of every document the number of
 its word within the block. Blocks are stored, bucketed by their number. Then
 
-* only (word, block, number in the block) is exploded and shuffled by word: a word that makes up a third of
+* only (word, place of the word in its block) is exploded and shuffled by word: a word that makes up a third of
   the corpus is one row per block, and a task sees all rows of a word together;
 * what is looked up for the word (token ids, corpus counts) goes back to its blocks, packed;
 * blocks join what came back without being moved, and documents are put together again by position.
@@ -14,23 +14,26 @@ A block closes at `BLOCK_BYTES` of text, or with the task; one longer text is a
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.llm.common import scratch_path
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 BUCKETS = 256
 WORDS_AT_ONCE = 1 << 17
 
+# A place is one number: the block (task, then block within the task) and the number of the word in it.
+_TASK_BITS, NUMBER_BITS = 14, 28
+
 _TYPES = "block long, payload array<string>, lens array<int>, codes binary, words array<binary>, counts array<int>"
 PACK = "block long, numbers binary, sizes binary, values binary"
 
@@ -40,8 +43,6 @@ class _Block:
 
     def __init__(self):
         self.payload, self.lens, self.words, self.numbers = [], [], {}, []
-        self.seen: Counter = Counter()
-        self.learned: Counter = Counter()
         self.bytes = 0
 
     def add(self, payload: str, words: list, size: int, learn: bool) -> None:
@@ -59,7 +60,7 @@ class _Block:
         learned = np.zeros(size, dtype=np.int64)
         for part, learn in self.numbers:
             if learn:
-                np.add.at(learned, part, 1) if len(part) < 64 else np.add(learned, np.bincount(part, minlength=size), out=learned)
+                np.add.at(learned, part, 1)
         order = np.argsort(-frequency, kind="stable")
         rank = np.empty(size, dtype=np.uint32)
         rank[order] = np.arange(size, dtype=np.uint32)
@@ -79,7 +80,7 @@ class _Block:
 
 
 def _build(split: Callable[[bytes], list], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 32
+    number = TaskContext.get().partitionId() << _TASK_BITS
     block = _Block()
     for batch in batches:
         learn = batch.column(2).to_pylist()
@@ -107,10 +108,10 @@ def store_blocks(df: DataFrame, split: Callable[[bytes], list]) -> DataFrame:
 
 
 def words_of(blocks: DataFrame) -> DataFrame:
-    """(word, block, number, count) by word: all rows of a word follow each other in one task."""
-    zipped = F.arrays_zip("words", "counts")
-    rows = blocks.select("block", F.posexplode(zipped).alias("number", "w"))
-    rows = rows.select(F.col("w.words").alias("word"), "block", "number", F.col("w.counts").alias("count"))
+    """(word, place, count) by word: all rows of a word follow each other in one task."""
+    rows = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "w"))
+    place = F.shiftleft("block", NUMBER_BITS).bitwiseOR(F.col("number").cast("long"))
+    rows = rows.select(F.col("w.words").alias("word"), place.alias("place"), F.col("w.counts").alias("count"))
     return rows.repartition("word").sortWithinPartitions("word")
 
 
@@ -140,23 +141,30 @@ def whole_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, n
         yield done, first
 
 
-def packed(block: np.ndarray, number: np.ndarray, size: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-    """One row per block: the numbers of words, how many values each has, and the values in that order."""
-    order = np.argsort(block, kind="stable")
-    start = np.cumsum(size) - size
-    place = gather(start[order], size[order])
-    blocks, first = np.unique(block[order], return_index=True)
-    ends = [*first[1:], len(order)]
-    value_ends = np.cumsum(size[order])
+def packed(place: np.ndarray, size: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    """One row per block: the numbers of words (as steps), how many values each has, and the values."""
+    order = np.argsort(place, kind="stable")
+    size, values = size[order], values[gather((np.cumsum(size) - size)[order], size[order])]
+    block, number = place[order] >> NUMBER_BITS, place[order] & ((1 << NUMBER_BITS) - 1)
+    blocks, first = np.unique(block, return_index=True)
+    value_ends = np.cumsum(size)
     rows = []
-    for begin, end in zip(first, ends):
+    for begin, end in zip(first, [*first[1:], len(order)]):
         low = value_ends[begin - 1] if begin else 0
-        part = order[begin:end]
-        rows.append((number[part].astype(np.int32).tobytes(), size[part].astype(np.int32).tobytes(), values[place[low : value_ends[end - 1]]].tobytes()))
+        steps = np.diff(number[begin:end], prepend=0).astype(np.int32)
+        rows.append([_squeeze(x) for x in (steps, size[begin:end].astype(np.int32), values[low : value_ends[end - 1]])])
     columns = [pa.array(blocks, pa.int64()), *[pa.array(list(c), pa.binary()) for c in zip(*rows)]]
     return pa.RecordBatch.from_arrays(columns, names=["block", "numbers", "sizes", "values"])
 
 
+def _squeeze(values: np.ndarray) -> bytes:
+    return zstandard.compress(values.tobytes(), 1)
+
+
+def _unsqueeze(data: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), dtype=kind)
+
+
 def gather(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Indices of the ranges [start, start + size) one after the other."""
     total = int(size.sum())
@@ -164,8 +172,12 @@ def gather(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def join_back(blocks: DataFrame, packs: DataFrame) -> DataFrame:
-    """Blocks with what was looked up for their words; a block's packs together are as small as its words."""
-    back = packs.groupBy("block").agg(F.collect_list(F.struct("numbers", "sizes", "values")).alias("packs"))
+    """Blocks with what was looked up for their words; a block's packs together are as small as its words.
+
+    Packs are dealt as the buckets are, so that neither they move again nor the blocks at all.
+    """
+    dealt = packs.repartition(BUCKETS, "block").groupBy("block")
+    back = dealt.agg(F.collect_list(F.struct("numbers", "sizes", "values")).alias("packs"))
     return blocks.select("block", "payload", "lens", "codes").join(back, "block", "left").select("payload", "lens", "codes", "packs")
 
 
@@ -173,9 +185,9 @@ def looked_up(packs: list[dict] | None, kind) -> tuple[np.ndarray, np.ndarray, n
     """(start, size, values) by a word's number in its block."""
     if not packs:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0, dtype=kind)
-    number = np.concatenate([np.frombuffer(p["numbers"], dtype=np.int32) for p in packs])
-    sizes = np.concatenate([np.frombuffer(p["sizes"], dtype=np.int32) for p in packs]).astype(np.int64)
-    values = np.concatenate([np.frombuffer(p["values"], dtype=kind) for p in packs])
+    number = np.concatenate([np.cumsum(_unsqueeze(p["numbers"], np.int32), dtype=np.int64) for p in packs])
+    sizes = np.concatenate([_unsqueeze(p["sizes"], np.int32) for p in packs]).astype(np.int64)
+    values = np.concatenate([_unsqueeze(p["values"], kind) for p in packs])
     start, size = np.empty(len(number), dtype=np.int64), np.empty(len(number), dtype=np.int64)
     start[number] = np.cumsum(sizes) - sizes
     size[number] = sizes

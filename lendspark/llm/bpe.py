@@ -45,25 +45,24 @@ def _split(pattern: str, text: bytes) -> list[bytes]:
     return [piece.encode() for piece in _splitter(pattern).findall(text.decode("utf-8", "replace"))]
 
 
-def _encode(ranks, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encode(ranks, pattern: str, kind, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encode = _encoder(ranks, pattern).encode_ordinary
     for rows, first in blocks.whole_words(batches):
         words = rows.column(0).combine_chunks().take(pa.array(first)).to_pylist()
         ids = [encode(word.decode()) for word in words]
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter((i for part in ids for i in part), dtype=np.uint32, count=int(sizes.sum()))
+        flat = np.fromiter((i for part in ids for i in part), dtype=kind, count=int(sizes.sum()))
         times = np.diff([*first, rows.num_rows])
         start = np.repeat(np.cumsum(sizes) - sizes, times)
         size = np.repeat(sizes, times)
-        block, number = (rows.column(i).to_numpy() for i in (1, 2))
-        yield blocks.packed(block, number, size, flat[blocks.gather(start, size)])
+        yield blocks.packed(rows.column(1).to_numpy(), size, flat[blocks.gather(start, size)])
 
 
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _assemble(kind, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
             payload, lens, raw, packs = (batch.column(i)[row].as_py() for i in range(4))
-            start, size, values = blocks.looked_up(packs, np.uint32)
+            start, size, values = blocks.looked_up(packs, kind)
             codes = blocks.codes_of(raw, len(start))
             ends = np.cumsum(lens)
             begin = 0
@@ -86,10 +85,11 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "
     not read. An empty table gives no rows.
     """
     shared = df.sparkSession.sparkContext.broadcast(ranks)
+    kind = np.uint16 if max(ranks.values(), default=0) < 1 << 16 else np.uint32
     texts = df.select(F.col(id_col).cast("string").alias("payload"), F.col(text_col).alias("text"), F.lit(False).alias("learn"))
     stored = blocks.store_blocks(texts, partial(_split, pattern))
-    packs = blocks.words_of(stored).drop("count").mapInArrow(partial(_encode, shared, pattern), blocks.PACK)
-    whole = blocks.join_back(stored, packs).mapInArrow(_assemble, "id string, ids array<int>")
+    packs = blocks.words_of(stored).drop("count").mapInArrow(partial(_encode, shared, pattern, kind), blocks.PACK)
+    whole = blocks.join_back(stored, packs).mapInArrow(partial(_assemble, kind), "id string, ids array<int>")
     return whole.select(F.col("id").cast("long").alias("doc_id"), "ids")
 
 
