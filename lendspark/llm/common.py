@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +45,18 @@ def text_of(column: str) -> Column:
 
 
 def split_row(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The whole row in `_doc`, beside a row number and the named columns under names that cannot clash.
+    """The whole row in `_doc`, beside a name of the row and the given columns under names that cannot clash.
 
-    The caller stores the result before it uses `_row` twice: the number belongs to one execution.
+    Rows of stored files are named by their file and place in it, which a second read repeats; the rows of
+    any other table are numbered and stored.
     """
-    return df.select(
-        F.monotonically_increasing_id().alias("_row"),
-        F.struct("*").alias("_doc"),
-        *[F.col(name).alias(f"_{i}") for i, name in enumerate(names)],
-    )
+    fields = [F.struct("*").alias("_doc"), *[F.col(name).alias(f"_{i}") for i, name in enumerate(names)]]
+    place = F.concat_ws(":", F.hex(F.xxhash64("_metadata.file_path")), "_metadata.row_index")
+    try:
+        return df.select(place.alias("_row"), *fields)
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            raise
+    numbered = cut(df.select(F.monotonically_increasing_id().cast("string").alias("_row"), fields[0]))
+    inner = [F.col("_doc").getField(name).alias(f"_{i}") for i, name in enumerate(names)]
+    return numbered.select("_row", "_doc", *inner)

@@ -80,6 +80,6 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `df` that `exact_duplicates` keeps, with all their columns; cases as there."""
-    whole = cut(split_row(df, [id_col, text_col]))
+    whole = split_row(df, [id_col, text_col])
     kept = decide(cut(digests(whole, F.col("_row"), "_0", "_1"))).where("kept")
     return whole.join(kept.select(F.col("row").alias("_row")), "_row", "left_semi").select("_doc.*")

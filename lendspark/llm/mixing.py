@@ -168,7 +168,7 @@ def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     A document comes as often as the mix takes its words, to the nearest whole number: the one document
     that a source's last block cuts is in if half of it is.
     """
-    whole = cut(split_row(df, [id_col, text_col, source_col]))
+    whole = split_row(df, [id_col, text_col, source_col])
     rows = cut(whole.select(F.col("_row").alias("row"), F.col("_0").cast("long").alias("id"), F.col("_2").alias("source"), _size("_1")))
     times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     copies = draw(rows).where("size > 0").select(F.col("row").alias("_row"), times.alias("times")).where("times > 0")

@@ -67,7 +67,7 @@ def _fingerprints(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[p
 def fingerprints(df: DataFrame, row: Column, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
     """(row, id, fp): the fingerprint of every document as a signed long; a null text is empty."""
     narrow = df.select(row.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(partial(_fingerprints, shingle), "row long, id long, fp long")
+    return narrow.mapInArrow(partial(_fingerprints, shingle), "row string, id long, fp long")
 
 
 def _blocks(radius: int) -> list[tuple[int, int]]:
@@ -169,7 +169,7 @@ def near_duplicates(
     Rows without an id are linked too, but never name a component unless no member has an id (then null).
     Other columns of `df` are not read. An empty table gives no rows.
     """
-    rows = cut(fingerprints(df, F.lit(0).cast("long"), id_col, text_col, shingle).drop("row"))
+    rows = cut(fingerprints(df, F.lit(""), id_col, text_col, shingle).drop("row"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return rows.join(_classes(rows, radius), "fp").select(F.col("id").alias("doc_id"), hexed, "component_id")
 
@@ -182,7 +182,7 @@ def drop_near_duplicates(
     Of several rows with that id the first read stays; cases as above. A class whose rows all lack an id
     keeps its first row.
     """
-    whole = cut(split_row(df, [id_col, text_col]))
+    whole = split_row(df, [id_col, text_col])
     rows = cut(fingerprints(whole, F.col("_row"), "_0", "_1", shingle))
     classes = rows.join(_classes(rows, radius), "fp")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))
