@@ -3,10 +3,40 @@
 from __future__ import annotations
 
 from lendspark.llm.mixing import REPEATS, WEIGHTS
+from lendspark.llm.urls import RULES
 
 _SPACES = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]+"
 
+def _rule_cases(part: str) -> str:
+    """The rules, longest first, as branches of a CASE that yields the rule or its verdict."""
+    branches = []
+    for verdict, rule in sorted(RULES, key=lambda r: -len(r[1])):
+        host, slash, path = rule.partition("/")
+        value = rule if part == "rule" else verdict
+        branches.append(f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{slash}{path}') THEN '{value}'")
+    return "CASE " + " ".join(branches) + " END"
+
+
+_OP4 = rf"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substring(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    regexp_replace(regexp_replace(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '(^|&)utm_[^&]*', '', 'g'), '^&', '') AS query
+  FROM cut
+), keyed AS (
+  SELECT *, CASE WHEN regexp_replace(host, '^www\.', '') <> '' THEN regexp_replace(host, '^www\.', '')
+    || regexp_replace(path, '/+$', '') || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS key FROM parts
+), counted AS (
+  SELECT *, key IS NOT NULL AND count(*) OVER (PARTITION BY key) > 1 AS listed FROM keyed
+)
+SELECT page_id, host, path, {_rule_cases("rule")} AS rule,
+  coalesce({_rule_cases("verdict")}, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed
+FROM counted
+"""
+
 _OP6 = rf"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size FROM documents
@@ -52,4 +82,25 @@ WITH hashed AS (
 SELECT doc_id, keep_id, CAST(count(*) OVER (PARTITION BY text_sha256) AS BIGINT) AS group_size, place = 1 AS kept, text_sha256 FROM ranked
 """
 
-ORACLES: dict[str, str] = {"op6_source_mixing": _OP6, "op7_exact_dedup": _OP7}
+_OP10 = """
+WITH RECURSIVE rows AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), good AS (
+  SELECT * FROM rows WHERE v IS NOT NULL AND len(v) > 0 AND list_aggregate(v, 'count') = len(v)
+    AND isfinite(list_aggregate(v, 'max')) AND isfinite(list_aggregate(v, 'min'))
+    AND (list_aggregate(v, 'max') <> 0 OR list_aggregate(v, 'min') <> 0)
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM rows UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), lowest AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), counted AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT rows.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, rows.vec_id = component_id AS kept
+FROM rows JOIN lowest USING (vec_id) LEFT JOIN counted USING (vec_id)
+"""
+
+ORACLES: dict[str, str] = {"op4_url_filter": _OP4, "op6_source_mixing": _OP6, "op7_exact_dedup": _OP7, "op10_embedding_near_dedup": _OP10}
