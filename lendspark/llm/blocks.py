@@ -1,13 +1,14 @@
 """Documents as blocks of codes, and the exchange that looks up every distinct word of the corpus once.
 
 Exploding each occurrence of each word would move several times the corpus. Here a task turns the documents
-it reads into blocks: the distinct words of a block, and for every position of every document the number of
-its word within the block. Blocks are stored, bucketed by their number. Then
+it reads into blocks: the distinct words of a block are numbered as they come, and for every position of
+every document there is the number of its word. Numbers leave in compressed chunks while the block goes on, so
+that a worker holds its distinct words and little else. Blocks are stored, bucketed by their number. Then
 
-* only (word, place of the word in its block) is exploded and shuffled by word: a word that makes up a third of
-  the corpus is one row per block, and a task sees all rows of a word together;
+* only (word, place of the word in its block) is exploded and shuffled by word: a word that makes up a third
+  of the corpus is one row per block, and a task sees all rows of a word together;
 * what is looked up for the word (token ids, corpus counts) goes back to its blocks, packed;
-* blocks join what came back without being moved, and documents are put together again by position.
+* chunks join what came back without being moved, and documents are put together again by position.
 
 A block closes at `BLOCK_BYTES` of text, or with the task; one longer text is a block of its own.
 """
@@ -25,73 +26,91 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendspark.llm.common import scratch_path
+from lendspark.llm.common import lean, scratch_path
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 64 << 20
+CHUNK_WORDS = 1 << 20
 BUCKETS = 256
 WORDS_AT_ONCE = 1 << 17
 
 # A place is one number: the block (task, then block within the task) and the number of the word in it.
 _TASK_BITS, NUMBER_BITS = 14, 28
 
-_TYPES = "block long, payload array<string>, lens array<int>, codes binary, words array<binary>, counts array<int>"
+_TYPES = "block long, payload array<string>, lens array<int>, codes binary, first int, words array<binary>, counts array<int>"
 PACK = "block long, numbers binary, sizes binary, values binary"
+_LISTED = 1 << 14  # words in a row
 
 
 class _Block:
-    """Collects documents; words are numbered by falling frequency, so that common ones have small codes."""
+    """The distinct words of a block, and the documents of the chunk that is being filled."""
 
-    def __init__(self):
-        self.payload, self.lens, self.words, self.numbers = [], [], {}, []
-        self.bytes = 0
+    def __init__(self, block: int):
+        self.block, self.words, self.bytes = block, {}, 0
+        self.learned = np.zeros(0, dtype=np.int64)
+        self.start()
+
+    def start(self) -> None:
+        self.payload, self.lens, self.codes, self.size = [], [], [], 0
+        self.to_learn: list[np.ndarray] = []
 
     def add(self, payload: str, words: list, size: int, learn: bool) -> None:
         number = self.words
         codes = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.uint32, count=len(words))
         self.payload.append(payload)
         self.lens.append(len(words))
-        self.numbers.append((codes, learn))
+        self.codes.append(codes)
+        if learn:
+            self.to_learn.append(codes)
         self.bytes += size
-
-    def close(self, block: int) -> pa.RecordBatch:
-        codes = np.concatenate([c for c, _ in self.numbers]) if self.numbers else np.empty(0, dtype=np.uint32)
-        size = len(self.words)
-        frequency = np.bincount(codes, minlength=size)
-        learned = np.zeros(size, dtype=np.int64)
-        for part, learn in self.numbers:
-            if learn:
-                np.add.at(learned, part, 1)
-        order = np.argsort(-frequency, kind="stable")
-        rank = np.empty(size, dtype=np.uint32)
-        rank[order] = np.arange(size, dtype=np.uint32)
+        self.size += len(words)
+
+    def _row(self, payload=None, lens=None, codes=None, first=None, words=None, counts=None) -> pa.RecordBatch:
+        columns = [
+            pa.array([self.block], pa.int64()),
+            pa.array([payload], pa.list_(pa.string())),
+            pa.array([lens], pa.list_(pa.int32())),
+            pa.array([codes], pa.binary()),
+            pa.array([first], pa.int32()),
+            pa.array([words], pa.list_(pa.binary())),
+            pa.array([counts], pa.list_(pa.int32())),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=[t.split()[0] for t in _TYPES.split(", ")])
+
+    def chunk(self) -> pa.RecordBatch:
+        counts = np.zeros(len(self.words), dtype=np.int64)
+        counts[: len(self.learned)] = self.learned
+        if self.to_learn:
+            counts += np.bincount(np.concatenate(self.to_learn), minlength=len(counts))
+        self.learned = counts
+        row = self._row(self.payload, self.lens, _squeeze(np.concatenate(self.codes), 3))
+        self.start()
+        return row
+
+    def listed(self) -> Iterator[pa.RecordBatch]:
         words = list(self.words)
-        kind = np.uint16 if size <= 1 << 16 else np.uint32
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([block], pa.int64()),
-                pa.array([self.payload], pa.list_(pa.string())),
-                pa.array([self.lens], pa.list_(pa.int32())),
-                pa.array([rank[codes].astype(kind).tobytes()], pa.binary()),
-                pa.array([[words[i] for i in order]], pa.list_(pa.binary())),
-                pa.array([learned[order].astype(np.int32)], pa.list_(pa.int32())),
-            ],
-            names=["block", "payload", "lens", "codes", "words", "counts"],
-        )
+        for first in range(0, len(words), _LISTED):
+            part = slice(first, first + _LISTED)
+            yield self._row(first=first, words=words[part], counts=self.learned[part].astype(np.int32))
 
 
+@lean
 def _build(split: Callable[[bytes], list], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << _TASK_BITS
-    block = _Block()
+    block = _Block(TaskContext.get().partitionId() << _TASK_BITS)
     for batch in batches:
         learn = batch.column(2).to_pylist()
         for i, (payload, text) in enumerate(zip(batch.column(0).to_pylist(), pc.cast(batch.column(1), pa.binary()))):
             data = text.as_py() or b""
-            if block.lens and block.bytes + len(data) > BLOCK_BYTES:
-                yield block.close(number)
-                number, block = number + 1, _Block()
+            if block.bytes and block.bytes + len(data) > BLOCK_BYTES:
+                if block.lens:
+                    yield block.chunk()
+                yield from block.listed()
+                block = _Block(block.block + 1)
             block.add(payload, split(data), len(data), learn[i])
+            if block.size >= CHUNK_WORDS:
+                yield block.chunk()
     if block.lens:
-        yield block.close(number)
+        yield block.chunk()
+    yield from block.listed()
 
 
 def store_blocks(df: DataFrame, split: Callable[[bytes], list]) -> DataFrame:
@@ -109,8 +128,9 @@ def store_blocks(df: DataFrame, split: Callable[[bytes], list]) -> DataFrame:
 
 def words_of(blocks: DataFrame) -> DataFrame:
     """(word, place, count) by word: all rows of a word follow each other in one task."""
-    rows = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "w"))
-    place = F.shiftleft("block", NUMBER_BITS).bitwiseOR(F.col("number").cast("long"))
+    listed = blocks.where("words is not null")
+    rows = listed.select("block", "first", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "w"))
+    place = F.shiftleft("block", NUMBER_BITS).bitwiseOR((F.col("first") + F.col("number")).cast("long"))
     rows = rows.select(F.col("w.words").alias("word"), place.alias("place"), F.col("w.counts").alias("count"))
     return rows.repartition("word").sortWithinPartitions("word")
 
@@ -157,8 +177,8 @@ def packed(place: np.ndarray, size: np.ndarray, values: np.ndarray) -> pa.Record
     return pa.RecordBatch.from_arrays(columns, names=["block", "numbers", "sizes", "values"])
 
 
-def _squeeze(values: np.ndarray) -> bytes:
-    return zstandard.compress(values.tobytes(), 1)
+def _squeeze(values: np.ndarray, level: int = 1) -> bytes:
+    return zstandard.compress(values.tobytes(), level)
 
 
 def _unsqueeze(data: bytes, kind) -> np.ndarray:
@@ -172,13 +192,14 @@ def gather(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def join_back(blocks: DataFrame, packs: DataFrame) -> DataFrame:
-    """Blocks with what was looked up for their words; a block's packs together are as small as its words.
+    """Chunks with what was looked up for their words; a block's packs together are as small as its words.
 
-    Packs are dealt as the buckets are, so that neither they move again nor the blocks at all.
+    Packs are dealt as the buckets are, so that neither they move again nor the chunks at all.
     """
     dealt = packs.repartition(BUCKETS, "block").groupBy("block")
     back = dealt.agg(F.collect_list(F.struct("numbers", "sizes", "values")).alias("packs"))
-    return blocks.select("block", "payload", "lens", "codes").join(back, "block", "left").select("payload", "lens", "codes", "packs")
+    chunks = blocks.where("codes is not null").select("block", "payload", "lens", "codes")
+    return chunks.join(back, "block", "left").select("payload", "lens", "codes", "packs")
 
 
 def looked_up(packs: list[dict] | None, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -194,5 +215,5 @@ def looked_up(packs: list[dict] | None, kind) -> tuple[np.ndarray, np.ndarray, n
     return start, size, values
 
 
-def codes_of(raw: bytes, words: int) -> np.ndarray:
-    return np.frombuffer(raw, dtype=np.uint16 if words <= 1 << 16 else np.uint32)
+def codes_of(raw: bytes) -> np.ndarray:
+    return _unsqueeze(raw, np.uint32)

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendspark.llm import blocks
+from lendspark.llm.common import lean
 
 _TOKENS_AT_ONCE = 1 << 19
 
@@ -45,6 +46,7 @@ def _split(pattern: str, text: bytes) -> list[bytes]:
     return [piece.encode() for piece in _splitter(pattern).findall(text.decode("utf-8", "replace"))]
 
 
+@lean
 def _encode(ranks, pattern: str, kind, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encode = _encoder(ranks, pattern).encode_ordinary
     for rows, first in blocks.whole_words(batches):
@@ -58,12 +60,13 @@ def _encode(ranks, pattern: str, kind, batches: Iterator[pa.RecordBatch]) -> Ite
         yield blocks.packed(rows.column(1).to_numpy(), size, flat[blocks.gather(start, size)])
 
 
+@lean
 def _assemble(kind, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
             payload, lens, raw, packs = (batch.column(i)[row].as_py() for i in range(4))
             start, size, values = blocks.looked_up(packs, kind)
-            codes = blocks.codes_of(raw, len(start))
+            codes = blocks.codes_of(raw)
             ends = np.cumsum(lens)
             begin = 0
             while begin < len(lens):  # a few documents at a time: ids take more room than codes
@@ -102,6 +105,7 @@ def token_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.cumsum(size) - size, size, np.frombuffer(data, dtype=np.uint8)
 
 
+@lean
 def _decode(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     start, size, data = shared.value
     for batch in batches:

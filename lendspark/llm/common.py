@@ -6,21 +6,34 @@ only A to Z are lower-cased, so that every engine and every Unicode version give
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendspark.session import configure, cut, scratch_path, ship_package
 
-__all__ = ["BLANKS", "WORD", "configure", "cut", "documents", "prepare", "scratch_path", "split_row", "table", "text_of"]
+__all__ = ["BLANKS", "WORD", "configure", "cut", "documents", "lean", "prepare", "scratch_path", "split_row", "table", "text_of"]
 
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 # Arrow batches are bounded by bytes, so that a batch of very long texts stays small in a Python worker.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+
+
+def lean(function: Callable) -> Callable:
+    """When a task ends, hand back what Arrow keeps for later: workers live on and share an executor's memory."""
+
+    @wraps(function)
+    def run(*args) -> Iterator:
+        yield from function(*args)
+        pa.default_memory_pool().release_unused()
+
+    return run
 
 
 def prepare(spark: SparkSession) -> SparkSession:

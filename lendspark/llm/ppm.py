@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.llm import blocks
-from lendspark.llm.common import cut
+from lendspark.llm.common import cut, lean
 
 ORDER = 4
 SHARD_ROWS = 2_000_000
@@ -69,6 +69,7 @@ def _chunks(column: pa.Array) -> Iterator[list[bytes]]:
         yield part
 
 
+@lean
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys, counts = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
@@ -188,6 +189,7 @@ def log_probability(model: dict[int, tuple[np.ndarray, ...]], grams: np.ndarray)
     return out
 
 
+@lean
 def _score(shared, shard: int, shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     model = shared.value
     for batch in batches:
@@ -216,6 +218,7 @@ def _tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+@lean
 def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, first in blocks.whole_words(batches):
         place, count = (rows.column(i).to_numpy() for i in (1, 2))
@@ -227,6 +230,7 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*packs.columns, *map(pa.array, tally)], names=[*packs.schema.names, "distinct", "total"])
 
 
+@lean
 def _assemble(total: int, distinct: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     space = total + 0.5 * (distinct + 1)
     for batch in batches:
@@ -234,7 +238,7 @@ def _assemble(total: int, distinct: int, batches: Iterator[pa.RecordBatch]) -> I
             payload, lens, raw, packs = (batch.column(i)[row].as_py() for i in range(4))
             start, _, values = blocks.looked_up(packs, np.int64)
             by_number = values[start]
-            codes = blocks.codes_of(raw, len(start))
+            codes = blocks.codes_of(raw)
             first = np.cumsum(lens) - lens
             base = np.add.reduceat(np.log10((by_number + 0.5) / space)[codes], first)
             known = np.add.reduceat((by_number > 0).astype(np.int64)[codes], first)
