@@ -36,7 +36,7 @@ CENTROIDS = 4096
 PER_CENTROID = 200
 SAMPLE = 16_384
 PART = 4096
-SLACK = 0.15
+SLACK = 1.2  # over the root of the dimension: what separates close vectors points anywhere
 BEAM = 48
 DEGREE = 24
 ALPHA = 1.2
@@ -235,7 +235,7 @@ def _one_length(rows: DataFrame, threshold: float) -> DataFrame:
     sample = vectors.orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).select("vec").toArrow()
     wanted = min(CENTROIDS, -(-count // PER_CENTROID))
     centroids = fit_centroids(_unit(_matrix(sample.column("vec"))), wanted)
-    slack, beam = SLACK, BEAM
+    slack, beam = SLACK / np.sqrt(centroids.shape[1]), BEAM
     for _ in range(ATTEMPTS):
         found = cut(_links(vectors, centroids, threshold, slack, beam))
         recall = _audit(vectors, found, threshold)

@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendspark.llm.common import lean
+
 # Phrases whose exact places are counted, and their labels.
 BASE = {
     "gnu general public license": "gpl",
@@ -117,6 +119,7 @@ def spans_of(text: str) -> list[dict]:
     return sorted(found, key=lambda s: (s["first_word"], s["notice"], s["words"]))
 
 
+@lean
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("label", pa.string()), ("notice", pa.string()), ("first_word", pa.int64()), ("words", pa.int64()), ("edits", pa.int32())]))
     for batch in batches:

@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lendspark.llm.common import lean
+
 SAMPLE = 20_000
 THRESHOLD = 0.3
 BINS = 32
@@ -191,6 +193,7 @@ def is_held_out(id_col: str | Column) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+@lean
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = _feature_rows(batch.column(1))
@@ -218,6 +221,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return fit(values[order], rows["label"].to_numpy(dtype=np.float64)[order])
 
 
+@lean
 def _score(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         scores = model.score(_feature_rows(batch.column(1)))
@@ -234,6 +238,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     return scored.select("doc_id", is_held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+@lean
 def _keep(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         good = model.score(_feature_rows(batch.column(0))) >= THRESHOLD

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.llm.bktree import Forest, unite
-from lendspark.llm.common import cut, split_row
+from lendspark.llm.common import cut, lean, split_row
 from lendspark.llm.components import components
 
 RADIUS = 4
@@ -55,6 +55,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view("<u8")[0])
 
 
+@lean
 def _fingerprints(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = pc.cast(batch.column(2), pa.binary())
@@ -100,6 +101,7 @@ def _link_batch(shard: np.ndarray, fp: np.ndarray, probe: np.ndarray, radius: in
     return pa.RecordBatch.from_arrays(pairs, names=["a", "b"])
 
 
+@lean
 def _links(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows arrive sorted by shard and part. The last shard of a run is held back until it is complete; of one
     whose queries outrun the run only the tree, which is bounded, is kept."""

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendspark.llm.common import cut
+from lendspark.llm.common import cut, lean
 
 GRAM = 20
 WINDOW = 31
@@ -93,6 +93,7 @@ def _texts(column: pa.Array) -> Iterator[list[bytes]]:
         yield (value.as_py() or b"").split()
 
 
+@lean
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes, powers = _Hashes(), _Powers()
     for batch in batches:
@@ -116,6 +117,7 @@ def _sides(words: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return right, left, np.minimum(len(words) - places - GRAM, SIDE), np.minimum(places, SIDE)
 
 
+@lean
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes, powers = _Hashes(), _Powers()
     for batch in batches:
@@ -152,6 +154,7 @@ def _common(numbers: np.ndarray, lens: np.ndarray, a: np.ndarray, b: np.ndarray)
     return np.minimum(length, np.minimum(lens[a], lens[b]))
 
 
+@lean
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compare every suffix with the nearest ones of other documents before and after it in sorted order."""
 
