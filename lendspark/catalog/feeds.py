@@ -1,7 +1,8 @@
 """The four feeds derived from the given tables, as SQL that reads the same in Spark and DuckDB.
 
 Modular rules on the customer key put every messy case in: missing and malformed IDs, duplicates,
-strangers, misspelt names, ambiguous birth dates, stale reports.
+strangers, misspelt names, ambiguous birth dates, stale reports. A neighbour places the orders of every
+seventh customer, who is new for that.
 """
 
 from __future__ import annotations
@@ -22,32 +23,31 @@ TABLES = ("customer", "nation", "orders", "lineitem", "supplier")
 
 # name -> query; a query may use the ones before it and the given tables in braces
 FEEDS = {
-    "users": """
-SELECT c_custkey AS k,
-       'u' || c_custkey AS internal_uuid,
-       '784-' || (1970 + c_custkey % 36) || '-' || (1000000 + c_custkey) || '-' || (c_custkey % 10) AS emirates_id,
-       split_part('Ahmed,Mohammed,Fatima,Aisha,Omar,Yusuf,Layla,Zainab,Khalid,Noura,Hassan,Mariam,Ali,Sara,Hamad,Maryam,Saeed,Hind,Rashid,Shamsa',
+    "named": """
+SELECT c_custkey AS k, c_nationkey,
+       split_part('Tarek,Nadia,Jamil,Samira,Bilal,Huda,Karim,Leena,Faris,Dalia,Bassam,Rania,Idris,Salma,Walid,Amal,Nabil,Yasmin,Zahir,Lubna',
                   ',', CAST(c_custkey % 20 + 1 AS INT)) AS first_name,
-       split_part('Al Mansoori,Al Maktoum,Al Nahyan,Al Qasimi,Al Nuaimi,Al Sharqi,Al Mualla,Khan,Patel,Sharma,Hussein,Abdullah,Rashid,Al Hashimi,Al Marzooqi',
-                  ',', CAST(floor(c_custkey / 20) % 15 + 1 AS INT)) AS last_name,
-       split_part('Ahmed,Mohammed,Fatima,Aisha,Omar,Yusuf,Layla,Zainab,Khalid,Noura,Hassan,Mariam,Ali,Sara,Hamad,Maryam,Saeed,Hind,Rashid,Shamsa',
-                  ',', CAST(c_custkey % 20 + 1 AS INT)) || ' ' ||
-       split_part('Al Mansoori,Al Maktoum,Al Nahyan,Al Qasimi,Al Nuaimi,Al Sharqi,Al Mualla,Khan,Patel,Sharma,Hussein,Abdullah,Rashid,Al Hashimi,Al Marzooqi',
-                  ',', CAST(floor(c_custkey / 20) % 15 + 1 AS INT)) AS full_name,
-       CAST(DATE '1960-01-01' + CAST(CASE WHEN c_custkey % 10 = 0 THEN c_custkey % 300
-                                          ELSE (c_custkey * 37) % 499 END AS INT) AS STRING) AS dob,
-       '+9715' || lpad(CAST(c_custkey AS STRING), 8, '0') AS phone,
-       'c' || c_custkey || '@example.ae' AS email,
+       split_part('Haddad,Al Zaabi,Qureshi,Darwish,Menon,Al Ketbi,Farouk,Mirza,Khoury,Al Suwaidi,Iyer,Saleh,Rahman,Nasser,Al Ameri',
+                  ',', CAST(floor(c_custkey / 20) % 15 + 1 AS INT)) AS last_name
+FROM {customer}""",
+    "users": """
+SELECT k, 'u' || k AS internal_uuid,
+       '784-' || (1970 + k % 36) || '-' || (1000000 + k) || '-' || (k % 10) AS emirates_id,
+       first_name, last_name, first_name || ' ' || last_name AS full_name,
+       CAST(DATE '1960-01-01' + CAST(CASE WHEN k % 10 = 0 THEN k % 300 ELSE (k * 37) % 499 END AS INT) AS STRING) AS dob,
+       '+9715' || lpad(CAST(k AS STRING), 8, '0') AS phone,
+       'c' || k || '@example.ae' AS email,
        n_name AS emirate,
-       TIMESTAMP '2024-02-01 00:00:00' - INTERVAL '1' DAY * CAST((c_custkey * 13) % 700 AS INT) AS kyc_verified_at
-FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""",
+       TIMESTAMP '2024-02-01 00:00:00' - INTERVAL '1' DAY * CAST((k * 13) % 700 AS INT) AS kyc_verified_at
+FROM named JOIN {nation} ON c_nationkey = n_nationkey""",
     "applications": """
-SELECT 'a' || o_orderkey AS application_id, 'u' || o_custkey AS internal_uuid,
+SELECT 'a' || o_orderkey AS application_id,
+       'u' || CASE WHEN o_custkey % 7 = 0 THEN o_custkey + 1 ELSE o_custkey END AS internal_uuid,
        CASE o_orderkey % 3 WHEN 0 THEN 'personal_finance' WHEN 1 THEN 'bnpl' ELSE 'credit_card_alt' END AS product,
        o_totalprice AS amount,
        CASE o_orderstatus WHEN 'F' THEN 'APPROVE' WHEN 'P' THEN 'DECLINE' ELSE 'REFER' END AS decision,
        o_orderdate AS applied_at
-FROM {orders} WHERE o_orderpriority = '1-URGENT'""",
+FROM {orders}""",
     "instalments": """
 SELECT 'a' || l_orderkey AS application_id, l_linenumber AS line_no, l_shipdate AS due_date, l_extendedprice AS amount,
        CASE WHEN l_returnflag = 'R' AND l_quantity >= 45
@@ -74,7 +74,7 @@ FROM fraud_raw""",
     "aml_feed": """
 SELECT k, 'aml_' || k AS callback_id,
        CASE WHEN k % 12 IN (6, 10) THEN NULL ELSE emirates_id END AS emirates_id,
-       CASE WHEN k % 20 = 10 THEN 'Hsasan ' || last_name ELSE full_name END AS full_name,
+       CASE WHEN k % 20 = 10 THEN 'Bsasam ' || last_name ELSE full_name END AS full_name,
        dob,
        CASE WHEN k % 50 = 1 THEN 'HIT' WHEN k % 20 = 2 THEN 'REVIEW' ELSE 'CLEAR' END AS status,
        CASE WHEN k % 50 = 1 THEN 'UN_SANCTIONS,PEP' WHEN k % 20 = 2 THEN 'PEP' ELSE '' END AS lists,

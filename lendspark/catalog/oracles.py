@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from lendspark.catalog.feeds import FEEDS, TABLES
+from lendspark.operators.audit import SHARDS
 
 _HASH_SEED = "'dcn_' || substr(sha256('run_check:' || emirates_id || ':' || product), 1, 26)"
 _K = "(CAST(substr(emirates_id, 10, 7) AS BIGINT) - 1000000)"
+_SEGMENT = f"('0x' || substr(sha256(emirates_id), 1, 8))::BIGINT % {SHARDS}"
 _VALID = "coalesce(regexp_full_match(emirates_id, '784-[0-9]{4}-[0-9]{7}-[0-9]'), false)"
 
 
@@ -190,15 +192,14 @@ SELECT rule_id, severity, source, description, CAST(checked AS BIGINT) AS checke
 FROM measured""",
     # audit
     "hashed": f"SELECT *, sha256({_VECTOR_JSON}) AS vector_sha FROM decided",
-    "segmented": "SELECT h.*, CAST(('0x' || substr(sha256(emirates_id), 1, 8))::BIGINT % n.segments AS BIGINT) AS segment FROM hashed h,"
-    " (SELECT greatest(1, CAST(ceil(max(c) / 500.0) AS BIGINT)) AS segments FROM (SELECT count(*) AS c FROM hashed GROUP BY product)) n",
+    "segmented": f"SELECT h.*, CAST({_SEGMENT} AS BIGINT) AS segment FROM hashed h",
     "placed": "SELECT *, row_number() OVER (PARTITION BY product, segment ORDER BY decision_id) AS seq,"
     f" {_HEAD} AS head, {_TAIL} AS tail FROM segmented",
 }
 
 _CHAINED = {
     "digests": "SELECT product, segment, row_number() OVER (PARTITION BY product ORDER BY segment) AS nth,"
-    " sha256(string_agg(sha256(head || tail), '' ORDER BY sha256(head || tail))) AS digest FROM placed GROUP BY product, segment",
+    " sha256(string_agg(sha256(head || tail), '' ORDER BY seq)) AS digest FROM placed GROUP BY product, segment",
     "anchors": "SELECT product, segment, nth, digest, repeat('0', 64) AS anchor FROM digests WHERE nth = 1"
     " UNION ALL SELECT d.product, d.segment, d.nth, d.digest, sha256(a.anchor || a.digest)"
     " FROM anchors a JOIN digests d ON d.product = a.product AND d.nth = a.nth + 1",
@@ -391,8 +392,8 @@ ORACLES: dict[str, str] = {
     "decision_vector": _with(f"SELECT {_VECTOR_COLUMNS} FROM vectors"),
     "decision_vector_backfilled": _with(f"SELECT {_VECTOR_COLUMNS} FROM ({_BACKFILLED})"),
     "vector_summary": _with("SELECT count(*) AS vectors, count(DISTINCT emirates_id) AS customers FROM vectors"),
-    "hard_declines": _with("SELECT emirates_id, hard AS reasons FROM signals WHERE product = 'bnpl'"),
-    "refer_signals": _with("SELECT emirates_id, refer AS reasons FROM signals WHERE product = 'bnpl'"),
+    "hard_declines": _with("SELECT emirates_id, product, hard AS reasons FROM signals"),
+    "refer_signals": _with("SELECT emirates_id, product, refer AS reasons FROM signals"),
     "decide_pf": _with("SELECT emirates_id, outcome, reason_codes FROM decided WHERE product = 'personal_finance'"),
     "decide_bnpl": _with("SELECT emirates_id, outcome, reason_codes FROM decided WHERE product = 'bnpl'"),
     "decide_cca": _with("SELECT emirates_id, outcome, reason_codes FROM decided WHERE product = 'credit_card_alt'"),
@@ -486,10 +487,10 @@ ORACLES: dict[str, str] = {
     ),
     "chain_append": _with(
         "SELECT product, count(*) AS snapshots, count(DISTINCT half) AS batches, count(DISTINCT (half, segment)) AS segments,"
-        " CAST(0 AS BIGINT) AS issues FROM (SELECT h.product, k2 % 2 AS half,"
-        " ('0x' || substr(sha256(emirates_id), 1, 8))::BIGINT % n.segments AS segment"
-        f" FROM (SELECT *, {_K} AS k2 FROM decided) h JOIN (SELECT half, greatest(1, CAST(ceil(max(c) / 500.0) AS BIGINT)) AS segments FROM"
-        f" (SELECT product, {_K} % 2 AS half, count(*) AS c FROM decided GROUP BY ALL) GROUP BY half) n ON n.half = k2 % 2) GROUP BY product"
+        f" CAST(0 AS BIGINT) AS issues FROM (SELECT product, {_K} % 2 AS half, {_SEGMENT} AS segment FROM decided) GROUP BY product"
+    ),
+    "chain_append_retry": _with(
+        "SELECT product, count(*) AS snapshots, CAST(2 AS BIGINT) AS batches, count(*) AS bodies, CAST(0 AS BIGINT) AS issues FROM decided GROUP BY product"
     ),
     "chain_verify": _with("SELECT * FROM issues", _ISSUES),
     "chain_verify_product": _with("SELECT * FROM issues WHERE product = 'bnpl'", _ISSUES),
@@ -498,5 +499,10 @@ ORACLES: dict[str, str] = {
         f"SELECT decision_id, product, {_K} % 100 <> 7 AS matches, CASE WHEN {_K} % 100 = 7 THEN 'HOLD' ELSE outcome END AS original_outcome,"
         " outcome AS replayed_outcome, reason_codes AS original_reasons, reason_codes AS replayed_reasons FROM decided"
     ),
+    "replay_sample": _with("SELECT decision_id, true AS matches FROM decided ORDER BY sha256('7:' || decision_id), decision_id LIMIT 10"),
+    "decision_detail": _with(
+        "SELECT decision_id, product, outcome, reason_codes, rule_pack_version, true AS vector_intact, true AS matches, outcome AS replayed_outcome"
+        " FROM decided QUALIFY row_number() OVER (PARTITION BY product ORDER BY decision_id) = 1"
+    ),
     "replay_pii_invariant": _with("SELECT count(*) AS decisions, CAST(0 AS BIGINT) AS differing FROM decided"),
 }

@@ -25,14 +25,13 @@ from lendspark.operators import (
     silver,
     vectors,
 )
+from lendspark.plans import pipeline
 from lendspark.session import configure, cut, scratch_path
 from lendspark.sources.files import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-_SEGMENT_ROWS = 500  # small, so that the check runs over several segments
-
 
 def query(build: Callable[[Feeds], DataFrame]) -> Callable[[Feeds], DataFrame]:
     """Register a query under its function's name."""
@@ -88,7 +87,7 @@ def _customer_number(eid: str = "emirates_id") -> Column:
 
 def _audit(f: Feeds) -> dict[str, DataFrame]:
     decided = cut(_decided(f))
-    snapshots = cut(audit.write_snapshots(decided, segment_rows=_SEGMENT_ROWS))
+    snapshots = cut(audit.write_snapshots(decided))
     return {
         "index": audit.snapshot_index(snapshots),
         "bodies": audit.snapshot_bodies(snapshots),
@@ -403,14 +402,14 @@ def vector_summary(f: Feeds) -> DataFrame:
 
 @query
 def hard_declines(f: Feeds) -> DataFrame:
-    rows = vectors.assemble(f.silver(), AS_OF, products=("bnpl",))
-    return rows.select("emirates_id", F.array_join(packs.hard_declines(F.col), ",").alias("reasons"))
+    rows = vectors.assemble(f.silver(), AS_OF)
+    return rows.select("emirates_id", "product", F.array_join(packs.hard_declines(F.col), ",").alias("reasons"))
 
 
 @query
 def refer_signals(f: Feeds) -> DataFrame:
-    rows = vectors.assemble(f.silver(), AS_OF, products=("bnpl",))
-    return rows.select("emirates_id", F.array_join(packs.refer_signals(F.col), ",").alias("reasons"))
+    rows = vectors.assemble(f.silver(), AS_OF)
+    return rows.select("emirates_id", "product", F.array_join(packs.refer_signals(F.col), ",").alias("reasons"))
 
 
 def _decided_by(f: Feeds, product: str) -> DataFrame:
@@ -587,7 +586,7 @@ def vector_store(f: Feeds) -> DataFrame:
 
 @query
 def snapshots(f: Feeds) -> DataFrame:
-    written = audit.write_snapshots(_decided(f), segment_rows=_SEGMENT_ROWS)
+    written = audit.write_snapshots(_decided(f))
     return written.select(
         "product", "segment", "seq", "decision_id", "feature_vector_sha256", "prev_snapshot_sha256",
         "this_snapshot_sha256",
@@ -596,16 +595,16 @@ def snapshots(f: Feeds) -> DataFrame:
 
 @query
 def chain_heads(f: Feeds) -> DataFrame:
-    return audit.chain_heads(audit.snapshot_index(audit.write_snapshots(_decided(f), segment_rows=_SEGMENT_ROWS)))
+    return audit.chain_heads(audit.snapshot_index(audit.write_snapshots(_decided(f))))
 
 
 @query
 def chain_append(f: Feeds) -> DataFrame:
     decided = cut(_decided(f))
     odd = _customer_number() % 2 == 1
-    first = cut(audit.write_snapshots(decided.where(~odd), segment_rows=_SEGMENT_ROWS))
+    first = cut(audit.write_snapshots(decided.where(~odd)))
     heads = audit.chain_heads(audit.snapshot_index(first))
-    both = cut(first.unionByName(audit.write_snapshots(decided.where(odd), heads, _SEGMENT_ROWS)))
+    both = cut(first.unionByName(audit.write_snapshots(decided.where(odd), heads)))
     stored = audit.vector_store_rows(audit.hashed_vectors(decided))
     issues = audit.verify_chain(audit.snapshot_index(both), audit.snapshot_bodies(both), stored)
     found = issues.groupBy("product").agg(F.count(F.lit(1)).alias("issues"))
@@ -617,6 +616,25 @@ def chain_append(f: Feeds) -> DataFrame:
     return sizes.join(found, "product", "left").fillna(0, ["issues"])
 
 
+@query
+def chain_append_retry(f: Feeds) -> DataFrame:
+    """The same batch appended twice, and once more after a run that stored bodies but no index."""
+    decided = cut(_decided(f))
+    layout = pipeline.Layout(scratch_path(f.spark, "audit"))
+    odd = _customer_number() % 2 == 1
+    pipeline.write_audit(decided.where(~odd), layout, append=True)
+    partly = audit.write_snapshots(decided.where(odd), audit.chain_heads(pipeline.read_audit(f.spark, layout)["index"]))
+    bodies = audit.snapshot_bodies(partly).write.mode("append").partitionBy("dt", "product", "batch")
+    bodies.parquet(layout.path("audit", "snapshot_bodies"))
+    for _ in range(2):
+        stored = pipeline.write_audit(decided.where(odd), layout, append=True)
+    issues = audit.verify_chain(stored["index"], stored["bodies"], stored["vectors"])
+    found = issues.groupBy("product").agg(F.count(F.lit(1)).alias("issues"))
+    kept = stored["bodies"].groupBy("product").agg(F.count(F.lit(1)).alias("bodies"))
+    sizes = stored["index"].groupBy("product").agg(F.count(F.lit(1)).alias("snapshots"), F.countDistinct("batch").alias("batches"))
+    return sizes.join(kept, "product").join(found, "product", "left").fillna(0, ["issues"])
+
+
 @query
 def chain_verify(f: Feeds) -> DataFrame:
     stored = _tampered(f)
@@ -653,6 +671,19 @@ def replay_sample(f: Feeds) -> DataFrame:
     return audit.replay_sample(stored["bodies"], stored["vectors"], n=10, seed=7).select("decision_id", "matches")
 
 
+@query
+def decision_detail(f: Feeds) -> DataFrame:
+    """The decision of each product with the smallest id, with its snapshot, vector and replay."""
+    stored = _audit(f)
+    bodies = cut(stored["bodies"])
+    smallest = bodies.groupBy("product").agg(F.min("decision_id").alias("decision_id")).drop("product")
+    shown = audit.decision_detail(bodies.join(smallest, "decision_id", "left_semi"), stored["vectors"], F.col("decision_id"))
+    return shown.select(
+        "decision_id", "product", "outcome", _text_list("reason_codes"), "rule_pack_version",
+        (F.sha2("vector", 256) == F.col("feature_vector_sha256")).alias("vector_intact"), "matches", "replayed_outcome",
+    )
+
+
 @query
 def replay_pii_invariant(f: Feeds) -> DataFrame:
     rows = vectors.assemble(f.silver(), AS_OF)

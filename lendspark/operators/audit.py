@@ -1,17 +1,17 @@
 """Tamper-evident decision snapshots: minimised vectors, hash chains, verification and replay.
 
 Every snapshot holds the hash of the one before it, so that one product's snapshots form a chain from
-a fixed genesis hash. Hashing along a chain is serial by nature; to spread it, a large batch is dealt
-into segments of bounded size. Within a segment the chain is folded row by row; the first row of a
-later segment points to an anchor instead, the hash of the previous anchor and of the previous
-segment's contents. All anchors are known before any fold starts, so segments run in parallel, while
-every row still depends on all rows before it. A batch of one segment is a plain chain.
+a fixed genesis hash. Hashing along a chain is serial by nature; to spread it, every batch is dealt into
+`shards` segments by the customer, whatever its size. Within a segment the chain is folded row by row; the
+first row of a later segment points to an anchor instead, the hash of the previous anchor and of the
+previous segment's contents. All anchors are known before any fold starts, so segments run in parallel,
+while every row still depends on all rows before it. One shard is a plain chain. Folds read their rows as
+a stream, so that a segment may be of any size; the number of shards is stored with every row.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -26,10 +26,11 @@ from lendspark.operators.packs import PACKS, RulePack, evaluate_version
 from lendspark.operators.vectors import VECTOR_COLUMNS
 from lendspark.session import cut
 
-# Rows folded by one task; at about a kilobyte a row this stays far below an executor's memory.
-SEGMENT_ROWS = 50_000
+# Segments per product and batch: as many tasks can hash at once. A property of the stored chain, not of its size.
+SHARDS = 32
 
-_MAX_CHAINS = 10_000
+# Heads of up to so many chains are broadcast; more are joined.
+_BROADCAST_CHAINS = 10_000
 
 HASH_MISMATCH = "hash_mismatch"
 CHAIN_BREAK = "chain_break"
@@ -86,11 +87,11 @@ def new_vectors(rows: DataFrame, stored: DataFrame) -> DataFrame:
 # --- writing chains -----------------------------------------------------------------------------
 
 
-def _segment_of(n_segments: int) -> Column:
+def _segment_of(shards: int) -> Column:
     """A customer's segment within the batch. Customers are distinct within a product, so segments
     are of like size whatever the data."""
     bits = F.conv(F.substring(F.sha2("emirates_id", 256), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(bits, F.lit(n_segments))
+    return F.pmod(bits, F.lit(shards))
 
 
 def _bodies(decided: DataFrame) -> DataFrame:
@@ -126,9 +127,26 @@ def _with_text(rows: DataFrame) -> DataFrame:
     ).withColumn("_digest", F.sha2(F.concat("_head", "_tail"), 256))
 
 
-def _segment_digest() -> Column:
-    """Digest of a segment's contents; a segment is of bounded size, so its hashes fit in one row."""
-    return F.sha2(F.array_join(F.array_sort(F.collect_list("_digest")), ""), 256)
+def _fold_digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The hash of a segment's digests in their order, one row per segment."""
+    at, state = None, hashlib.sha256()
+    for frame in frames:
+        done = []
+        for *place, digest in frame.itertuples(index=False, name=None):
+            if place != at:
+                if at is not None:
+                    done.append((*at, state.hexdigest()))
+                at, state = place, hashlib.sha256()
+            state.update(digest.encode())
+        yield pd.DataFrame(done, columns=["product", "segment", "digest"])
+    if at is not None:
+        yield pd.DataFrame([(*at, state.hexdigest())], columns=["product", "segment", "digest"])
+
+
+def _segment_digests(rows: DataFrame) -> DataFrame:
+    """(product, segment, digest) of rows that are dealt by product and segment already."""
+    ordered = rows.sortWithinPartitions("product", "segment", "seq").select("product", "segment", "_digest")
+    return ordered.mapInPandas(_fold_digests, "product string, segment bigint, digest string")
 
 
 def _anchored(segments: DataFrame) -> DataFrame:
@@ -178,43 +196,35 @@ def chain_heads(index: DataFrame) -> DataFrame:
     )
 
 
-def _chain_starts(bodies: DataFrame, heads: DataFrame | None) -> DataFrame:
-    """Heads of the chains to continue as a table small enough to broadcast: one row per product,
-    and that is checked."""
-    spark = bodies.sparkSession
-    schema = "product string, start string, _last bigint, _batch bigint"
+def _with_starts(bodies: DataFrame, heads: DataFrame | None) -> DataFrame:
+    """Bodies with the head of the chain they continue, and where it stands."""
+    none = {"start": "string", "_last": "bigint", "_batch": "bigint"}
     if heads is None:
-        return spark.createDataFrame([], schema)
-    rows = heads.select("product", "head", "segment", "batch").limit(_MAX_CHAINS + 1).collect()
-    if len(rows) > _MAX_CHAINS:
-        raise ValueError(f"more than {_MAX_CHAINS} chains: the product column does not hold products")
-    return spark.createDataFrame([tuple(r) for r in rows], schema)
+        return bodies.withColumns({name: F.lit(None).cast(kind) for name, kind in none.items()})
+    starts = cut(heads.select("product", F.col("head").alias("start"), F.col("segment").alias("_last"), F.col("batch").alias("_batch")))
+    if starts.count() <= _BROADCAST_CHAINS:  # one row per product; a join would deal all rows by product
+        starts = F.broadcast(starts)
+    return bodies.join(starts, "product", "left")
 
 
-def write_snapshots(
-    decided: DataFrame, heads: DataFrame | None = None, segment_rows: int = SEGMENT_ROWS
-) -> DataFrame:
+def write_snapshots(decided: DataFrame, heads: DataFrame | None = None, shards: int = SHARDS) -> DataFrame:
     """Snapshots of one batch of decisions (index and body columns together).
 
     `heads` (from `chain_heads`) continues existing chains; without it chains start at genesis.
     """
-    bodies = cut(_bodies(decided))
-    largest = bodies.groupBy("product").count().agg(F.max("count")).head()[0] or 0
-    n_segments = max(1, math.ceil(largest / segment_rows))
-    starts = _chain_starts(bodies, heads)
     placed = (
-        bodies.join(F.broadcast(starts), "product", "left")
+        _with_starts(cut(_bodies(decided)), heads)
         .withColumn("start", F.coalesce("start", F.lit(GENESIS_HASH)))
-        .withColumn("batch", F.coalesce("_batch", F.lit(0)) + 1)
-        .withColumn("segment", F.coalesce("_last", F.lit(-1)) + 1 + _segment_of(n_segments))
+        .withColumn("batch", F.coalesce("_batch", F.lit(0).cast("bigint")) + 1)
+        .withColumn("segment", F.coalesce("_last", F.lit(-1).cast("bigint")) + 1 + _segment_of(shards))
+        .withColumn("shards", F.lit(shards).cast("bigint"))
         .drop("_last", "_batch")
+        .repartition("product", "segment")
     )
-    numbered = placed.withColumn(
-        "seq", F.row_number().over(Window.partitionBy("product", "segment").orderBy("decision_id")).cast("bigint")
-    )
-    segments = placed.groupBy("product", "segment").agg(
-        F.max("start").alias("start"), _segment_digest().alias("digest")
-    )
+    in_segment = Window.partitionBy("product", "segment").orderBy("decision_id")
+    numbered = placed.withColumn("seq", F.row_number().over(in_segment).cast("bigint"))
+    starts = numbered.groupBy("product", "segment").agg(F.max("start").alias("start"))
+    segments = _segment_digests(numbered).join(starts, ["product", "segment"]).select("product", "segment", "start", "digest")
     chained = (
         numbered.join(_anchored(segments), ["product", "segment"])
         .select("product", "segment", "seq", "anchor", F.col("_head").alias("head"), F.col("_tail").alias("tail"))
@@ -227,9 +237,9 @@ def write_snapshots(
 
 def snapshot_index(snapshots: DataFrame) -> DataFrame:
     return snapshots.select(
-        "segment", "seq", "batch", "decision_id", "emirates_id", "decision_ts", "outcome",
+        "segment", "seq", "shards", "decision_id", "emirates_id", "decision_ts", "outcome",
         "feature_vector_sha256", _PREV, _THIS, "engine_version", "rule_pack_version", "pipeline_version",
-        "dt", "product",
+        "dt", "product", "batch",
     )
 
 
@@ -237,7 +247,7 @@ def snapshot_bodies(snapshots: DataFrame) -> DataFrame:
     return snapshots.select(
         "decision_id", "emirates_id", "decision_ts", "outcome", "reason_codes", "engine_version",
         "rule_pack_version", "pipeline_version", "feature_vector_sha256", "feature_vector_path",
-        _PREV, _THIS, "dt", "product",
+        _PREV, _THIS, "dt", "product", "batch",
     )
 
 
@@ -249,77 +259,67 @@ def verify_chain(
 ) -> DataFrame:
     """Every integrity issue of the stored chains: (decision_id, product, kind, detail).
 
-    Hashes are recomputed row by row in parallel. The order check looks one row back within a
-    segment; segments are tied together over one narrow row each. A vector that is no longer stored
-    is not an issue.
+    Index and bodies meet once, and are then dealt by segment once: hashes are recomputed row by row, the
+    order check looks back to the last row of the segment that is there, and segments are tied together
+    over one narrow row each. A vector that is no longer stored is not an issue.
     """
     if product is not None:
         index = index.where(F.col("product") == product)
         bodies = bodies.where(F.col("product") == product)
-    places = index.select("decision_id", "product", "segment", "seq", "batch")
-    stored = bodies.withColumnRenamed("product", "_product").withColumn("_present", F.lit(True))
-    joined = places.join(stored, "decision_id", "left")
-    missing = joined.where(F.col("_present").isNull()).select(
-        "decision_id",
-        "product",
-        F.lit(MISSING_FILE).alias("kind"),
-        F.lit("snapshot body not found").alias("detail"),
-    )
+    places = index.select("decision_id", "batch", F.col("product").alias("chain"), "segment", "seq")
     # The body's own product is part of its text; the index decides which chain it stands in.
-    present = joined.where(F.col("_present")).withColumnRenamed("product", "chain")
-    present = _with_text(present.withColumnRenamed("_product", "product"))
-    rehashed = F.sha2(F.concat("_head", F.col(_PREV), "_tail"), 256)
-    in_segment = Window.partitionBy("chain", "segment").orderBy("seq")
-    rows = present.select(
-        "decision_id", "chain", "segment", "seq", "batch", "feature_vector_sha256", _PREV, _THIS, "_digest",
-        rehashed.alias("_rehashed"),
-        F.lag(_THIS).over(in_segment).alias("_before"),
-    )
+    joined = _with_text(places.join(bodies.withColumn("_present", F.lit(True)), ["decision_id", "batch"], "left"))
+    rows = joined.select(
+        F.col("chain").alias("product"), "segment", "seq", "batch", "decision_id", "_present", "feature_vector_sha256", _PREV, _THIS, "_digest",
+        F.sha2(F.concat("_head", F.col(_PREV), "_tail"), 256).alias("_rehashed"),
+    ).repartition("product", "segment")
+    earlier = Window.partitionBy("product", "segment").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.last(_THIS, ignorenulls=True).over(earlier)
 
-    segments = rows.groupBy("chain", "segment").agg(
-        F.max("batch").alias("batch"),
-        F.min_by(_PREV, "seq").alias("anchor"),
-        F.max_by(_THIS, "seq").alias("last"),
-        _segment_digest().alias("digest"),
-    )
-    along = Window.partitionBy("chain").orderBy("segment")
-    follows_batch = F.lag("batch").over(along) == F.col("batch")
-    expected = F.when(
-        follows_batch, F.sha2(F.concat(F.lag("anchor").over(along), F.lag("digest").over(along)), 256)
-    ).otherwise(F.coalesce(F.lag("last").over(along), F.lit(GENESIS_HASH)))
-    openings = segments.select("chain", "segment", expected.alias("_opening"))
-
-    checked = rows.join(openings, ["chain", "segment"])
-    before = F.coalesce("_before", "_opening")
     short = lambda c: F.concat(F.substring(c, 1, 12), F.lit("..."))
     issue = lambda bad, kind, detail: F.when(
         bad, F.struct(F.lit(kind).alias("kind"), detail.alias("detail"))
     )
+
+    def broken(expected: Column) -> Column:
+        detail = F.concat(F.lit("prev "), short(F.col(_PREV)), F.lit(" != expected "), short(expected))
+        return issue(F.col(_PREV) != expected, CHAIN_BREAK, detail)
+
+    differs = F.concat(F.lit("recomputed "), short(F.col("_rehashed")), F.lit(" != stored "), short(F.col(_THIS)))
     found = F.array(
-        issue(
-            F.col("_rehashed") != F.col(_THIS),
-            HASH_MISMATCH,
-            F.concat(F.lit("recomputed "), short(F.col("_rehashed")), F.lit(" != stored "), short(F.col(_THIS))),
-        ),
-        issue(
-            F.col(_PREV) != before,
-            CHAIN_BREAK,
-            F.concat(F.lit("prev "), short(F.col(_PREV)), F.lit(" != expected "), short(before)),
-        ),
+        issue(F.col("_present").isNull(), MISSING_FILE, F.lit("snapshot body not found")),
+        issue(F.col("_rehashed") != F.col(_THIS), HASH_MISMATCH, differs),
+        broken(F.col("_before")),
     )
-    broken = checked.select(
-        "decision_id", F.col("chain").alias("product"), F.inline(F.filter(found, lambda i: i.isNotNull()))
+    own = rows.withColumn("_before", before).select(
+        "decision_id", "product", F.inline(F.filter(found, lambda i: i.isNotNull()))
     )
+
+    present = rows.where("_present")
+    ends = present.groupBy("product", "segment").agg(
+        F.max("batch").alias("batch"),
+        F.min_by(F.struct("decision_id", _PREV), "seq").alias("first"),
+        F.max_by(_THIS, "seq").alias("last"),
+    )
+    segments = ends.join(_segment_digests(present), ["product", "segment"])
+    along = Window.partitionBy("product").orderBy("segment")
+    follows_batch = F.lag("batch").over(along) == F.col("batch")
+    opening = F.when(
+        follows_batch, F.sha2(F.concat(F.lag(f"first.{_PREV}").over(along), F.lag("digest").over(along)), 256)
+    ).otherwise(F.coalesce(F.lag("last").over(along), F.lit(GENESIS_HASH)))
+    tied = segments.select("product", "first.decision_id", F.col(f"first.{_PREV}").alias(_PREV), opening.alias("_opening"))
+    untied = tied.select("decision_id", "product", F.inline(F.array_compact(F.array(broken(F.col("_opening"))))))
+
     altered = vectors.where(F.sha2("json", 256) != F.col("sha256")).select(
         F.col("sha256").alias("feature_vector_sha256")
     )
-    mismatched = rows.join(altered, "feature_vector_sha256", "left_semi").select(
+    mismatched = present.join(altered, "feature_vector_sha256", "left_semi").select(
         "decision_id",
-        F.col("chain").alias("product"),
+        "product",
         F.lit(VECTOR_MISMATCH).alias("kind"),
-        F.lit("feature vector contents do not match stored hash").alias("detail"),
+        F.lit("the stored vector hashes to another value").alias("detail"),
     )
-    return missing.unionByName(broken).unionByName(mismatched)
+    return own.unionByName(untied).unionByName(mismatched)
 
 
 def issue_summary(issues: DataFrame) -> DataFrame:
@@ -370,14 +370,27 @@ def replay(bodies: DataFrame, vectors: DataFrame, packs: Iterable[RulePack] = PA
 
 
 def replay_sample(
-    bodies: DataFrame, vectors: DataFrame, n: int = 10, seed: int | None = None, packs: Iterable[RulePack] = PACKS
+    bodies: DataFrame, vectors: DataFrame, n: int = 10, seed: int = 0, packs: Iterable[RulePack] = PACKS
 ) -> DataFrame:
-    """Replay of `n` snapshots picked at random."""
-    return replay(bodies.orderBy(F.rand(seed)).limit(n), vectors, packs)
+    """Replay of `n` snapshots picked at random; a seed picks the same ones every time."""
+    chance = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("decision_id")), 256)
+    return replay(bodies.orderBy(chance, "decision_id").limit(n), vectors, packs)
 
 
 def replay_decision(
     bodies: DataFrame, vectors: DataFrame, decision_id: str, packs: Iterable[RulePack] = PACKS
 ) -> DataFrame:
-    """Replay of one decision."""
-    return replay(bodies.where(F.col("decision_id") == decision_id), vectors, packs)
+    """Replay of one decision; raises `LookupError` if it is not stored."""
+    body = bodies.where(F.col("decision_id") == decision_id)
+    if body.isEmpty():
+        raise LookupError(f"no snapshot of decision {decision_id!r}")
+    return replay(body, vectors, packs)
+
+
+def decision_detail(bodies: DataFrame, vectors: DataFrame, decision_id: Column | str) -> DataFrame:
+    """Snapshot, stored vector and replay of the decisions with the given id, side by side."""
+    wanted = F.lit(decision_id) if isinstance(decision_id, str) else decision_id
+    chosen = bodies.where(F.col("decision_id") == wanted)
+    again = replay(chosen, vectors).select("decision_id", "matches", "replayed_outcome", "replayed_reasons")
+    stored = vectors.select(F.col("sha256").alias("feature_vector_sha256"), F.col("json").alias("vector"))
+    return chosen.join(stored, "feature_vector_sha256", "left").join(again, "decision_id", "left")

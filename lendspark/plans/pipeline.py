@@ -123,21 +123,29 @@ def read_audit(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def write_audit(
-    decided: DataFrame, layout: Layout, append: bool = False, segment_rows: int = audit.SEGMENT_ROWS
+    decided: DataFrame, layout: Layout, append: bool = False, shards: int = audit.SHARDS
 ) -> dict[str, DataFrame]:
-    """Store vectors, bodies and index of a batch; `append` continues the chains already stored."""
+    """Store vectors, bodies and index of a batch; `append` continues the chains already stored.
+
+    It can be repeated: decisions that the index holds are left out, and a batch that was only stored in
+    part is written over, as it gets the same number and the same hashes again.
+    """
     spark = decided.sparkSession
-    mode = "append" if append else "overwrite"
     stored = read_audit(spark, layout)
+    heads = None
+    if append:
+        decided = decided.join(stored["index"].select("decision_id"), "decision_id", "left_anti")
+        heads = audit.chain_heads(stored["index"])
+    snapshots = cut(audit.write_snapshots(decided, heads, shards))
     rows = audit.vector_store_rows(audit.hashed_vectors(decided))
     if append:
         rows = audit.new_vectors(rows, stored["vectors"])
-    heads = audit.chain_heads(stored["index"]) if append else None
-    snapshots = cut(audit.write_snapshots(decided, heads, segment_rows))
-    write_table(rows, layout.path("audit", "feature_vectors"), ("prefix",), mode)
-    by_day = ("dt", "product")
-    write_table(audit.snapshot_bodies(snapshots), layout.path("audit", "snapshot_bodies"), by_day, mode)
-    write_table(audit.snapshot_index(snapshots), layout.path("audit", "snapshot_index"), by_day, mode)
+    write_table(rows, layout.path("audit", "feature_vectors"), ("prefix",), "append" if append else "overwrite")
+    # The index comes last: what it does not hold yet does not count as stored.
+    for name, part in (("snapshot_bodies", audit.snapshot_bodies), ("snapshot_index", audit.snapshot_index)):
+        writer = part(snapshots).write.mode("overwrite").partitionBy("dt", "product", "batch")
+        mode = "dynamic" if append else "static"
+        writer.option("partitionOverwriteMode", mode).parquet(layout.path("audit", name))
     return read_audit(spark, layout)
 
 

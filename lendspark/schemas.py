@@ -64,17 +64,17 @@ FACT_DECISION = (
 )
 
 SNAPSHOT_INDEX = (
-    "segment bigint, seq bigint, batch bigint, decision_id string, emirates_id string,"
+    "segment bigint, seq bigint, shards bigint, decision_id string, emirates_id string,"
     " decision_ts string, outcome string, feature_vector_sha256 string, prev_snapshot_sha256 string,"
     " this_snapshot_sha256 string, engine_version string, rule_pack_version string,"
-    " pipeline_version string, dt string, product string"
+    " pipeline_version string, dt string, product string, batch bigint"
 )
 
 SNAPSHOT_BODY = (
     "decision_id string, emirates_id string, decision_ts string, outcome string,"
     " reason_codes array<string>, engine_version string, rule_pack_version string,"
     " pipeline_version string, feature_vector_sha256 string, feature_vector_path string,"
-    " prev_snapshot_sha256 string, this_snapshot_sha256 string, dt string, product string"
+    " prev_snapshot_sha256 string, this_snapshot_sha256 string, dt string, product string, batch bigint"
 )
 
 FEATURE_VECTORS = "sha256 string, json string, prefix string"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lendspark.config import GENESIS_HASH, PII_FIELDS
 from lendspark.operators import audit, decisions
+from lendspark.plans import pipeline
 from lendspark.session import cut
 
 
@@ -17,8 +18,8 @@ def decided(spark, as_of, n, product="personal_finance", start=0):
     return decisions.decide(vectors(spark, rows), as_of, "run")
 
 
-def stored(batch, heads=None, segment_rows=audit.SEGMENT_ROWS):
-    snapshots = cut(audit.write_snapshots(batch, heads, segment_rows))
+def stored(batch, heads=None, shards=1):
+    snapshots = cut(audit.write_snapshots(batch, heads, shards))
     return {
         "index": audit.snapshot_index(snapshots),
         "bodies": audit.snapshot_bodies(snapshots),
@@ -43,7 +44,7 @@ def chain(spark, as_of):
 @pytest.fixture(scope="module")
 def segmented(spark, as_of):
     both = decided(spark, as_of, 60).unionByName(decided(spark, as_of, 40, "bnpl"))
-    return stored(both, segment_rows=10)
+    return stored(both, shards=6)
 
 
 def test_one_segment_is_a_plain_chain(chain):
@@ -65,7 +66,7 @@ def test_hash_covers_the_canonical_body(chain):
     assert hashlib.sha256(text.encode()).hexdigest() == body["this_snapshot_sha256"]
 
 
-def test_segments_are_bounded_and_tied_together(segmented):
+def test_segments_are_tied_together(segmented):
     sizes = segmented["index"].groupBy("product", "segment").count()
     assert sizes.where("product = 'personal_finance'").count() > 1
     assert segmented["index"].select("decision_id").distinct().count() == 100
@@ -131,7 +132,7 @@ def test_a_rewritten_segment_breaks_the_next(spark, as_of, segmented):
     segments = sorted({r[0] for r in index.select("segment").collect()})
     victim = index.where(F.col("segment") == segments[0]).orderBy(F.desc("seq")).head()
     body = segmented["bodies"].where(F.col("decision_id") == victim["decision_id"]).head().asDict()
-    text = {k: v for k, v in body.items() if k not in ("this_snapshot_sha256", "dt")} | {"outcome": "HOLD"}
+    text = {k: v for k, v in body.items() if k not in ("this_snapshot_sha256", "dt", "batch")} | {"outcome": "HOLD"}
     rehashed = hashlib.sha256(json.dumps(text, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
     bodies = changed(segmented["bodies"], victim["decision_id"], "outcome", "HOLD")
     bodies = changed(bodies, victim["decision_id"], "this_snapshot_sha256", rehashed)
@@ -160,12 +161,18 @@ def test_single_product(segmented):
     assert {r["product"] for r in found.collect()} == {"bnpl"}
 
 
-@pytest.mark.parametrize("segment_rows", [1000, 7])
-def test_appending_continues_the_chain(spark, as_of, segment_rows):
-    first = stored(decided(spark, as_of, 20), segment_rows=segment_rows)
+def test_the_layout_does_not_hang_on_the_size_of_the_batch(spark, as_of):
+    few, many = (stored(decided(spark, as_of, n), shards=4)["index"] for n in (5, 50))
+    joined = few.join(many.select("decision_id", F.col("segment").alias("s"), F.col("shards").alias("n")), "decision_id")
+    assert joined.where("segment = s AND shards = n AND n = 4").count() == 5
+
+
+@pytest.mark.parametrize("shards", [1, 5])
+def test_appending_continues_the_chain(spark, as_of, shards):
+    first = stored(decided(spark, as_of, 20), shards=shards)
     heads = audit.chain_heads(first["index"])
     more = decided(spark, as_of, 15, start=100).unionByName(decided(spark, as_of, 5, "bnpl"))
-    second = stored(more, heads, segment_rows)
+    second = stored(more, heads, shards)
     opening = second["index"].where("product = 'personal_finance'").orderBy("segment", "seq").head()
     assert opening["prev_snapshot_sha256"] == one(heads)["head"] and opening["batch"] == 2
     both = {k: first[k].unionByName(second[k]) for k in first}
@@ -205,4 +212,33 @@ def test_replay(spark, as_of, segmented):
     bad = one(audit.replay(bodies, segmented["vectors"]).where("NOT matches"))
     assert bad["decision_id"] == victim and bad["original_outcome"] == "HOLD"
     assert one(audit.replay_decision(segmented["bodies"], segmented["vectors"], victim))["matches"] is True
-    assert audit.replay_sample(segmented["bodies"], segmented["vectors"], 7, seed=1).count() == 7
+    with pytest.raises(LookupError):
+        audit.replay_decision(segmented["bodies"], segmented["vectors"], "dcn_unknown")
+
+
+def test_a_seed_repeats_its_sample(segmented):
+    picked = [
+        sorted(column(audit.replay_sample(bodies, segmented["vectors"], 7, seed), "decision_id"))
+        for bodies, seed in ((segmented["bodies"], 1), (segmented["bodies"].repartition(3), 1), (segmented["bodies"], 2))
+    ]
+    assert len(picked[0]) == 7 and picked[0] == picked[1] != picked[2]
+
+
+def test_an_append_can_be_repeated(spark, as_of, tmp_path):
+    layout = pipeline.Layout(str(tmp_path))
+    first, more = decided(spark, as_of, 30), decided(spark, as_of, 20, start=50)
+    pipeline.write_audit(first, layout, append=True, shards=3)
+    for _ in range(2):
+        store = pipeline.write_audit(more, layout, append=True, shards=3)
+    assert store["index"].count() == store["bodies"].count() == 50 and issues(store) == []
+
+
+def test_an_append_that_died_between_bodies_and_index_is_made_good(spark, as_of, tmp_path):
+    layout = pipeline.Layout(str(tmp_path))
+    store = pipeline.write_audit(decided(spark, as_of, 30), layout, append=True, shards=3)
+    more = decided(spark, as_of, 20, start=50)
+    half = audit.snapshot_bodies(audit.write_snapshots(more, audit.chain_heads(store["index"]), 3))
+    half.write.mode("append").partitionBy("dt", "product", "batch").parquet(layout.path("audit", "snapshot_bodies"))
+    assert issues(pipeline.read_audit(spark, layout)) == []
+    store = pipeline.write_audit(more, layout, append=True, shards=3)
+    assert store["index"].count() == store["bodies"].count() == 50 and issues(store) == []

@@ -85,7 +85,7 @@ def test_aml_coverage(spark, as_of, screened, failed, breached):
 
 
 def test_fraud_phone_conflict(spark, as_of):
-    good = {"emirates_id": KNOWN_EID, "phone": "+971501234567"}
+    good = {"emirates_id": KNOWN_EID, "phone": "+971552468013"}
     rows = fraud(spark, [good] * 8 + [good | {"phone": "+0"}] * 2 + [{"emirates_id": "unknown", "phone": "+0"}, {"emirates_id": None}])
     assert score(spark, as_of, "fraud_phone_conflict", fraud=rows) == (10, 2, True, "WARN")
     assert score(spark, as_of, "fraud_phone_conflict") == (0, 0, False, "PASS")

@@ -19,18 +19,18 @@ def only(spark, as_of, source, row):
 
 CASES = [
     ("aecb", {"emirates_id": KNOWN_EID}, "eid_exact", KNOWN_EID, 1.0),
-    ("aecb", {"emirates_id": "784-2000-0000001-0"}, "eid_exact", "784-2000-0000001-0", 1.0),
-    ("fraud", {"emirates_id": "not-a-valid-eid"}, "quarantine", "not-a-valid-eid", 0.0),
-    ("fraud", {"emirates_id": "784-2099-9999999-9"}, "quarantine", "784-2099-9999999-9", 0.0),
-    ("aml", {"emirates_id": "784-2099-8888888-8"}, "quarantine", "784-2099-8888888-8", 0.0),
-    ("fraud", {"phone": "+971501234567", "email": "AHMED@example.ae"}, "phone_email_exact", KNOWN_EID, 0.95),
-    ("fraud", {"phone": "+971501234567"}, "quarantine", "", 0.0),
-    ("fraud", {"phone": "+971501234567", "email": ""}, "quarantine", "", 0.0),
-    ("aml", {"full_name": "AHMED Al Mansoori", "dob": "1990-01-15"}, "name_dob_fuzzy", KNOWN_EID, 1.0),
-    ("aml", {"full_name": "Ahmad Al Mansoori", "dob": "1990-01-15"}, "name_dob_fuzzy", KNOWN_EID, 0.929),
-    ("aml", {"full_name": "Ahmed Al Mansoori", "dob": "1980-01-01"}, "quarantine", "", 0.0),
-    ("aml", {"full_name": "Completely Different Person", "dob": "1990-01-15"}, "quarantine", "", 0.0),
-    ("aecb", {"emirates_id": "bad", "full_name": "AHMED AL MANSOORI", "dob": "1990-01-15"}, "name_dob_fuzzy", KNOWN_EID, 1.0),
+    ("aecb", {"emirates_id": "784-2001-7770001-3"}, "eid_exact", "784-2001-7770001-3", 1.0),
+    ("fraud", {"emirates_id": "784-no-number"}, "quarantine", "784-no-number", 0.0),
+    ("fraud", {"emirates_id": "784-2090-1112223-4"}, "quarantine", "784-2090-1112223-4", 0.0),
+    ("aml", {"emirates_id": "784-2091-4445556-7"}, "quarantine", "784-2091-4445556-7", 0.0),
+    ("fraud", {"phone": "+971552468013", "email": "BASSAM.Z@post.example"}, "phone_email_exact", KNOWN_EID, 0.95),
+    ("fraud", {"phone": "+971552468013"}, "quarantine", "", 0.0),
+    ("fraud", {"phone": "+971552468013", "email": ""}, "quarantine", "", 0.0),
+    ("aml", {"full_name": "BASSAM Al Zaabi", "dob": "1979-11-03"}, "name_dob_fuzzy", KNOWN_EID, 1.0),
+    ("aml", {"full_name": "Bassem Al Zaabi", "dob": "1979-11-03"}, "name_dob_fuzzy", KNOWN_EID, 0.93),
+    ("aml", {"full_name": "Bassam Al Zaabi", "dob": "1981-06-06"}, "quarantine", "", 0.0),
+    ("aml", {"full_name": "Nobody Of That Kind", "dob": "1979-11-03"}, "quarantine", "", 0.0),
+    ("aecb", {"emirates_id": "bad", "full_name": "BASSAM AL ZAABI", "dob": "1979-11-03"}, "name_dob_fuzzy", KNOWN_EID, 1.0),
 ]
 
 
@@ -52,19 +52,19 @@ def test_tiers(spark, as_of):
     links = resolve.links(resolved, as_of)
     lost = resolve.quarantine(resolved, silver, as_of)
     assert links.count() + lost.count() == len(CASES) + 2
-    body = json.loads(lost.where(F.col("emirates_id") == "not-a-valid-eid").head()["source_record"])
+    body = json.loads(lost.where(F.col("emirates_id") == "784-no-number").head()["source_record"])
     assert body["provider_ref"] == "f" and body["score"] == 100 and "raw_path" not in body
 
 
 def test_notes(spark, as_of):
-    assert only(spark, as_of, "aecb", {"emirates_id": "784-2000-0000001-0"})["notes"].startswith("new customer")
-    assert only(spark, as_of, "aml", {"full_name": "Ahmad Al Mansoori", "dob": "1990-01-15"})["notes"] == (
-        "jaro-winkler=0.929, backfilled emirates_id"
+    assert only(spark, as_of, "aecb", {"emirates_id": "784-2001-7770001-3"})["notes"].startswith("new customer")
+    assert only(spark, as_of, "aml", {"full_name": "Bassem Al Zaabi", "dob": "1979-11-03"})["notes"] == (
+        "jaro-winkler=0.930, backfilled emirates_id"
     )
 
 
 def person(i, name, **more):
-    return {"internal_uuid": f"u{i}", "emirates_id": f"784-1990-000000{i}-0", "full_name": name, "dob": "1990-01-15",
+    return {"internal_uuid": f"u{i}", "emirates_id": f"784-1990-000000{i}-0", "full_name": name, "dob": "1979-11-03",
             "phone": f"+{i}", "email": f"{i}@e"} | more
 
 
@@ -79,7 +79,7 @@ def person(i, name, **more):
 )
 def test_ambiguous_names_are_quarantined(spark, names, tier):
     known = profiles(spark, [person(i, n) for i, n in enumerate(names)])
-    silver = {"profile": known, "aml": aml(spark, [{"full_name": "omar khan", "dob": "1990-01-15"}])}
+    silver = {"profile": known, "aml": aml(spark, [{"full_name": "omar khan", "dob": "1979-11-03"}])}
     assert one(resolve.resolve(silver).where(F.col("source") == "aml"))["match_tier"] == tier
 
 
@@ -115,7 +115,7 @@ def test_a_hot_id_is_spread_and_nothing_is_lost(spark):
 
 
 def test_backfilled_id_reaches_the_vectors(spark, as_of):
-    report = {"emirates_id": None, "full_name": "AHMED AL MANSOORI", "dob": "1990-01-15", "credit_score": 777}
+    report = {"emirates_id": None, "full_name": "BASSAM AL ZAABI", "dob": "1979-11-03", "credit_score": 777}
     silver = {"profile": profiles(spark), "aecb": bureau(spark, [report]), "fraud": fraud(spark, []), "aml": aml(spark, [])}
     mine = F.col("emirates_id") == KNOWN_EID
     plain = vectors.assemble(silver, as_of, products=("bnpl",)).where(mine)
@@ -127,32 +127,32 @@ def test_backfilled_id_reaches_the_vectors(spark, as_of):
 def test_conflicts_follow_precedence(spark, as_of):
     silver = {
         "profile": profiles(spark),
-        "aecb": bureau(spark, [{"emirates_id": KNOWN_EID, "full_name": " ahmed AL mansoori ", "dob": "1990-01-16"}]),
+        "aecb": bureau(spark, [{"emirates_id": KNOWN_EID, "full_name": "  bassam AL zaabi ", "dob": "1979-11-04"}]),
         "fraud": fraud(
             spark,
-            [{"emirates_id": KNOWN_EID, "phone": "+999", "email": "AHMED@EXAMPLE.AE"},
+            [{"emirates_id": KNOWN_EID, "phone": "+999", "email": "BASSAM.Z@POST.EXAMPLE"},
              {"emirates_id": KNOWN_EID, "phone": "+000", "email": "later@e"}],
         ),
-        "aml": aml(spark, [{"emirates_id": KNOWN_EID, "full_name": "Ahmad", "dob": ""}]),
+        "aml": aml(spark, [{"emirates_id": KNOWN_EID, "full_name": "Bassem", "dob": ""}]),
     }
     found = {
         (r["field"], r["winning_source"], r["winning_value"], r["losing_source"], r["losing_value"])
         for r in conflicts.detect_conflicts(silver, as_of).collect()
     }
     assert found == {
-        ("phone", "profile", "+971501234567", "fraud", "+999"),
-        ("full_name", "profile", "Ahmed Al Mansoori", "aml", "Ahmad"),
-        ("dob", "profile", "1990-01-15", "aecb", "1990-01-16"),
+        ("phone", "profile", "+971552468013", "fraud", "+999"),
+        ("full_name", "profile", "Bassam Al Zaabi", "aml", "Bassem"),
+        ("dob", "profile", "1979-11-03", "aecb", "1979-11-04"),
     }
 
 
 def test_next_source_wins_where_the_profile_is_silent(spark, as_of):
-    known = profiles(spark, [person(1, None, dob="1990-01-15")])
+    known = profiles(spark, [person(1, None, dob="1979-11-03")])
     eid = "784-1990-0000001-0"
     silver = {
         "profile": known, "fraud": fraud(spark, []),
-        "aecb": bureau(spark, [{"emirates_id": eid, "full_name": "A", "dob": "1990-01-15"}]),
-        "aml": aml(spark, [{"emirates_id": eid, "full_name": "B", "dob": "1990-01-15"}]),
+        "aecb": bureau(spark, [{"emirates_id": eid, "full_name": "A", "dob": "1979-11-03"}]),
+        "aml": aml(spark, [{"emirates_id": eid, "full_name": "B", "dob": "1979-11-03"}]),
     }
     row = one(conflicts.detect_conflicts(silver, as_of))
     assert (row["winning_source"], row["losing_source"], row["losing_value"]) == ("aecb", "aml", "B")

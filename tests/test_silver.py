@@ -21,20 +21,20 @@ REPORT = """
 <n:ResponseId>resp-1</n:ResponseId>
 <n:NewApplication><n:CBContractId>A1</n:CBContractId></n:NewApplication>
 <n:EnquiredSubject><n:Individual>
-  <n:NameEN><n:FirstName>SHAFIK</n:FirstName><n:LastName>HUSSEIN</n:LastName></n:NameEN>
-  <n:DOB>17061988</n:DOB><n:EmiratesId> 784-1988-4973253-6 </n:EmiratesId></n:Individual></n:EnquiredSubject>
+  <n:NameEN><n:FirstName>SAMIRA</n:FirstName><n:LastName>KHOURY</n:LastName></n:NameEN>
+  <n:DOB>09041991</n:DOB><n:EmiratesId> 784-1991-5550123-4 </n:EmiratesId></n:Individual></n:EnquiredSubject>
 <n:Response>
-  <n:MatchedSubject><n:CBSubjectId>545</n:CBSubjectId><n:Individual>
-    <n:FullNameEN>SHAFIK AHMED HUSSEIN</n:FullNameEN><n:Nationality>EG</n:Nationality></n:Individual></n:MatchedSubject>
+  <n:MatchedSubject><n:CBSubjectId>912</n:CBSubjectId><n:Individual>
+    <n:FullNameEN>SAMIRA LINA KHOURY</n:FullNameEN><n:Nationality>LB</n:Nationality></n:Individual></n:MatchedSubject>
   <n:EmploymentHistory><n:UpdateInfo><n:DateOfUpdate>01012020</n:DateOfUpdate></n:UpdateInfo>
     <n:EmploymentInfo><n:GrossAnnualIncome>1000</n:GrossAnnualIncome><n:ActualFlag>1</n:ActualFlag></n:EmploymentInfo></n:EmploymentHistory>
   <n:EmploymentHistory><n:UpdateInfo><n:DateOfUpdate>15062023</n:DateOfUpdate></n:UpdateInfo>
-    <n:EmploymentInfo><n:GrossAnnualIncome>50000.5</n:GrossAnnualIncome><n:ActualFlag>1</n:ActualFlag></n:EmploymentInfo></n:EmploymentHistory>
+    <n:EmploymentInfo><n:GrossAnnualIncome>81000.5</n:GrossAnnualIncome><n:ActualFlag>1</n:ActualFlag></n:EmploymentInfo></n:EmploymentHistory>
   <n:EmploymentHistory><n:UpdateInfo><n:DateOfUpdate>15062023</n:DateOfUpdate></n:UpdateInfo>
     <n:EmploymentInfo><n:GrossAnnualIncome>7</n:GrossAnnualIncome><n:ActualFlag>1</n:ActualFlag></n:EmploymentInfo></n:EmploymentHistory>
   <n:EmploymentHistory><n:UpdateInfo><n:DateOfUpdate>01012024</n:DateOfUpdate></n:UpdateInfo>
     <n:EmploymentInfo><n:GrossAnnualIncome>9</n:GrossAnnualIncome><n:ActualFlag>0</n:ActualFlag></n:EmploymentInfo></n:EmploymentHistory>
-  <n:PaymentOrder><n:Severity>1</n:Severity><n:Amount>100.5</n:Amount></n:PaymentOrder>
+  <n:PaymentOrder><n:Severity>1</n:Severity><n:Amount>210.5</n:Amount></n:PaymentOrder>
   <n:PaymentOrder><n:Severity>1</n:Severity><n:Amount>bad</n:Amount></n:PaymentOrder>
   <n:PaymentOrder><n:Severity>2</n:Severity><n:Amount>9</n:Amount></n:PaymentOrder>
   <n:Cases><n:CaseStatusCode>55</n:CaseStatusCode><n:InitialTotalClaimAmount>10</n:InitialTotalClaimAmount></n:Cases>
@@ -62,11 +62,11 @@ def parse(spark, as_of, *texts):
 def test_whole_report(spark, as_of):
     row = one(parse(spark, as_of, document(REPORT)).rows)
     expected = {
-        "report_id": "A1", "cb_subject_id": "545", "report_date": "2026-04-18", "emirates_id": "784-1988-4973253-6",
-        "full_name": "SHAFIK AHMED HUSSEIN", "dob": "1988-06-17", "nationality": "EG", "credit_score": 300,
+        "report_id": "A1", "cb_subject_id": "912", "report_date": "2026-04-18", "emirates_id": "784-1991-5550123-4",
+        "full_name": "SAMIRA LINA KHOURY", "dob": "1991-04-09", "nationality": "LB", "credit_score": 300,
         "score_range": "A", "payment_order_flag": True, "num_bounced_cheques": 2,
-        "total_bounced_cheques_amount": 100.5, "num_court_cases": 3, "num_open_court_cases": 2,
-        "total_claim_amount": 35.0, "gross_annual_income": 50000.5, "ingest_run_id": "run",
+        "total_bounced_cheques_amount": 210.5, "num_court_cases": 3, "num_open_court_cases": 2,
+        "total_claim_amount": 35.0, "gross_annual_income": 81000.5, "ingest_run_id": "run",
     }
     assert {k: row[k] for k in expected} == expected
 
