@@ -362,6 +362,13 @@ ORACLES: dict[str, str] = {
     "er_tier1": _with("SELECT * FROM resolved WHERE match_tier = 'eid_exact'"),
     "er_tier2": _with("SELECT * FROM links WHERE match_tier = 'phone_email_exact'"),
     "er_tier3": _with("SELECT * FROM links WHERE match_tier = 'name_dob_fuzzy'"),
+    "er_hot_birth_date": _with(
+        "SELECT w.dob, w.name, n.name AS known_name, round(jaro_winkler_similarity(w.name, n.name), 6) AS score FROM"
+        " (SELECT DISTINCT CASE WHEN k % 3 = 0 THEN '1985-05-05' ELSE dob END AS dob, lower(substr(full_name, 1, 1) || substr(full_name, 3, 1)"
+        " || substr(full_name, 2, 1) || substr(full_name, 4) || ' ' || emirate) AS name FROM users) w JOIN"
+        " (SELECT DISTINCT CASE WHEN k % 3 = 0 THEN '1985-05-05' ELSE dob END AS dob, lower(full_name || ' ' || emirate) AS name FROM users) n"
+        " ON w.dob = n.dob AND jaro_winkler_similarity(w.name, n.name) >= 0.92"
+    ),
     "er_mint_rule": _with(
         f"SELECT source, source_event_id, CASE WHEN hit OR source = 'aecb' THEN 'eid_exact' END AS match_tier,"
         " CASE WHEN NOT hit AND source = 'aecb' THEN 'new customer (EID not yet in profile index)' END AS notes FROM ("

@@ -322,6 +322,16 @@ def er_tier3(f: Feeds) -> DataFrame:
     return _links_of(f, resolve.NAME_DOB_FUZZY)
 
 
+@query
+def er_hot_birth_date(f: Feeds) -> DataFrame:
+    """Similar names where a third of all customers share one birth date."""
+    dob = "CASE WHEN k % 3 = 0 THEN '1985-05-05' ELSE dob END AS dob"
+    known = f.query(f"SELECT DISTINCT {dob}, lower(full_name || ' ' || emirate) AS name FROM users")
+    swapped = "substr(full_name, 1, 1) || substr(full_name, 3, 1) || substr(full_name, 2, 1) || substr(full_name, 4)"
+    wanted = f.query(f"SELECT DISTINCT {dob}, lower({swapped} || ' ' || emirate) AS name FROM users")
+    return resolve.strong_name_pairs(wanted, known).withColumn("score", F.round("score", 6))
+
+
 @query
 def er_mint_rule(f: Feeds) -> DataFrame:
     tables = f.silver()

@@ -10,8 +10,8 @@ m/a + m/b >= t with t = 3 * Jaro - 1, hence at most (2 - t) * max(a, b) characte
 both sides together; for given a and b the bound is a + b - 2 * t * a * b / (a + b). So if the
 alphabet is dealt into one more class than that, at least one class holds the same characters in both
 names. A key is the shared prefix, the length of the indexed name, the bound and the characters of one
-class; every pair at or above the floor shares a key, while unlike names seldom do. Pairs with three
-equal leading characters are caught by that prefix alone.
+class, for each length of the prefix up to four; every pair at or above the floor shares a key, while unlike
+names seldom do, whatever their first letters.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from pyspark.sql.types import DoubleType
 _PREFIX_WEIGHT = 0.1
 _PREFIX_MAX = 4
 _BOOST_ABOVE = 0.7
-_LONG_PREFIX = 3
 _SLACK = 1e-9
 # Letters by rough frequency in names, so that dealing them out by rank gives classes of like weight.
 _LETTER_RANKS = "a imhnerlsudoktyzbfqwjgcpxv"
@@ -150,23 +149,33 @@ def _probe_keys(block: str, name: str, prefix: int, ratio: float) -> Column:
 def _with_keys(df: DataFrame, block: str, name: str, floor: float, keys) -> DataFrame:
     if floor <= _BOOST_ABOVE or _needed_ratio(floor, _PREFIX_MAX) <= 1.0:
         raise ValueError("blocking needs a floor high enough to bound the unmatched characters")
-    by_prefix = F.array(F.xxhash64(block, F.lit(_LONG_PREFIX), F.substring(name, 1, _LONG_PREFIX)))
-    by_class = [keys(block, name, p, _needed_ratio(floor, p)) for p in range(_LONG_PREFIX)]
+    by_class = [
+        F.struct(F.lit(p).alias("prefix"), keys(block, name, p, _needed_ratio(floor, p)).alias("keys")) for p in range(_PREFIX_MAX + 1)
+    ]
     ranked = df.where(F.length(name) > 0).withColumn("_letters", _letter_ranks(name))
-    return ranked.select(*df.columns, F.explode(F.concat(by_prefix, *by_class)).alias("key"))
+    listed = ranked.select(*df.columns, F.inline(F.array(*by_class)))
+    return listed.select(*df.columns, "prefix", F.explode("keys").alias("key"))
 
 
 def with_index_keys(df: DataFrame, block: str, name: str, floor: float) -> DataFrame:
-    """One row per hashed key under which a name of a block can be found."""
+    """One row per prefix length and hashed key under which a name of a block can be found."""
     return _with_keys(df, block, name, floor, _index_keys)
 
 
 def with_probe_keys(df: DataFrame, block: str, name: str, floor: float) -> DataFrame:
-    """One row per hashed key to look a name up with: any indexed name of the same block scoring at
-    least `floor` has one of them. Unequal names or blocks may share a hash: verify the matches."""
+    """One row per prefix length and hashed key to look a name up with: any indexed name of the same block
+    scoring at least `floor` has one of them, under the length of the prefix they share (`meets`). Unequal
+    names or blocks may share a hash: verify the matches."""
     return _with_keys(df, block, name, floor, _probe_keys)
 
 
+def meets(left: str, right: str, prefix: str) -> Column:
+    """Whether two names that share a key of this prefix length begin to differ there; beyond the longest
+    prefix it does not matter. A pair thus meets under one prefix length only."""
+    length = F.col(prefix) + 1
+    return (F.col(prefix) == _PREFIX_MAX) | (F.substring(left, F.lit(1), length) != F.substring(right, F.lit(1), length))
+
+
 def letter_bits(letters: str) -> Column:
     """struct(bits, rest) of a sorted letter-rank array: two bits per listed letter, set if it occurs
     at least once and at least twice, and the number of letters that these bits leave out."""

@@ -23,15 +23,13 @@ from lendspark.config import GENESIS_HASH, PII_FIELDS, PIPELINE_VERSION
 from lendspark.functions.canonical import canonical_json, sha256
 from lendspark.functions.text import iso_timestamp, pii_token
 from lendspark.operators.packs import PACKS, RulePack, evaluate_version
+from lendspark.operators.skew import small
 from lendspark.operators.vectors import VECTOR_COLUMNS
 from lendspark.session import cut
 
 # Segments per product and batch: as many tasks can hash at once. A property of the stored chain, not of its size.
 SHARDS = 32
 
-# Heads of up to so many chains are broadcast; more are joined.
-_BROADCAST_CHAINS = 10_000
-
 HASH_MISMATCH = "hash_mismatch"
 CHAIN_BREAK = "chain_break"
 VECTOR_MISMATCH = "vector_mismatch"
@@ -201,10 +199,8 @@ def _with_starts(bodies: DataFrame, heads: DataFrame | None) -> DataFrame:
     none = {"start": "string", "_last": "bigint", "_batch": "bigint"}
     if heads is None:
         return bodies.withColumns({name: F.lit(None).cast(kind) for name, kind in none.items()})
-    starts = cut(heads.select("product", F.col("head").alias("start"), F.col("segment").alias("_last"), F.col("batch").alias("_batch")))
-    if starts.count() <= _BROADCAST_CHAINS:  # one row per product; a join would deal all rows by product
-        starts = F.broadcast(starts)
-    return bodies.join(starts, "product", "left")
+    starts = heads.select("product", F.col("head").alias("start"), F.col("segment").alias("_last"), F.col("batch").alias("_batch"))
+    return bodies.join(small(starts), "product", "left")  # one row per product
 
 
 def write_snapshots(decided: DataFrame, heads: DataFrame | None = None, shards: int = SHARDS) -> DataFrame:

@@ -92,10 +92,9 @@ def decision_lookup(
     decision_id: str | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Snapshots by product, outcome or id, newest first; `limit` caps a list shown to a person."""
+    """Snapshots by product, outcome or id; with a `limit`, for a list shown to a person, the newest ones in order."""
     found = index
     for name, value in (("product", product), ("outcome", outcome), ("decision_id", decision_id)):
         if value is not None:
             found = found.where(F.col(name) == value)
-    found = found.orderBy(F.desc("decision_ts"), "decision_id")
-    return found if limit is None else found.limit(limit)
+    return found if limit is None else found.orderBy(F.desc("decision_ts"), "decision_id").limit(limit)

@@ -17,13 +17,14 @@ from lendspark.config import AML, BUREAU, FRAUD, NAME_FUZZY_THRESHOLD, PROFILE
 from lendspark.functions.similarity import (
     jaro_winkler_column,
     may_reach,
+    meets,
     with_index_keys,
     with_letter_bits,
     with_probe_keys,
 )
 from lendspark.functions.text import valid_eid
 from lendspark.operators.keyed import latest_per_key
-from lendspark.operators.skew import lookup
+from lendspark.operators.skew import lookup, small
 from lendspark.session import cut
 
 EVENT_IDS = {
@@ -130,12 +131,14 @@ def _spread(names: DataFrame, *by: str) -> DataFrame:
 
 
 def strong_name_pairs(wanted: DataFrame, known: DataFrame, floor: float = NAME_FUZZY_THRESHOLD) -> DataFrame:
-    """Pairs of distinct (dob, name) with similarity of at least `floor`: all of them, perhaps twice.
+    """Pairs of distinct (dob, name) with similarity of at least `floor`: all of them, once.
 
     `wanted` and `known` hold distinct non-empty (dob, name); `known` may carry further columns.
     Names meet through blocking keys, never by birth date alone: a date that holds a third of all
-    customers would otherwise pair every name with every other.
+    customers would otherwise pair every name with every other. Only dates that are asked for are indexed,
+    and a pair that meets under several keys is scored once.
     """
+    known = known.join(small(wanted.select("dob").distinct()), "dob", "left_semi")
     listed = with_letter_bits(
         _spread(known.withColumnRenamed("name", "known_name"), "dob", "known_name"), "known_name", "_known_bits"
     )
@@ -143,9 +146,10 @@ def strong_name_pairs(wanted: DataFrame, known: DataFrame, floor: float = NAME_F
     index = with_index_keys(listed, "dob", "known_name", floor)
     probes = with_probe_keys(asked, "dob", "name", floor)
     return (
-        probes.join(index, ["key", "dob"])
-        .where(may_reach("name", "known_name", "_bits", "_known_bits", floor))
-        .drop("key", "_bits", "_known_bits")
+        probes.join(index, ["key", "dob", "prefix"])
+        .where(meets("name", "known_name", "prefix") & may_reach("name", "known_name", "_bits", "_known_bits", floor))
+        .drop("key", "prefix", "_bits", "_known_bits")
+        .dropDuplicates(["dob", "name", "known_name"])
         .withColumn("score", jaro_winkler_column("name", "known_name"))
         .where(F.col("score") >= floor)
     )

@@ -1,4 +1,4 @@
-"""Lookups that stay balanced when a few keys hold most of the rows."""
+"""Joins with small tables, and lookups that stay balanced when a few keys hold most of the rows."""
 
 from __future__ import annotations
 
@@ -7,48 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is spread if it holds more than this share of the rows, and enough rows to slow a task down.
-# At most 1/share keys can do so, whatever the data.
-HOT_SHARE = 0.002
-HOT_ROWS = 200_000
+from lendspark.session import cut
 
+# Narrow tables of up to so many rows are broadcast; larger ones are joined.
+BROADCAST_ROWS = 100_000
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of all keys that hold more than `share` of the rows and at least `rows` of them.
 
-    A one-pass sketch names the few keys that may be frequent; a second pass counts just these.
-    """
-    hashes = df.select(F.xxhash64(*keys).alias("h"))
-    if hashes.limit(rows).count() < rows:
-        return []
-    maybe = hashes.stat.freqItems(["h"], share).head()[0]
-    if not maybe:
-        return []
-    counted = hashes.groupBy(F.when(F.col("h").isin(maybe), F.col("h")).alias("h")).count().collect()
-    total = sum(row["count"] for row in counted)
-    return sorted(r["h"] for r in counted if r["h"] is not None and r["count"] >= max(rows, share * total))
-
-
-def lookup(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    share: float = HOT_SHARE,
-    rows: int = HOT_ROWS,
-) -> DataFrame:
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The table, stored and marked for broadcast if it has no more than `rows` rows."""
+    stored = cut(df)
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
+def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """`left.join(right, on, how)` for a `right` with one row per key.
 
-    Rows of a hot key are dealt over several tasks, each of which gets a copy of the one row looked
-    up. The keys only steer the shuffle; the result is the plain join's.
+    The right side is stored first. Both sides then come out of a shuffle made for this join alone, which is
+    what Spark needs to split the rows of a hot key over several tasks, each with a copy of the one row looked
+    up; below an aggregate it could not.
     """
-    hot = hot_hashes(left, on, share, rows)
-    if not hot:
-        return left.join(right, list(on), how)
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.xxhash64(*on).isin(hot)
-    part = F.pmod(F.xxhash64(*left.columns), F.lit(parts)).cast("int")
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    dealt = left.withColumn("_part", F.when(is_hot, part).otherwise(F.lit(0)))
-    copied = right.withColumn("_part", F.explode(copies))
-    return dealt.join(copied, [*on, "_part"], how).drop("_part")
+    return left.join(cut(right), list(on), how)

@@ -22,7 +22,7 @@ def landing(tmp_path):
     for source in ("aecb", "fraud", "aml", "profile"):
         (root / source).mkdir(parents=True)
     for i, eid in enumerate(EIDS[:4]):
-        text = document(REPORT.replace("784-1988-4973253-6", eid).replace(">A1<", f">A{i}<"))
+        text = document(REPORT.replace("784-1991-5550123-4", eid).replace(">A1<", f">A{i}<"))
         (root / "aecb" / f"{i}.xml").write_text(text)
     (root / "aecb" / "dup_0.xml").write_bytes((root / "aecb" / "0.xml").read_bytes())
     (root / "aecb" / "broken.xml").write_text("<open>")

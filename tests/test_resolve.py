@@ -103,15 +103,11 @@ def test_a_hot_id_is_spread_and_nothing_is_lost(spark):
     )
     right = spark.range(400).select(F.concat(F.lit("k"), F.col("id")).alias("key"), F.col("id").alias("value"))
     right = right.unionByName(spark.createDataFrame([("hot", -1)], "key string, value bigint"))
-    assert len(skew.hot_hashes(left, ["key"], 0.01, 100)) == 1
     for how in ("inner", "left"):
-        balanced = skew.lookup(left, right, ["key"], how, 0.01, 100)
-        plain = left.join(right, ["key"], how)
-        assert balanced.columns == plain.columns
-        assert sorted(map(tuple, balanced.fillna(-9).collect())) == sorted(map(tuple, plain.fillna(-9).collect()))
-        parts = skew.lookup(left, right, ["key"], how, 0.01, 100).where(F.col("key") == "hot")
-        assert parts.count() == 1000
-    assert skew.hot_hashes(left.where(F.col("key") != "hot"), ["key"], 0.01, 100) == []
+        found, plain = skew.lookup(left, right, ["key"], how), left.join(right, ["key"], how)
+        assert found.columns == plain.columns
+        assert sorted(map(tuple, found.fillna(-9).collect())) == sorted(map(tuple, plain.fillna(-9).collect()))
+    assert skew.small(right, 401).hint is not None and skew.small(right, 10).count() == right.count()
 
 
 def test_backfilled_id_reaches_the_vectors(spark, as_of):
