@@ -450,7 +450,10 @@ ORACLES: dict[str, str] = {
     "dq_aml_coverage": _rule("aml_coverage"),
     "dq_fraud_phone_conflict": _rule("fraud_phone_conflict"),
     "dq_er_quarantine": _rule("er_quarantine_rate"),
-    "dq_scorecard": _with("SELECT *, '2024-02-01 00:00:00' AS evaluated_at, 'run_check' AS run_id FROM results"),
+    "dq_scorecard": _with(
+        "SELECT r.*, coalesce(sample_keys, '') AS sample_keys, '2024-02-01 00:00:00' AS evaluated_at, 'run_check' AS run_id FROM results r"
+        f" LEFT JOIN (SELECT rule_id, string_agg(key, ',' ORDER BY position) AS sample_keys FROM ({_SAMPLE}) GROUP BY rule_id) USING (rule_id)"
+    ),
     "dq_samples": _with(_SAMPLE),
     "dq_gate": _with(
         "SELECT count(*) FILTER (breached AND severity = 'MUST_PASS') = 0 AS promoted,"

@@ -529,17 +529,22 @@ for _name, _rule in {
     _rule_query(_name, _rule)
 
 
+_SAMPLE_KEYS = ("internal_uuid", "provider_ref", "callback_id", "report_id", "source_event_id", "emirates_id")
+
+
 @query
 def dq_scorecard(f: Feeds) -> DataFrame:
-    return _results(f).drop("sample_failures").withColumn("evaluated_at", _stamp("evaluated_at"))
+    rows = F.from_json("sample_failures", "array<map<string,string>>")
+    keys = F.transform(rows, lambda row: F.coalesce(*[row[k] for k in _SAMPLE_KEYS]))
+    shown = _results(f).withColumn("sample_keys", F.array_join(keys, ","))
+    return shown.drop("sample_failures").withColumn("evaluated_at", _stamp("evaluated_at"))
 
 
 @query
 def dq_samples(f: Feeds) -> DataFrame:
-    keys = ("internal_uuid", "provider_ref", "callback_id", "report_id", "source_event_id", "emirates_id")
     listed = quality.samples(_quality_tables(f), AS_OF)
     return listed.select(
-        "rule_id", "position", F.coalesce(*[F.get_json_object("sample", f"$.{k}") for k in keys]).alias("key")
+        "rule_id", "position", F.coalesce(*[F.get_json_object("sample", f"$.{k}") for k in _SAMPLE_KEYS]).alias("key")
     )
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendspark.config import AML, AML_STATUSES, BUREAU, FRAUD, PROFILE, WARN_THRESHOLDS
@@ -188,9 +188,8 @@ def scorecard(
     as_of: datetime,
     run_id: str = "",
     rules: Sequence[RowRule | TableRule] = RULES,
-    with_samples: bool = False,
 ) -> DataFrame:
-    """One row per rule: checked, failed, ratio, threshold, breached and status."""
+    """One row per rule: checked, failed, ratio, threshold, breached, status and the first failing rows."""
     by_table: dict[str, list[RowRule]] = {}
     parts = []
     for rule in rules:
@@ -216,19 +215,15 @@ def scorecard(
             "status",
             F.when(~F.col("breached"), "PASS").when(F.col("severity") == MUST_PASS, "FAIL").otherwise("WARN"),
         )
-        .drop("needs_rows")
     )
-    if with_samples:
-        listed = samples(tables, as_of, rules).groupBy("rule_id").agg(
-            F.to_json(F.transform(
-                F.array_sort(F.collect_list(F.struct("position", "sample"))), lambda s: s["sample"]
-            )).alias("sample_failures")
-        )
-        scored = scored.join(listed, "rule_id", "left").withColumn(
-            "sample_failures", F.coalesce("sample_failures", F.lit("[]"))
-        )
-    else:
-        scored = scored.withColumn("sample_failures", F.lit("[]"))
+    listed = samples(tables, as_of, rules).groupBy("rule_id").agg(
+        F.array_sort(F.collect_list(F.struct("position", "sample"))).alias("_samples")
+    )
+    texts = F.transform(F.coalesce("_samples", F.array().cast("array<struct<position:int,sample:string>>")), lambda s: s["sample"])
+    no_rows = F.concat(F.lit('{"reason":"no '), F.col("source"), F.lit(' data"}'))
+    shown = F.when(empty, F.array(no_rows)).otherwise(texts)
+    scored = scored.join(F.broadcast(listed), "rule_id", "left")  # a row per rule
+    scored = scored.withColumn("sample_failures", F.concat(F.lit("["), F.array_join(shown, ","), F.lit("]"))).drop("needs_rows", "_samples")
     return scored.select(
         "rule_id", "severity", "source", "description", "checked", "failed", "fail_ratio", "threshold",
         "breached", "status", "sample_failures",
@@ -236,29 +231,40 @@ def scorecard(
     )
 
 
+def _first_failing(failing: DataFrame, limit: int) -> DataFrame:
+    """(rule_id, position, sample) of (rule_id, _key, _row): cut down in every map task, then put into JSON."""
+    place = F.row_number().over(Window.partitionBy("rule_id").orderBy("_key", "_row"))
+    first = failing.withColumn("position", place).where(F.col("position") <= limit)
+    sample = F.to_json("_row", {"ignoreNullFields": "false"})
+    return first.select("rule_id", (F.col("position") - 1).alias("position"), sample.alias("sample"))
+
+
 def samples(
     tables: Tables,
     as_of: datetime,
     rules: Sequence[RowRule | TableRule] = RULES,
     limit: int = _SAMPLES,
 ) -> DataFrame:
-    """The first few failing rows of each rule, by key: (rule_id, position, sample)."""
+    """The first few failing rows of each rule, by key: (rule_id, position, sample).
+
+    All row rules of a table are looked at in one pass over it.
+    """
+    by_table: dict[str, list[RowRule]] = {}
     parts = []
     for rule in rules:
         if isinstance(rule, RowRule):
-            key = EVENT_IDS[rule.source]
-            table = tables[rule.source]
-            shown = [key] + [c for c in table.columns if c not in (key, "raw_path", "position")]
-            failing = table.where(rule.failing(as_of)).select(*shown)
+            by_table.setdefault(rule.source, []).append(rule)
         else:
             failing = rule.failures(tables)
-        body = F.to_json(F.struct(*failing.columns), {"ignoreNullFields": "false"})
-        top = failing.select(F.col(failing.columns[0]).alias("_key"), body.alias("sample"))
-        top = top.orderBy("_key", "sample").limit(limit)
-        numbered = top.agg(F.array_sort(F.collect_list(F.struct("_key", "sample"))).alias("_top")).select(
-            F.posexplode("_top").alias("position", "_row")
-        )
-        parts.append(numbered.select(F.lit(rule.rule_id).alias("rule_id"), "position", F.col("_row.sample").alias("sample")))
+            key = F.col(failing.columns[0]).cast("string").alias("_key")
+            parts.append(_first_failing(failing.select(F.lit(rule.rule_id).alias("rule_id"), key, F.struct("*").alias("_row")), limit))
+    for source, group in by_table.items():
+        table = tables[source]
+        key = EVENT_IDS[source] if EVENT_IDS[source] in table.columns else table.columns[0]
+        shown = [key] + [c for c in table.columns if c not in (key, "raw_path", "position")]
+        failed = F.array_compact(F.array(*[F.when(rule.failing(as_of), F.lit(rule.rule_id)) for rule in group]))
+        failing = table.select(F.explode(failed).alias("rule_id"), F.col(key).cast("string").alias("_key"), F.struct(*shown).alias("_row"))
+        parts.append(_first_failing(failing, limit))
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)

@@ -1,7 +1,7 @@
 """Typed tables from raw documents: bureau XML, fraud and AML JSON, profile tables.
 
-Each parser returns a `Parsed` pair: the rows that satisfy the declared types and enums, and the
-rejects with their reason. With `strict=True` the first reject fails the job instead.
+Each parser returns `Parsed`: the rows that satisfy the declared types and enums, and the rejects with
+their reason. With `strict=True` the first reject fails the job instead.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from lendspark.functions.text import (
     normalise_eid,
     strip,
 )
+from lendspark.session import cut
 
 _XML_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -42,8 +43,26 @@ _USER_FIELDS = (
 
 
 class Parsed(NamedTuple):
-    rows: DataFrame
-    rejects: DataFrame
+    """Parsed records with their verdict: `_reason` is NULL where a record is good, `_raw` what was delivered."""
+
+    marked: DataFrame
+    source: str
+    also: tuple[str, ...] = ()  # further columns of the rejects
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.marked.where(F.col("_reason").isNull()).drop("_reason", "_raw", *self.also)
+
+    @property
+    def rejects(self) -> DataFrame:
+        bad = self.marked.where(F.col("_reason").isNotNull())
+        return bad.select(
+            F.lit(self.source).alias("source"), F.col("_reason").alias("reason"), F.col("_raw").alias("raw"), "raw_path", *self.also
+        )
+
+    def stored(self) -> Parsed:
+        """The same records, parsed and stored once, however often rows and rejects are read."""
+        return self._replace(marked=cut(self.marked))
 
 
 def _origin() -> list[Column]:
@@ -64,23 +83,15 @@ def _allowed(name: str, values: tuple[str, ...]) -> Check:
     return F.coalesce(F.col(name).isin(*values), F.lit(False)), f"{name} not allowed"
 
 
-def _split(typed: DataFrame, source: str, checks: list[Check], strict: bool) -> Parsed:
-    """Separate the rows that satisfy every check; `typed` carries the delivered record as `item`.
-
-    Reasons are only put together for rows that fail.
-    """
+def _checked(typed: DataFrame, source: str, checks: list[Check], strict: bool) -> Parsed:
+    """Give every record its verdict; `typed` carries the delivered record as `item`."""
     ok = reduce(and_, [holds for holds, _ in checks])
     reasons = F.concat_ws("; ", *[F.when(~holds, F.lit(reason)) for holds, reason in checks])
-    rejects = typed.where(~ok).select(
-        F.lit(source).alias("source"),
-        reasons.alias("reason"),
-        F.to_json("item", {"ignoreNullFields": "false"}).alias("raw"),
-        "raw_path",
-    )
     if strict:
-        message = F.concat(F.lit(f"{source} record rejected: "), reasons)
-        ok = F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-    return Parsed(typed.where(ok).drop("item"), rejects)
+        reasons = F.raise_error(F.concat(F.lit(f"{source} record rejected: "), reasons)).cast("string")
+    raw = F.to_json("item", {"ignoreNullFields": "false"})
+    marked = typed.withColumns({"_reason": F.when(~ok, reasons), "_raw": F.when(~ok, raw)})
+    return Parsed(marked.drop("item"), source)
 
 
 def json_items(bronze: DataFrame, item_schema: str) -> DataFrame:
@@ -128,7 +139,7 @@ def parse_fraud(items: DataFrame, strict: bool = False) -> Parsed:
     )
     checks = _present("provider_ref", "phone", "email", "score", "model_version", "scored_at")
     checks.append(_allowed("decision", FRAUD_DECISIONS))
-    return _split(typed, FRAUD, checks, strict)
+    return _checked(typed, FRAUD, checks, strict)
 
 
 def parse_aml(items: DataFrame, strict: bool = False) -> Parsed:
@@ -149,7 +160,7 @@ def parse_aml(items: DataFrame, strict: bool = False) -> Parsed:
     )
     checks = _present("callback_id", "full_name", "dob", "received_at")
     checks.append(_allowed("status", AML_STATUSES))
-    return _split(typed, AML, checks, strict)
+    return _checked(typed, AML, checks, strict)
 
 
 def behavioural_features(users: DataFrame, applications: DataFrame, instalments: DataFrame) -> DataFrame:
@@ -208,7 +219,7 @@ def parse_profile(
         "position",
     )
     checks = _present(*_USER_FIELDS)
-    return _split(typed, PROFILE, checks, strict)
+    return _checked(typed, PROFILE, checks, strict)
 
 
 def bureau_documents(bronze: DataFrame) -> DataFrame:
@@ -230,17 +241,11 @@ def parse_bureau(bronze: DataFrame, as_of: datetime) -> Parsed:
     reason = F.when(F.col("doc")["_corrupt_record"].isNotNull(), F.lit("malformed XML")).when(
         report.isNull(), F.lit("no report body")
     )
-    rejects = documents.select(
-        F.lit(BUREAU).alias("source"),
-        reason.alias("reason"),
-        F.col("doc")["_corrupt_record"].alias("raw"),
-        "raw_path",
-        "source_event_id",
-    ).where(F.col("reason").isNotNull())
     stamp = F.col("doc")["Header"]["MessageResponse"]["_MTs"]
-    reports = documents.where(reason.isNull()).select(
-        "raw_path", "ingest_run_id", F.nullif(stamp, F.lit("")).alias("stamp"), report.alias("r")
-    )
+    reports = documents.select(
+        "raw_path", "ingest_run_id", "source_event_id", reason.alias("_reason"),
+        F.col("doc")["_corrupt_record"].alias("_raw"), F.nullif(stamp, F.lit("")).alias("stamp"), report.alias("r"),
+    )
     r = F.col("r")
     enquired = r["EnquiredSubject"]["Individual"]
     matched = r["Response"]["MatchedSubject"]["Individual"]
@@ -251,7 +256,7 @@ def parse_bureau(bronze: DataFrame, as_of: datetime) -> Parsed:
         F.lit(" "),
         F.coalesce(element_text(enquired["NameEN"]["LastName"]), F.lit("")),
     )
-    rows = reports.select(
+    marked = reports.select(
         F.coalesce(
             first_filled(element_text(r["NewApplication"]["CBContractId"]), element_text(r["ResponseId"])),
             F.lit("unknown"),
@@ -275,8 +280,11 @@ def parse_bureau(bronze: DataFrame, as_of: datetime) -> Parsed:
         nested.latest_income(r["Response"]["EmploymentHistory"]).alias("gross_annual_income"),
         "ingest_run_id",
         *_origin(),
+        "_reason",
+        "_raw",
+        "source_event_id",
     )
-    return Parsed(rows, rejects)
+    return Parsed(marked, BUREAU, ("source_event_id",))
 
 
 def record_counts(silver: dict[str, DataFrame]) -> DataFrame:

@@ -6,6 +6,7 @@ executor costs at most the work of one layer.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from lendspark import schemas
 from lendspark.config import AML, BUREAU, FRAUD, PROFILE
 from lendspark.operators import audit, bronze, conflicts, decisions, quality, resolve, silver, vectors
+from lendspark.operators.skew import small
 from lendspark.session import configure, cut
 from lendspark.sources.files import read_table, write_table
 from lendspark.sources.profile_db import read_profile_tables
@@ -36,43 +38,77 @@ def _profile_databases(landed: DataFrame) -> list[str]:
     return sorted(row["source_event_id"] for row in files.collect())
 
 
+_SILVER = {
+    BUREAU: schemas.SILVER_BUREAU,
+    FRAUD: schemas.SILVER_FRAUD,
+    AML: schemas.SILVER_AML,
+    PROFILE: schemas.SILVER_PROFILE,
+}
+_DAY = "regexp_extract(raw_path, 'ingest_date=([^/]+)', 1)"
+
+
+def read_silver(spark: SparkSession, layout: Layout, source: str, since: str | None = None) -> DataFrame:
+    """The records of all parsed days, or of those from `since` on."""
+    rows = read_table(spark, layout.path("silver", source), f"{_SILVER[source]}, ingest_date string")
+    return (rows if since is None else rows.where(F.col("ingest_date") >= since)).drop("ingest_date")
+
+
+def _pending(spark: SparkSession, stored: DataFrame, layout: Layout, day: str) -> DataFrame:
+    """Raw documents of the day of the run, and of earlier days that silver does not hold yet."""
+    done = None
+    for source in (BUREAU, FRAUD, AML):
+        for folder in ((source,), ("rejects", source)):
+            days = read_table(spark, layout.path("silver", *folder), "raw_path string, ingest_date string").select("ingest_date")
+            days = days.where(F.col("ingest_date") != day).distinct().select(F.lit(source).alias("source"), "ingest_date")
+            done = days if done is None else done.unionByName(days)
+    return stored.join(small(done.distinct()), ["source", "ingest_date"], "left_anti")
+
+
 def parse_sources(
     spark: SparkSession,
-    stored: DataFrame,
-    landing: str,
-    databases: list[str],
+    documents: DataFrame,
+    profile: Mapping[str, DataFrame],
     as_of: datetime,
     run_id: str,
     strict: bool = False,
 ) -> dict[str, silver.Parsed]:
-    """Silver rows and rejects of every source from stored raw documents.
+    """Verdicts on the records of raw documents, and of the day's profile tables.
 
-    Profile databases are opened where they were delivered: SQLite reads pages at random, so it
-    needs the file and not a column of bytes.
+    `profile` holds users, applications and instalments; nothing if none was delivered.
     """
-    of = lambda source: stored.where(F.col("source") == source)
+    of = lambda source: documents.where(F.col("source") == source)
     parsed = {
         BUREAU: silver.parse_bureau(of(BUREAU), as_of),
         FRAUD: silver.parse_fraud(silver.json_items(of(FRAUD), schemas.FRAUD_ITEM), strict),
         AML: silver.parse_aml(silver.json_items(of(AML), schemas.AML_ITEM), strict),
     }
-    rows = spark.createDataFrame([], schemas.SILVER_PROFILE)
-    rejects = spark.createDataFrame([], "source string, reason string, raw string, raw_path string")
+    if profile:
+        folder = F.lit(f"profile/ingest_date={as_of.date().isoformat()}/")
+        users = profile["users"]
+        name = F.col("raw_path") if "raw_path" in users.columns else F.lit(PROFILE)
+        users = users.withColumn("raw_path", F.concat(folder, name))
+        parsed[PROFILE] = silver.parse_profile(users, profile["applications"], profile["instalments"], run_id, strict)
+    return parsed
+
+
+def delivered_profile(spark: SparkSession, landing: str, databases: list[str]) -> dict[str, DataFrame]:
+    """The tables of the day's profile databases: one full extract, or a few parts of one."""
+    whole: dict[str, DataFrame] = {}
     for name in databases:
         tables = read_profile_tables(spark, f"{landing}/{PROFILE}/{name}.db")
-        users = tables["users"].withColumn("raw_path", F.lit(name))
-        part = silver.parse_profile(users, tables["applications"], tables["instalments"], run_id, strict)
-        rows, rejects = rows.unionByName(part.rows), rejects.unionByName(part.rejects)
-    parsed[PROFILE] = silver.Parsed(rows, rejects)
-    return parsed
+        tables["users"] = tables["users"].withColumn("raw_path", F.lit(name))
+        whole = {k: whole[k].unionByName(df) if whole else df for k, df in tables.items()}
+    return whole
 
 
-def build_silver(parsed: dict[str, silver.Parsed], layout: Layout) -> dict[str, DataFrame]:
-    tables = {}
+def build_silver(spark: SparkSession, parsed: dict[str, silver.Parsed], layout: Layout, since: str | None = None) -> dict[str, DataFrame]:
+    """Store rows and rejects by day, each record parsed once; days parsed before stay as they are."""
     for source, result in parsed.items():
-        tables[source] = write_table(result.rows, layout.path("silver", source))
-        write_table(result.rejects, layout.path("silver", "rejects", source))
-    return tables
+        once = result.stored()
+        for rows, folder in ((once.rows, (source,)), (once.rejects, ("rejects", source))):
+            writer = rows.withColumn("ingest_date", F.expr(_DAY)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy("ingest_date").parquet(layout.path("silver", *folder))
+    return {source: read_silver(spark, layout, source, since) for source in _SILVER}
 
 
 def build_resolution(tables: dict[str, DataFrame], layout: Layout, as_of: datetime) -> dict[str, DataFrame]:
@@ -90,7 +126,7 @@ def build_resolution(tables: dict[str, DataFrame], layout: Layout, as_of: dateti
 def check_quality(tables: dict[str, DataFrame], layout: Layout, as_of: datetime, run_id: str) -> DataFrame:
     """Score, store and gate: raises `quality.GateError` if a MUST_PASS rule is breached."""
     path = layout.path("gold", "dq_result")
-    quality.persist(quality.scorecard(tables, as_of, run_id, with_samples=True), path)
+    quality.persist(quality.scorecard(tables, as_of, run_id), path)
     spark = next(iter(tables.values())).sparkSession
     results = read_table(spark, path, schemas.DQ_RESULT).where(F.col("run_id") == run_id)
     quality.gate(results)
@@ -160,12 +196,14 @@ def run(
     use_er_links: bool = False,
     append_audit: bool = False,
     since: str | None = None,
+    profile: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Land, parse, resolve, check, decide, snapshot and verify. Returns every stored table.
 
-    `as_of` stands for "now" throughout, so a run can be repeated with the same results. All landed
-    days are parsed, so that the last record per customer wins over days too; `since` (an ISO date)
-    leaves out the partitions before it.
+    `as_of` stands for "now" throughout, so a run can be repeated with the same results. The records of all
+    landed days count, and the last one per customer wins over days too; each day is parsed once, and `since`
+    (an ISO date) leaves out the days before it. `profile` gives the day's users, applications and instalments
+    as DataFrames; without it they are read from the profile databases that landed that day, if any.
     """
     configure(spark)
     layout = Layout(root)
@@ -174,8 +212,10 @@ def run(
     if since is not None:
         stored = stored.where(F.col("ingest_date") >= since)
     tables = {"bronze_summary": bronze.summary(today)}
-    parsed = parse_sources(spark, stored, landing, _profile_databases(today), as_of, run_id, strict)
-    tables |= build_silver(parsed, layout)
+    documents = _pending(spark, stored, layout, as_of.date().isoformat())
+    if profile is None:
+        profile = delivered_profile(spark, landing, _profile_databases(today))
+    tables |= build_silver(spark, parse_sources(spark, documents, profile, as_of, run_id, strict), layout, since)
     tables |= build_resolution(tables, layout, as_of)
     tables["dq_result"] = check_quality(tables, layout, as_of, run_id)
     tables |= build_gold(tables, layout, as_of, run_id, use_er_links)

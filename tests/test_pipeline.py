@@ -69,7 +69,7 @@ def test_whole_run(spark, landing, tmp_path, as_of):
     out = pipeline.run(spark, landing, root, as_of, "r1")
     counts = {name: out[name].count() for name in ("aecb", "fraud", "aml", "profile", "er_links", "er_quarantine", "fact_decision")}
     assert counts == {"aecb": 5, "fraud": 5, "aml": 5, "profile": 5, "er_links": 20, "er_quarantine": 0, "fact_decision": 15}
-    rejects = read_table(spark, f"{root}/silver/rejects/aecb", "source string, reason string, raw string, raw_path string, source_event_id string")
+    rejects = read_table(spark, f"{root}/silver/rejects/aecb", "source string, reason string, raw string, raw_path string, source_event_id string, ingest_date string")
     assert one(rejects)["reason"] == "malformed XML"
     assert out["index"].count() == out["bodies"].count() == out["vectors"].count() == 15
     assert out["dq_result"].count() == len(quality.RULES)
@@ -82,6 +82,32 @@ def test_whole_run(spark, landing, tmp_path, as_of):
     assert later["index"].agg(F.countDistinct("batch")).head()[0] == 2
 
 
+def test_profiles_of_all_days_count_and_the_last_one_wins(spark, landing, tmp_path, as_of):
+    root = str(tmp_path / "root")
+    pipeline.run(spark, landing, root, as_of, "r1")
+    moved = spark.createDataFrame(
+        [("u1", EIDS[0], "New", "Name", "New Name", "1980-01-01", "+1", "n@x", "Ajman", "2024-01-01T00:00:00+00:00")], schemas.USERS
+    )
+    none = {"applications": spark.createDataFrame([], schemas.APPLICATIONS), "instalments": spark.createDataFrame([], schemas.INSTALMENTS)}
+    second = pipeline.run(spark, landing, root, as_of + timedelta(days=1), "r2", profile={"users": moved} | none)
+    assert second["profile"].count() == 6
+    vectors = read_table(spark, f"{root}/gold/decision_input_vector", schemas.VECTOR)
+    assert {r[0] for r in vectors.where(F.col("emirates_id") == EIDS[0]).select("full_name").collect()} == {"New Name"}
+    third = pipeline.run(spark, landing, root, as_of + timedelta(days=2), "r3", profile={})
+    assert third["profile"].count() == 6 and third["fact_decision"].count() == 15
+
+
+def test_a_day_is_parsed_once(spark, landing, tmp_path, as_of):
+    root = str(tmp_path / "root")
+    pipeline.run(spark, landing, root, as_of, "r1")
+    layout = pipeline.Layout(root)
+    day = (as_of + timedelta(days=1)).date().isoformat()
+    stored = bronze.read_bronze(spark, layout.path("bronze"))
+    assert pipeline._pending(spark, stored, layout, day).where("source <> 'profile'").count() == 0
+    again = pipeline._pending(spark, stored, layout, as_of.date().isoformat())
+    assert again.where("source <> 'profile'").count() == 8
+
+
 def test_a_breached_rule_blocks_gold(spark, landing, tmp_path, as_of):
     root = str(tmp_path / "root")
     with pytest.raises(quality.GateError, match="aecb_freshness_30d"):

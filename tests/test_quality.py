@@ -99,7 +99,7 @@ def test_quarantine_rate(spark, as_of, kept, lost, breached):
 
 def test_samples_are_the_first_three_by_key(spark, as_of):
     rows = fraud(spark, [{"provider_ref": f"f{i}", "score": -i} for i in range(9, 0, -1)])
-    card = quality.scorecard(tables(spark, fraud=rows), as_of, "run", with_samples=True)
+    card = quality.scorecard(tables(spark, fraud=rows), as_of, "run")
     shown = one(card.where("rule_id = 'fraud_score_range'"))["sample_failures"]
     assert [f"f{i}" in shown for i in (1, 2, 3, 4)] == [True, True, True, False]
     assert one(card.where("rule_id = 'eid_format'"))["sample_failures"] == "[]"
