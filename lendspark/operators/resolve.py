@@ -38,6 +38,9 @@ PHONE_EMAIL_EXACT = "phone_email_exact"
 NAME_DOB_FUZZY = "name_dob_fuzzy"
 QUARANTINE = "quarantine"
 
+# Known names of one birth date that are compared without keys; a name has some two hundred keys.
+DIRECT_NAMES = 100
+
 # Notes stored with each link.
 NOTE_NEW = "new customer (EID not yet in profile index)"
 NOTE_BACKFILLED = "backfilled emirates_id from profile"
@@ -134,22 +137,31 @@ def strong_name_pairs(wanted: DataFrame, known: DataFrame, floor: float = NAME_F
     """Pairs of distinct (dob, name) with similarity of at least `floor`: all of them, once.
 
     `wanted` and `known` hold distinct non-empty (dob, name); `known` may carry further columns.
-    Names meet through blocking keys, never by birth date alone: a date that holds a third of all
-    customers would otherwise pair every name with every other. Only dates that are asked for are indexed,
-    and a pair that meets under several keys is scored once.
+    On a date with up to DIRECT_NAMES known names, all of these are candidates: fewer than the keys a name
+    would be looked up with. On other dates names meet through blocking keys, never by the date alone: one
+    that holds a third of all customers would otherwise pair every name with every other. Only dates that
+    are asked for are looked at, and a pair that meets under several keys is scored once.
     """
-    known = known.join(small(wanted.select("dob").distinct()), "dob", "left_semi")
+    asked_dates = wanted.select("dob").distinct()
+    dates = small(known.groupBy("dob").agg(F.count(F.lit(1)).alias("_names")).join(asked_dates, "dob"))
     listed = with_letter_bits(
-        _spread(known.withColumnRenamed("name", "known_name"), "dob", "known_name"), "known_name", "_known_bits"
+        _spread(known.withColumnRenamed("name", "known_name"), "dob", "known_name").join(dates, "dob"), "known_name", "_known_bits"
     )
-    asked = with_letter_bits(_spread(wanted, "dob", "name"), "name", "_bits")
-    index = with_index_keys(listed, "dob", "known_name", floor)
-    probes = with_probe_keys(asked, "dob", "name", floor)
-    return (
+    asked = with_letter_bits(_spread(wanted, "dob", "name").join(dates, "dob"), "name", "_bits")
+    few = F.col("_names") <= DIRECT_NAMES
+    likely = may_reach("name", "known_name", "_bits", "_known_bits", floor)
+    index = with_index_keys(listed.where(~few).drop("_names"), "dob", "known_name", floor)
+    probes = with_probe_keys(asked.where(~few).drop("_names"), "dob", "name", floor)
+    by_key = (
         probes.join(index, ["key", "dob", "prefix"])
-        .where(meets("name", "known_name", "prefix") & may_reach("name", "known_name", "_bits", "_known_bits", floor))
-        .drop("key", "prefix", "_bits", "_known_bits")
+        .where(meets("name", "known_name", "prefix") & likely)
+        .drop("key", "prefix")
         .dropDuplicates(["dob", "name", "known_name"])
+    )
+    direct = asked.where(few).drop("_names").join(listed.where(few).drop("_names"), "dob").where(likely)
+    return (
+        by_key.unionByName(direct)
+        .drop("_bits", "_known_bits")
         .withColumn("score", jaro_winkler_column("name", "known_name"))
         .where(F.col("score") >= floor)
     )

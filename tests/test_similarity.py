@@ -66,7 +66,9 @@ def test_blocking_keys_lose_no_similar_pair(spark):
     assert len(met_pairs) < len(grid) / 5
 
 
-def test_strong_pairs_equal_brute_force(spark):
+@pytest.mark.parametrize("direct", [0, 100, 10_000])
+def test_strong_pairs_equal_brute_force(spark, monkeypatch, direct):
+    monkeypatch.setattr(resolve, "DIRECT_NAMES", direct)
     rng = random.Random(5)
     names = lambda: sorted({(rng.choice(["d1", "d2"]), misspelt(rng)) for _ in range(250)})
     left, right = names(), names()
