@@ -33,10 +33,10 @@ from lendspark.llm.components import components
 
 THRESHOLD = 0.95
 CENTROIDS = 4096
-PER_CENTROID = 200
+PER_CENTROID = 400
 SAMPLE = 16_384
 PART = 4096
-SLACK = 1.2  # over the root of the dimension: what separates close vectors points anywhere
+SLACK = 1.0  # over the root of the dimension: what separates close vectors points anywhere
 BEAM = 48
 DEGREE = 24
 ALPHA = 1.2
