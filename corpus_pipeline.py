@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lendspark.llm import bpe, exact_dedup, mixing, quality, simhash
-from lendspark.llm.common import cut, documents, prepare, table
+from lendspark.llm.common import documents, prepare, table
+from lendspark.session import remove, scratch, scratch_path
 
 
 def good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
-    return cut(STAGES[-1][1](spark, docs, sf_dir))
+    docs, last = documents(spark, sf_dir), None
+    for name, stage in STAGES:
+        path = scratch_path(spark, "stage")
+        with scratch(spark):  # what a stage stored on its way goes with it, and what it read with the next
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if last:
+            remove(spark, last)
+        docs, last = spark.read.parquet(path), path
+    return docs

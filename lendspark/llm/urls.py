@@ -96,7 +96,8 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES, id_col: str = "page_
     possible = F.coalesce(F.col("key").isNotNull() & reduce(Column.__and__, has), F.lit(False))
     tested = tested.select("page_id", "host", "path", "key", possible.alias("possible"))
     clear = tested.where(~F.col("possible")).withColumn("listed", F.lit(False))
-    hits = tested.where("possible").join(keys.withColumn("on_list", F.lit(True)), "key", "left")
+    exact = keys.withColumn("on_list", F.lit(True)).hint("shuffle_hash")
+    hits = tested.where("possible").join(exact, "key", "left")
     hits = hits.select("page_id", "host", "path", "key", "possible", F.coalesce("on_list", F.lit(False)).alias("listed"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))

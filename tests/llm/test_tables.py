@@ -14,6 +14,7 @@ from llm_tables import documents, no_documents, prose, rows
 
 import corpus_pipeline
 from lendspark.llm import embeddings, mixing, suffixes, urls
+from lendspark.session import cut
 
 URLS = [
     (1, "http://a.example.net/en/1"), (2, "http://a.example.net/fr/1?utm_source=x"), (3, "https://WWW.Example.COM/de/x#top"),
@@ -224,7 +225,7 @@ def test_pipeline(spark):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns, kept = docs.columns, docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        kept = corpus_pipeline.cut(stage(spark, kept, sf_dir))
+        kept = cut(stage(spark, kept, sf_dir))
         assert kept.columns == columns, name
     last = corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir)
     assert Counter(r["doc_id"] for r in last.collect()) == Counter(r["doc_id"] for r in kept.collect())
@@ -235,5 +236,5 @@ def test_pipeline_of_awkward_and_empty_tables(spark, tmp_path):
     spark.createDataFrame([(13, 0, 0), (1, 1, 0), (9, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     for docs in (documents(spark, clashing=True), no_documents(spark)):
         for _, stage in corpus_pipeline.STAGES:
-            docs = corpus_pipeline.cut(stage(spark, docs, str(tmp_path)))
+            docs = cut(stage(spark, docs, str(tmp_path)))
         assert docs.count() >= 0
