@@ -17,7 +17,7 @@ from lendspark import schemas
 from lendspark.config import AML, BUREAU, FRAUD, PROFILE
 from lendspark.operators import audit, bronze, conflicts, decisions, quality, resolve, silver, vectors
 from lendspark.operators.skew import small
-from lendspark.session import configure, cut
+from lendspark.session import configure, cut, scratch
 from lendspark.sources.files import read_table, write_table
 from lendspark.sources.profile_db import read_profile_tables
 
@@ -206,7 +206,22 @@ def run(
     as DataFrames; without it they are read from the profile databases that landed that day, if any.
     """
     configure(spark)
-    layout = Layout(root)
+    with scratch(spark):
+        return _run(spark, landing, Layout(root), as_of, run_id, strict, use_er_links, append_audit, since, profile)
+
+
+def _run(
+    spark: SparkSession,
+    landing: str,
+    layout: Layout,
+    as_of: datetime,
+    run_id: str,
+    strict: bool,
+    use_er_links: bool,
+    append_audit: bool,
+    since: str | None,
+    profile: Mapping[str, DataFrame] | None,
+) -> dict[str, DataFrame]:
     today = bronze.land(spark, landing, layout.path("bronze"), run_id, as_of)
     stored = bronze.read_bronze(spark, layout.path("bronze"))
     if since is not None:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,11 +38,12 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="lendspark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext  # remembers the folder: the setting itself is fixed once Spark runs
+    if not hasattr(context, "_lendspark_shared"):
+        context._lendspark_shared = tempfile.mkdtemp(prefix="lendspark-")
+    return context._lendspark_shared
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -47,6 +51,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/lendspark/{name}-{uuid.uuid4().hex}"
 
 
+_kept: list[list[str]] = []  # what `cut` stored, per open `scratch` block
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that `cut` stores inside the block are deleted at its end; nothing may read them afterwards."""
+    _kept.append([])
+    try:
+        yield
+    finally:
+        for path in _kept.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored table, wherever its file system is."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute `df` once, store it in the shared folder and go on from the stored table.
 
@@ -54,6 +78,8 @@ def cut(df: DataFrame) -> DataFrame:
     without column pruning and without a size to plan by.
     """
     path = scratch_path(df.sparkSession, "cut")
+    if _kept:
+        _kept[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from builders import one
@@ -11,6 +12,7 @@ from test_silver import FRAUD_ITEM, REPORT, document, profile_db
 from lendspark import schemas
 from lendspark.operators import bronze, quality
 from lendspark.plans import pipeline
+from lendspark.session import shared_dir
 from lendspark.sources.files import read_table
 
 EIDS = [f"784-1990-000000{i}-0" for i in range(1, 6)]
@@ -97,6 +99,14 @@ def test_profiles_of_all_days_count_and_the_last_one_wins(spark, landing, tmp_pa
     assert third["profile"].count() == 6 and third["fact_decision"].count() == 15
 
 
+def test_a_run_leaves_no_intermediate_tables(spark, landing, tmp_path, as_of):
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "lendspark"
+    before = set(folder.glob("*"))
+    out = pipeline.run(spark, landing, str(tmp_path / "root"), as_of, "r1")
+    assert set(folder.glob("*")) == before
+    assert out["decided"].count() == out["index"].count() == 15
+
+
 def test_a_day_is_parsed_once(spark, landing, tmp_path, as_of):
     root = str(tmp_path / "root")
     pipeline.run(spark, landing, root, as_of, "r1")
