@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lendspark.config import AML, BUREAU, FRAUD, PROFILE
 from lendspark.operators import bronze, silver
+from lendspark.session import scratch_path
 
 AS_OF = datetime(2024, 2, 1, tzinfo=timezone.utc)
 RUN_ID = "run_check"
@@ -222,6 +223,15 @@ class Feeds:
     def aml_files(self) -> DataFrame:
         return self._json_files("aml_items", "item", "aml/callbacks")
 
+    def record_files(self, items: str, column: str, source: str) -> DataFrame:
+        """The items written with one record per line and read back as a splittable feed: (line, raw_path, position, ingest_run_id)."""
+        landing = scratch_path(self.spark, "landing")
+        self.feed(items).select(F.col(column).alias("value")).write.text(f"{landing}/{source}")
+        parts = self.spark.read.text(f"{landing}/{source}")
+        meta = F.col("_metadata")
+        row = F.struct(meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"))
+        return parts.select(F.col("value").alias("line"), meta["file_name"].alias("raw_path"), row.alias("position"), F.lit(RUN_ID).alias("ingest_run_id"))
+
     def landed(self, source: str, files: DataFrame) -> DataFrame:
         return bronze.envelopes(files, source, RUN_ID, AS_OF)
 

@@ -151,7 +151,7 @@ def bureau_rejects(f: Feeds) -> DataFrame:
 
 @query
 def parse_fraud(f: Feeds) -> DataFrame:
-    items = silver.json_items(f.landed(FRAUD, f.fraud_files()), schemas.FRAUD_ITEM)
+    items = silver.line_items(f.record_files("fraud_items", "item", FRAUD), schemas.FRAUD_ITEM)
     return silver.parse_fraud(items, strict=True).rows.select(
         "provider_ref", "emirates_id", "phone", "email", "score", "decision", _text_list("reason_codes"),
         "model_version", _stamp("scored_at"),
@@ -160,7 +160,7 @@ def parse_fraud(f: Feeds) -> DataFrame:
 
 @query
 def parse_aml(f: Feeds) -> DataFrame:
-    items = silver.json_items(f.landed(AML, f.aml_files()), schemas.AML_ITEM)
+    items = silver.line_items(f.record_files("aml_items", "item", AML), schemas.AML_ITEM)
     return silver.parse_aml(items, strict=True).rows.select(
         "callback_id", "emirates_id", "full_name", "dob", "status", _text_list("matched_lists"),
         _stamp("received_at"),
@@ -169,8 +169,8 @@ def parse_aml(f: Feeds) -> DataFrame:
 
 @query
 def validate_split(f: Feeds) -> DataFrame:
-    items = silver.json_items(f.landed(FRAUD, f.fraud_files(dirty=True)), schemas.FRAUD_ITEM)
-    parsed = silver.parse_fraud(items)
+    items = silver.line_items(f.record_files("fraud_items", "dirty_item", FRAUD), schemas.FRAUD_ITEM)
+    parsed = silver.parse_fraud(items).stored()
     good = parsed.rows.select("provider_ref", F.lit("valid").alias("verdict"))
     bad = parsed.rejects.select(
         F.get_json_object("raw", "$.provider_ref").alias("provider_ref"), F.col("reason").alias("verdict")

@@ -33,6 +33,8 @@ AML_STATUSES = ("CLEAR", "REVIEW", "HIT")
 SOURCE_FORMATS = {BUREAU: "xml", FRAUD: "json", AML: "json", PROFILE: "sqlite"}
 SOURCE_GLOBS = {BUREAU: "*.xml", FRAUD: "*.json", AML: "*.json", PROFILE: "*.db"}
 
+RECORD_GLOB = "*.jsonl"  # feeds with one record per line, of any size
+
 EID_PATTERN = r"^784-[0-9]{4}-[0-9]{7}-[0-9]$"
 NAME_FUZZY_THRESHOLD = 0.92
 PII_FIELDS = ("full_name", "phone", "email", "dob", "emirate")

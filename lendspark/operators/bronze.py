@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendspark import schemas
-from lendspark.config import SOURCE_FORMATS, SOURCES
-from lendspark.sources.files import read_table, scan_landing
+from lendspark.config import AML, FRAUD, SOURCE_FORMATS, SOURCES
+from lendspark.operators.skew import small
+from lendspark.sources.files import read_table, scan_landing, scan_lines
+
+# Sources that may come with one record per line.
+RECORD_SOURCES = (FRAUD, AML)
 
 # What makes a landed file the same file: equal bytes under the same name on the same day.
 _IDENTITY = ["source", "ingest_date", "raw_path"]
@@ -66,6 +70,35 @@ def land(spark: SparkSession, landing: str, bronze: str, run_id: str, received_a
     return append_new(batch, bronze, received_at.date().isoformat())
 
 
+def land_records(spark: SparkSession, landing: str, store: str, run_id: str, received_at: datetime) -> None:
+    """Land the line-delimited feeds, record by record, each with the hash of its content.
+
+    A delivery is known by its name, size and time of change: landing it again on the same day adds nothing.
+    """
+    day = received_at.date().isoformat()
+    known = read_records(spark, store).where(F.col("ingest_date") == day).select("source", "raw_path").distinct()
+    delivery = F.concat_ws("_", F.col("size").cast("string"), F.unix_micros("modified").cast("string"), F.col("name"))
+    batch = None
+    for source in RECORD_SOURCES:
+        rows = scan_lines(spark, landing, source).where(F.trim("line") != "").select(
+            F.lit(run_id).alias("ingest_run_id"),
+            F.lit(received_at).cast("timestamp").alias("received_at"),
+            F.sha2("line", 256).alias("content_sha256"),
+            F.concat(F.lit(f"bronze/{source}/ingest_date={day}/"), delivery).alias("raw_path"),
+            "position",
+            "line",
+            F.lit(source).alias("source"),
+            F.lit(day).alias("ingest_date"),
+        )
+        batch = rows if batch is None else batch.unionByName(rows)
+    fresh = batch.join(small(known), ["source", "raw_path"], "left_anti")
+    fresh.write.mode("append").partitionBy("source", "ingest_date").parquet(store)
+
+
+def read_records(spark: SparkSession, store: str) -> DataFrame:
+    return read_table(spark, store, schemas.BRONZE_RECORDS)
+
+
 def summary(rows: DataFrame) -> DataFrame:
     """Landed files and distinct contents of each source."""
     return rows.groupBy("source").agg(

@@ -114,6 +114,13 @@ def json_items(bronze: DataFrame, item_schema: str) -> DataFrame:
     )
 
 
+def line_items(records: DataFrame, item_schema: str) -> DataFrame:
+    """The items of line-delimited records, with their origin; a line that is no object yields a NULL item."""
+    item = F.from_json("line", item_schema)
+    whole = F.when(F.get_json_object("line", "$").startswith("{"), item)
+    return records.select(whole.alias("item"), "raw_path", "ingest_run_id", "position")
+
+
 def _whole_number(c: Column) -> Column:
     """INT from JSON text; a fraction of zero is allowed, any other is not."""
     return F.coalesce(int_or_null(c), int_or_null(F.regexp_extract(c, r"^\s*([+-]?[0-9]+)\.0+\s*$", 1)))

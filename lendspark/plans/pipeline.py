@@ -67,20 +67,25 @@ def _pending(spark: SparkSession, stored: DataFrame, layout: Layout, day: str) -
 def parse_sources(
     spark: SparkSession,
     documents: DataFrame,
+    records: DataFrame,
     profile: Mapping[str, DataFrame],
     as_of: datetime,
     run_id: str,
     strict: bool = False,
 ) -> dict[str, silver.Parsed]:
-    """Verdicts on the records of raw documents, and of the day's profile tables.
+    """Verdicts on the records of raw documents and of line-delimited feeds, and of the day's profile tables.
 
     `profile` holds users, applications and instalments; nothing if none was delivered.
     """
-    of = lambda source: documents.where(F.col("source") == source)
+    def items(source: str, schema: str) -> DataFrame:
+        of_source = F.col("source") == source
+        whole = silver.json_items(documents.where(of_source), schema)
+        return whole.unionByName(silver.line_items(records.where(of_source), schema))
+
     parsed = {
-        BUREAU: silver.parse_bureau(of(BUREAU), as_of),
-        FRAUD: silver.parse_fraud(silver.json_items(of(FRAUD), schemas.FRAUD_ITEM), strict),
-        AML: silver.parse_aml(silver.json_items(of(AML), schemas.AML_ITEM), strict),
+        BUREAU: silver.parse_bureau(documents.where(F.col("source") == BUREAU), as_of),
+        FRAUD: silver.parse_fraud(items(FRAUD, schemas.FRAUD_ITEM), strict),
+        AML: silver.parse_aml(items(AML, schemas.AML_ITEM), strict),
     }
     if profile:
         folder = F.lit(f"profile/ingest_date={as_of.date().isoformat()}/")
@@ -227,10 +232,15 @@ def _run(
     if since is not None:
         stored = stored.where(F.col("ingest_date") >= since)
     tables = {"bronze_summary": bronze.summary(today)}
-    documents = _pending(spark, stored, layout, as_of.date().isoformat())
+    bronze.land_records(spark, landing, layout.path("bronze_records"), run_id, as_of)
+    records = bronze.read_records(spark, layout.path("bronze_records"))
+    if since is not None:
+        records = records.where(F.col("ingest_date") >= since)
+    day = as_of.date().isoformat()
+    documents, records = (_pending(spark, raw, layout, day) for raw in (stored, records))
     if profile is None:
         profile = delivered_profile(spark, landing, _profile_databases(today))
-    tables |= build_silver(spark, parse_sources(spark, documents, profile, as_of, run_id, strict), layout, since)
+    tables |= build_silver(spark, parse_sources(spark, documents, records, profile, as_of, run_id, strict), layout, since)
     tables |= build_resolution(tables, layout, as_of)
     tables["dq_result"] = check_quality(tables, layout, as_of, run_id)
     tables |= build_gold(tables, layout, as_of, run_id, use_er_links)

@@ -11,6 +11,10 @@ BRONZE = (
     " raw_path string, payload_format string, content binary, source string, ingest_date string"
 )
 
+BRONZE_RECORDS = (
+    "ingest_run_id string, received_at timestamp, content_sha256 string, " + _ORIGIN + ", line string, source string, ingest_date string"
+)
+
 SILVER_PROFILE = (
     "internal_uuid string, emirates_id string, first_name string, last_name string, full_name string,"
     " dob string, phone string, email string, emirate string, kyc_verified_at timestamp,"

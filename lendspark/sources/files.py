@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.config import SOURCE_GLOBS
+from lendspark.config import RECORD_GLOB, SOURCE_GLOBS
 
 _BINARY_FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -18,8 +18,8 @@ def _missing(error: AnalysisException) -> bool:
 def scan_landing(spark: SparkSession, landing: str, source: str) -> DataFrame:
     """The landed files of one source as (path, modificationTime, length, content).
 
-    One row holds one file, so a file must stay below 2 GB; deliver larger feeds as line-delimited
-    parts and read them with `scan_json_records`.
+    One row holds one file, so a file must stay below 2 GB; larger feeds come with one record per line,
+    and `scan_lines` reads them.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", SOURCE_GLOBS[source])
     try:
@@ -30,6 +30,24 @@ def scan_landing(spark: SparkSession, landing: str, source: str) -> DataFrame:
         raise
 
 
+def scan_lines(spark: SparkSession, landing: str, source: str) -> DataFrame:
+    """The lines of a source's line-delimited feeds: (line, name, size, modified, position). Large files are split."""
+    meta = F.col("_metadata")
+    try:
+        text = spark.read.option("pathGlobFilter", RECORD_GLOB).text(f"{landing}/{source}")
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        return spark.createDataFrame([], "line string, name string, size bigint, modified timestamp, position struct<block:bigint,row:bigint>")
+    return text.select(
+        F.col("value").alias("line"),
+        meta["file_name"].alias("name"),
+        meta["file_size"].alias("size"),
+        meta["file_modification_time"].alias("modified"),
+        F.struct(meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row")).alias("position"),
+    )
+
+
 def scan_json_records(spark: SparkSession, path: str, item_schema: str, lines: bool = True) -> DataFrame:
     """Records of JSON files read straight from storage, with their origin.
 

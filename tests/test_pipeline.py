@@ -84,6 +84,19 @@ def test_whole_run(spark, landing, tmp_path, as_of):
     assert later["index"].agg(F.countDistinct("batch")).head()[0] == 2
 
 
+def test_line_delimited_feeds_land_and_parse_record_by_record(spark, landing, tmp_path, as_of):
+    lines = [json.dumps(FRAUD_ITEM | {"emirates_id": EIDS[0], "provider_ref": f"line{i}"}) for i in range(50)]
+    (Path(landing) / "fraud" / "more.jsonl").write_text("\n".join([*lines, "[1]", "{broken", ""]) + "\n")
+    root = str(tmp_path / "root")
+    for run_id in ("r1", "r2"):
+        out = pipeline.run(spark, landing, root, as_of, run_id)
+        assert out["fraud"].count() == 55
+    stored = bronze.read_records(spark, f"{root}/bronze_records")
+    assert stored.count() == 52 and stored.where(F.sha2("line", 256) != F.col("content_sha256")).count() == 0
+    rejects = read_table(spark, f"{root}/silver/rejects/fraud", "source string, reason string, raw string, raw_path string, ingest_date string")
+    assert rejects.count() == 2
+
+
 def test_profiles_of_all_days_count_and_the_last_one_wins(spark, landing, tmp_path, as_of):
     root = str(tmp_path / "root")
     pipeline.run(spark, landing, root, as_of, "r1")
