@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.llm.bktree import unite
+from lendspark.llm.blocks import gather
 from lendspark.llm.common import cut
 from lendspark.llm.components import components
 
@@ -128,17 +129,19 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": node, "near": [node[sorted(s)] for s in lists]})
 
 
-def _greedy(query: np.ndarray, vectors: np.ndarray, lists: list[np.ndarray], start: int, beam: int, reach: float) -> np.ndarray:
-    """Places found in range: best-first search with a beam, then on through everything close to the range."""
+def _greedy(query: np.ndarray, vectors: np.ndarray, edges: tuple[np.ndarray, ...], start: int, beam: int, reach: float) -> np.ndarray:
+    """Places found in range: best-first search with a beam; whatever comes close to the range is expanded at once."""
+    first, size, flat = edges
     seen = np.zeros(len(vectors), dtype=bool)
     seen[start] = True
-    ids, near = np.array([start]), vectors[[start]] @ query
-    done = np.zeros(1, dtype=bool)
+    ids, near, done = np.array([start]), vectors[[start]] @ query, np.zeros(1, dtype=bool)
     while not done.all():
-        at = int(np.argmax(np.where(done, -2.0, near)))
-        done[at] = True
-        new = lists[ids[at]]
-        new = new[~seen[new]]
+        at = ~done & (near >= reach)
+        if not at.any():
+            at[np.argmax(np.where(done, -2.0, near))] = True
+        done |= at
+        new = flat[gather(first[ids[at]], size[ids[at]])]
+        new = np.unique(new[~seen[new]])
         if not len(new):
             continue
         seen[new] = True
@@ -146,9 +149,8 @@ def _greedy(query: np.ndarray, vectors: np.ndarray, lists: list[np.ndarray], sta
         done = np.concatenate([done, np.zeros(len(new), dtype=bool)])
         if len(ids) > beam:
             # Whatever is close to the range stays beside the best ones, so that the range can expand.
-            keep = np.zeros(len(ids), dtype=bool)
+            keep = near >= reach
             keep[np.argpartition(-near, beam - 1)[:beam]] = True
-            keep |= near >= reach
             ids, near, done = ids[keep], near[keep], done[keep]
     return ids
 
@@ -164,6 +166,8 @@ def _search(threshold: float, beam: int, group: pd.DataFrame) -> pd.DataFrame:
     vectors, node, weight = _unit(raw), member["node"].to_numpy(), member["n"].to_numpy()
     place = {n: i for i, n in enumerate(node.tolist())}
     lists = [np.array([place[x] for x in near if x in place], dtype=np.int64) for near in member["near"]]
+    size = np.array([len(x) for x in lists])
+    edges = (np.cumsum(size) - size, size, np.concatenate(lists))
     start = int(np.argmax(vectors @ vectors.sum(axis=0)))  # the medoid
     every = np.unique(np.concatenate([node, asking["node"].to_numpy()]))
     parent = np.arange(len(every))
@@ -171,7 +175,7 @@ def _search(threshold: float, beam: int, group: pd.DataFrame) -> pd.DataFrame:
     queries = _unit(np.array(asking["vec"].tolist(), dtype=np.float64))
     counts = []
     for query, own in zip(queries, asking["node"].to_numpy()):
-        found = _greedy(query, vectors, lists, start, beam, threshold - 0.05)
+        found = _greedy(query, vectors, edges, start, beam, threshold - 0.05)
         found = found[(vectors[found] @ query >= threshold) & (node[found] != own)]
         counts.append(int(weight[found].sum()))
         if len(found):
