@@ -1,39 +1,44 @@
-"""Scoring by prediction by partial matching (PPM) over bytes, with escape method C and symbol exclusion.
+"""Scoring by prediction by partial matching (PPM) over bytes, with escape method D and symbol exclusion.
 
 Training counts, over all texts to learn from, how often each byte follows each context of `ORDER` bytes; the
 counts of shorter contexts are sums of these, so the whole trie comes out of one table. A byte never seen
 in a context costs an escape to the next shorter one, where the bytes of the longer context are excluded.
+Half a count of every byte seen in a context goes to its escape.
 As every byte seen after a context was also seen after its suffix, what exclusion takes away depends on the
 longer context alone and is worked out once per context, by joins.
 
 The trie grows with the corpus, so it is cut into shards of bounded size by the two bytes before the one to
-be predicted; contexts of one byte or none (at most 65,792 entries) are part of every shard. A text passes
-one scorer per shard, each adding the code length of the positions that belong to it. There is no other way
-for small tries: those are one shard.
+be predicted; contexts of one byte or none (at most 65,792 entries) are part of every shard. Each shard is
+one sorted file, sent along with the application's files. A task scores a few megabytes of text at a time,
+holding one shard after the other; each adds the code length of the positions that belong to it.
 
 The base score of words needs the count of every word of the corpus: see `blocks`.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendspark.llm import blocks
-from lendspark.llm.common import cut, lean
+from lendspark.llm.common import cut, lean, scratch_path
 
-ORDER = 4
+ORDER = 5
 SHARD_ROWS = 2_000_000
 EDGE = 0xFF  # stands before and after a text; no UTF-8 text contains it
 END = b"\xff"  # the token that ends a text in the base score
 _AT_ONCE = 1 << 21
 _HELD = 1 << 22
+_TEXT_AT_ONCE = 32 << 20
 
 
 def _mask(size: int) -> int:
@@ -132,20 +137,46 @@ def _shard(before, shards: int):
     return (before * 40503 % 65536) * shards
 
 
-def _arrays(model: DataFrame, shard: int, shards: int) -> dict[int, tuple[np.ndarray, ...]]:
-    """Sorted (keys, n, q, e) of each kind, as one shard has them: SHARD_ROWS rows or so."""
+def shard_files(model: DataFrame) -> list[str]:
+    """Store the shards of a trie, one sorted file each; a shard has SHARD_ROWS rows or so."""
+    shards = max(1, -(-model.count() // SHARD_ROWS))
     order = F.col("kind") % 10
     last_two = F.when(F.col("kind") < 10, F.shiftrightunsigned("key", 8)).otherwise(F.col("key")).bitwiseAND(F.lit(0xFFFF).cast("long"))
-    own = F.floor(_shard(last_two, shards) / F.lit(65536)) == shard
-    rows = model.where((order < 2) | own).toArrow()
+    own = F.floor(_shard(last_two, shards) / F.lit(65536)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(shards - 1))
+    placed = model.withColumn("shard", F.explode(F.when(order < 2, every).otherwise(F.array(own))))
+    spark = model.sparkSession
+    path = scratch_path(spark, "trie")
+    sorted_ = placed.repartition("shard").sortWithinPartitions("shard", "kind", "key")
+    sorted_.write.partitionBy("shard").parquet(path)
+    files = {int(re.search(r"/shard=(\d+)/", f)[1]): f for f in spark.read.schema(placed.schema).parquet(path).inputFiles()}
+    return [_renamed(spark, files[shard], f"{path.rpartition('/')[2]}-{shard}.parquet") for shard in sorted(files)]
+
+
+def _renamed(spark: SparkSession, file: str, name: str) -> str:
+    """Give a stored file a name that no other file of the application has."""
+    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old.getParent(), name)
+    old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(old, new)
+    return new.toString()
+
+
+@lru_cache(maxsize=1)
+def load(path: str) -> dict[int, tuple[np.ndarray, ...]]:
+    """Keys and figures of each kind from a shard's file: n of grams; n, q and e of contexts. No file, no figures."""
+    if path:
+        rows = pq.read_table(path, columns=["kind", "key", "n", "q", "e"], partitioning=None)
+    else:
+        rows = pa.table({name: pa.array([], pa.int64()) for name in ("kind", "key", "n", "q", "e")})
     kind = rows.column("kind").to_numpy()
-    found = {}
+    found: dict[int, tuple[np.ndarray, ...]] = {}
     for k in [*range(ORDER + 1), *range(10, 11 + ORDER)]:
-        part = [rows.column(c).to_numpy()[kind == k] for c in ("key", "n", "q", "e")]
-        by_key = np.argsort(part[0])
-        found[k] = tuple(c[by_key] for c in part)
-    n, q = (_look(found[10 + ORDER], found[ORDER][0] >> 8, i) for i in (1, 2))
-    found[-1] = (found[ORDER][0], np.log10(found[ORDER][1] / np.maximum(n + q, 1)))
+        begin, end = np.searchsorted(kind, [k, k + 1])
+        names = ("key", "n") if k < 10 else ("key", "n", "q", "e")
+        found[k] = tuple(rows.column(c).slice(begin, end - begin).to_numpy() for c in names)
+    keys, counts = found.pop(ORDER)
+    n = _look(found[10 + ORDER], keys >> 8, 1)
+    found[-1] = (keys, np.log10((counts - 0.5) / np.maximum(n, 1)))
     return found
 
 
@@ -175,14 +206,14 @@ def log_probability(model: dict[int, tuple[np.ndarray, ...]], grams: np.ndarray)
     for j in range(ORDER, -1, -1):
         context = (gram >> 8) & _mask(j)
         n, q, e = (_look(model[10 + j], context, i).astype(np.float64) for i in (1, 2, 3))
-        seen = _look(model[j], gram & _mask(j + 1), 1).astype(np.float64)
+        seen = _look(model[j], gram & _mask(j + 1), 1).astype(np.float64) if j < ORDER else np.zeros(len(gram))
         new = q - excluded_q
-        room = np.maximum(n - excluded_n + new, 1.0)
+        room = np.maximum(n - excluded_n, 1.0)
         here = going & (seen > 0)
-        total[here] += np.log10(seen[here] / room[here])
+        total[here] += np.log10((seen[here] - 0.5) / room[here])
         going &= ~here
         escape = going & (new > 0)
-        total[escape] += np.log10(new[escape] / room[escape])
+        total[escape] += np.log10(new[escape] / 2 / room[escape])
         excluded_n, excluded_q = e, q
     total[going] -= np.log10(np.maximum(256.0 - excluded_q[going], 1.0))
     out[rest] = total
@@ -190,28 +221,43 @@ def log_probability(model: dict[int, tuple[np.ndarray, ...]], grams: np.ndarray)
 
 
 @lean
-def _score(shared, shard: int, shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    model = shared.value
+def _score(files: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scored(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # All texts under one shard, then under the next: with many shards each is read once for many texts.
+        totals = [np.zeros(batch.num_rows) for batch in held]
+        for shard, name in enumerate(files):
+            model = load(SparkFiles.get(name) if name else "")
+            for batch, total in zip(held, totals):
+                at = 0
+                for texts in _chunks(batch.column(1)):
+                    grams, sizes = grams_of(texts)
+                    own = np.flatnonzero(_shard((grams >> 8) & 0xFFFF, len(files)) // 65536 == shard)
+                    value = np.zeros(len(grams))
+                    value[own] = log_probability(model, grams[own])
+                    total[at : at + len(texts)] += np.add.reduceat(value, np.cumsum(sizes) - sizes)
+                    at += len(texts)
+        for batch, total in zip(held, totals):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total)], names=["id", "text", "learn", "score"])
+
+    held, size = [], 0
     for batch in batches:
-        added = []
-        for texts in _chunks(batch.column(1)):
-            grams, sizes = grams_of(texts)
-            own = np.flatnonzero(_shard((grams >> 8) & 0xFFFF, shards) // 65536 == shard)
-            value = np.zeros(len(grams))
-            value[own] = log_probability(model, grams[own])
-            added.append(np.add.reduceat(value, np.cumsum(sizes) - sizes))
-        score = batch.column(3).to_numpy() + (np.concatenate(added) if added else np.empty(0))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(score)], names=["id", "text", "learn", "score"])
+        held.append(batch)
+        size += batch.nbytes
+        if size >= _TEXT_AT_ONCE:
+            yield from scored(held)
+            held, size = [], 0
+    if held:
+        yield from scored(held)
 
 
 def score(df: DataFrame, model: DataFrame) -> DataFrame:
-    """Fill `score` of (id, text, learn, score) shard by shard."""
+    """Add `score` to (id, text, learn)."""
     context = df.sparkSession.sparkContext
-    shards = max(1, -(-model.count() // SHARD_ROWS))
-    for shard in range(shards):
-        shared = context.broadcast(_arrays(model, shard, shards))
-        df = df.mapInArrow(partial(_score, shared, shard, shards), "id long, text string, learn boolean, score double")
-    return df
+    files = shard_files(model)
+    for file in files:
+        context.addFile(file)
+    names = [file.rpartition("/")[2] for file in files] or [""]
+    return df.mapInArrow(partial(_score, names), "id long, text string, learn boolean, score double")
 
 
 def _tokens(text: bytes) -> list[bytes]:
@@ -272,7 +318,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), (~is_held_out(id_col)).alias("learn"))
     model = train(rows.where("learn"))
-    scored = score(rows.withColumn("score", F.lit(0.0)), model)
+    scored = score(rows, model)
     payload = F.concat_ws(",", F.coalesce(F.col("id").cast("string"), F.lit("")), "learn", "score").alias("payload")
     stored = blocks.store_blocks(scored.select(payload, "text", "learn"), _tokens)
     packs = cut(blocks.words_of(stored).mapInArrow(_look_up, f"{blocks.PACK}, distinct long, total long"))
