@@ -23,14 +23,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendspark.llm.common import lean, scratch_path
 
 BLOCK_BYTES = 64 << 20
 CHUNK_WORDS = 1 << 20
-BUCKETS = 256
 WORDS_AT_ONCE = 1 << 17
 
 # A place is one number: the block (task, then block within the task) and the number of the word in it.
@@ -113,6 +112,11 @@ def _build(split: Callable[[bytes], list], batches: Iterator[pa.RecordBatch]) ->
     yield from block.listed()
 
 
+def _buckets(spark: SparkSession) -> int:
+    """As many buckets as shuffle partitions: this is how a session says how widely to deal its data."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def store_blocks(df: DataFrame, split: Callable[[bytes], list]) -> DataFrame:
     """Blocks of `df` (payload: string, text: string, learn: boolean), stored in buckets of their number.
 
@@ -122,7 +126,7 @@ def store_blocks(df: DataFrame, split: Callable[[bytes], list]) -> DataFrame:
     path = scratch_path(df.sparkSession, "blocks")
     name = path.rpartition("/")[2].replace("-", "_")
     writer = built.write.option("path", path).option("compression", "zstd").option("parquet.block.size", str(32 << 20))
-    writer.bucketBy(BUCKETS, "block").saveAsTable(name)
+    writer.bucketBy(_buckets(df.sparkSession), "block").saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -196,10 +200,10 @@ def join_back(blocks: DataFrame, packs: DataFrame) -> DataFrame:
 
     Packs are dealt as the buckets are, so that neither they move again nor the chunks at all.
     """
-    dealt = packs.repartition(BUCKETS, "block").groupBy("block")
+    dealt = packs.repartition(_buckets(packs.sparkSession), "block").groupBy("block")
     back = dealt.agg(F.collect_list(F.struct("numbers", "sizes", "values")).alias("packs"))
     chunks = blocks.where("codes is not null").select("block", "payload", "lens", "codes")
-    return chunks.join(back, "block", "left").select("payload", "lens", "codes", "packs")
+    return chunks.join(back.hint("merge"), "block", "left").select("payload", "lens", "codes", "packs")
 
 
 def looked_up(packs: list[dict] | None, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
