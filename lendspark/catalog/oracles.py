@@ -404,6 +404,10 @@ ORACLES: dict[str, str] = {
     "decide_pf": _with("SELECT emirates_id, outcome, reason_codes FROM decided WHERE product = 'personal_finance'"),
     "decide_bnpl": _with("SELECT emirates_id, outcome, reason_codes FROM decided WHERE product = 'bnpl'"),
     "decide_cca": _with("SELECT emirates_id, outcome, reason_codes FROM decided WHERE product = 'credit_card_alt'"),
+    "decisions_by_reason": _with(
+        "SELECT product, outcome, reason, count(*) AS given, count(*) FILTER (place = 1) AS given_first FROM (SELECT product, outcome,"
+        " unnest(string_split(reason_codes, ',')) AS reason, generate_subscripts(string_split(reason_codes, ','), 1) AS place FROM decided) GROUP BY ALL"
+    ),
     "decisions": _with(f"SELECT {_FACT_COLUMNS} FROM decided"),
     "fact_decision": _with(f"SELECT {_FACT_COLUMNS} FROM decided"),
     "dim_customer": _with(

@@ -12,7 +12,7 @@ from lendspark.config import AML, BUREAU, FRAUD, PROFILE
 from lendspark.functions.text import compare_form
 from lendspark.operators.keyed import first_per_key
 
-# Sources of each field, the most trusted first.
+# The sources of each field, the most trusted first.
 PRECEDENCE = {
     "phone": (PROFILE, FRAUD),
     "email": (PROFILE, FRAUD),

@@ -1,7 +1,11 @@
 """Decision rule packs as Catalyst expressions: no Python runs per row.
 
 A pack is an ordered list of gates. The first closed gate decides: a gate over several signals gives
-every reason that applies, a single one its own reason. If none is closed, the answer is APPROVE. Packs read no personal fields, so they decide alike on tokenised vectors.
+every reason that applies, a single one its own reason. If none is closed, the answer is APPROVE. Packs read
+no personal fields, so they decide alike on tokenised vectors.
+
+Fixed values: pack versions, thresholds, reason codes and the order of the gates appear in stored decisions and
+must not change within a version.
 """
 
 from __future__ import annotations
