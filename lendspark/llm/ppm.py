@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 from lendspark.llm import blocks
 from lendspark.llm.common import cut, lean, scratch_path
 
-ORDER = 5
+ORDER = 4
 SHARD_ROWS = 2_000_000
 EDGE = 0xFF  # stands before and after a text; no UTF-8 text contains it
 END = b"\xff"  # the token that ends a text in the base score
-_AT_ONCE = 1 << 21
-_HELD = 1 << 22
-_TEXT_AT_ONCE = 32 << 20
+_AT_ONCE = 1 << 20
+_HELD = 1 << 21
+_TEXT_AT_ONCE = 16 << 20
 
 
 def _mask(size: int) -> int:
