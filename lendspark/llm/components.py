@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.llm.common import cut
+from lendspark.operators.skew import lookup
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def components(links: DataFrame) -> DataFrame:
             .agg(F.max("e.moved").alias("moved"))
         )
         parent = star.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("up"))
-        jumped = star.join(parent, "b", "left").select(
+        jumped = lookup(star, parent, ["b"], "left").select(
             "a", F.coalesce("up", "b").alias("b"), (F.col("moved") | F.col("up").isNotNull()).alias("moved")
         )
         edges = cut(jumped.groupBy("a", "b").agg(F.max("moved").alias("moved")))

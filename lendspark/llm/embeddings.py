@@ -196,8 +196,9 @@ def _links(vectors: DataFrame, centroids: np.ndarray, threshold: float, slack: f
     schema = f"shard long, home boolean, node long, {vectors.schema['vec'].name} {vectors.schema['vec'].dataType.simpleString()}, n long"
     members = vectors.select("node", "vec", "n").mapInArrow(partial(_assign, shared, slack), schema)
     members = cut(members)
+    # A row per shard, and there are at most CENTROIDS.
     sizes = members.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
-    members = cut(members.join(sizes, "shard").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
+    members = cut(members.join(F.broadcast(sizes), "shard").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
     graph = members.groupBy("shard", "part").applyInPandas(_build, "node long, near array<long>")
     united = graph.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     whole = cut(members.join(united, "node"))

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from lendspark.llm.bktree import Forest, unite
 from lendspark.llm.common import cut, lean, split_row
 from lendspark.llm.components import components
+from lendspark.operators.skew import lookup
 
 RADIUS = 4
 SHINGLE = 4
@@ -142,7 +143,7 @@ def links(prints: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFr
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / F.lit(shard)).cast("int")
     dealt = (
-        keyed.join(shared, "key")
+        lookup(keyed, shared, ["key"])
         .select("key", "fp", parts.alias("parts"))
         .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
         .select("key", F.explode(F.sequence("own", F.col("parts") - 1)).alias("part"), "fp", "own")

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.llm.common import cut, lean
+from lendspark.operators.skew import lookup
 
 GRAM = 20
 WINDOW = 31
@@ -272,7 +273,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
     grams = cut(docs.mapInArrow(_grams, "gram long, id long, key long"))
     repeated = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    wanted = grams.join(repeated, "gram").groupBy("id", "key").agg(F.collect_set("gram").alias("grams"))
+    wanted = lookup(grams, repeated, ["gram"]).groupBy("id", "key").agg(F.collect_set("gram").alias("grams"))
     wanted = wanted.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "grams")
     candidates = docs.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
     suffixes = cut(candidates.select("id", "key", "text", "grams").mapInArrow(_suffixes, _SUFFIX))
