@@ -6,9 +6,10 @@
    nearly as close (`slack`). A shard of more than `PART` vectors is cut into parts, whatever its size.
 3. Every part gets a flat graph: close candidates of a vector are pruned so that each kept neighbour leads in
    a direction of its own. Then the adjacency lists that a vector has in its shards are united.
-4. A vector queries all parts of its home shard: a greedy search from the medoid finds its surroundings, and
-   as long as it finds vectors in range, it goes on through their neighbours. Cosines are computed in double
-   precision, and only links that reach the threshold are counted.
+4. A vector queries all parts of its home shard: a greedy search finds its surroundings, and as long as it
+   finds vectors in range, it goes on through their neighbours. As a large group of near copies has no edges
+   but to itself, the search starts from a place in every component of the edges that are close to the range.
+   Cosines are computed in double precision, and only links that reach the threshold are counted.
 5. An audit compares a bounded sample of vectors with all rows. Below `RECALL`, slack and beam are doubled and
    the search is done again; the recall reached comes with the result.
 
@@ -44,6 +45,8 @@ ALPHA = 1.2
 AUDITED = 256
 RECALL = 0.9
 ATTEMPTS = 3
+_EDGES_AT_ONCE = 1 << 14
+_QUERIES_AT_ONCE = 256
 
 
 def usable(vec: Column) -> Column:
@@ -129,13 +132,36 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": node, "near": [node[sorted(s)] for s in lists]})
 
 
-def _greedy(query: np.ndarray, vectors: np.ndarray, edges: tuple[np.ndarray, ...], start: int, beam: int, reach: float) -> np.ndarray:
-    """Places found in range: best-first search with a beam; whatever comes close to the range is expanded at once."""
+def _entries(vectors: np.ndarray, edges: tuple[np.ndarray, ...], reach: float) -> np.ndarray:
+    """One place of every component that the edges of at least `reach` form: a group of near copies that has no
+    edge out, or a few that no search follows, is entered as well. Loose vectors are components of their own."""
+    _, size, flat = edges
+    source = np.repeat(np.arange(len(vectors)), size)
+    parent = np.arange(len(vectors))
+    for i in range(0, len(flat), _EDGES_AT_ONCE):
+        a, b = source[i : i + _EDGES_AT_ONCE], flat[i : i + _EDGES_AT_ONCE]
+        close = np.einsum("ij,ij->i", vectors[a], vectors[b]) >= reach
+        unite(parent, a[close], b[close])
+    return np.flatnonzero(parent == np.arange(len(vectors)))
+
+
+def _greedy(
+    query: np.ndarray, vectors: np.ndarray, edges: tuple[np.ndarray, ...], start: np.ndarray, near: np.ndarray, beam: int, reach: float
+) -> np.ndarray:
+    """Places found in range: best-first search with a beam from the places `start`, whose cosines are `near`;
+    whatever comes close to the range is expanded at once."""
     first, size, flat = edges
     seen = np.zeros(len(vectors), dtype=bool)
     seen[start] = True
-    ids, near, done = np.array([start]), vectors[[start]] @ query, np.zeros(1, dtype=bool)
-    while not done.all():
+    ids, done = start, np.zeros(len(start), dtype=bool)
+    while True:
+        if len(ids) > beam:
+            # Whatever is close to the range stays beside the best ones, so that the range can expand.
+            keep = near >= reach
+            keep[np.argpartition(-near, beam - 1)[:beam]] = True
+            ids, near, done = ids[keep], near[keep], done[keep]
+        if done.all():
+            return ids
         at = ~done & (near >= reach)
         if not at.any():
             at[np.argmax(np.where(done, -2.0, near))] = True
@@ -147,12 +173,18 @@ def _greedy(query: np.ndarray, vectors: np.ndarray, edges: tuple[np.ndarray, ...
         seen[new] = True
         ids, near = np.concatenate([ids, new]), np.concatenate([near, vectors[new] @ query])
         done = np.concatenate([done, np.zeros(len(new), dtype=bool)])
-        if len(ids) > beam:
-            # Whatever is close to the range stays beside the best ones, so that the range can expand.
-            keep = near >= reach
-            keep[np.argpartition(-near, beam - 1)[:beam]] = True
-            ids, near, done = ids[keep], near[keep], done[keep]
-    return ids
+
+
+def _forest(own: np.ndarray, counts: list[int], every: np.ndarray, parent: np.ndarray) -> pd.DataFrame:
+    """The links of the queries `own`, and one link of each of `every` that is not a root."""
+    tied = np.flatnonzero(parent != np.arange(len(every)))
+    return pd.DataFrame(
+        {
+            "node": np.concatenate([own, every[tied]]),
+            "links": np.concatenate([np.array(counts, dtype=np.int64), np.zeros(len(tied), dtype=np.int64)]),
+            "root": np.concatenate([own, every[parent[tied]]]),
+        }
+    )
 
 
 def _search(threshold: float, beam: int, group: pd.DataFrame) -> pd.DataFrame:
@@ -168,26 +200,24 @@ def _search(threshold: float, beam: int, group: pd.DataFrame) -> pd.DataFrame:
     lists = [np.array([place[x] for x in near if x in place], dtype=np.int64) for near in member["near"]]
     size = np.array([len(x) for x in lists])
     edges = (np.cumsum(size) - size, size, np.concatenate(lists))
-    start = int(np.argmax(vectors @ vectors.sum(axis=0)))  # the medoid
-    every = np.unique(np.concatenate([node, asking["node"].to_numpy()]))
+    reach = threshold - 0.05
+    start = _entries(vectors, edges, reach)
+    doors = vectors[start]
+    own = asking["node"].to_numpy()
+    every = np.unique(np.concatenate([node, own]))
     parent = np.arange(len(every))
     members_at = np.searchsorted(every, node)
     queries = _unit(np.array(asking["vec"].tolist(), dtype=np.float64))
     counts = []
-    for query, own in zip(queries, asking["node"].to_numpy()):
-        found = _greedy(query, vectors, edges, start, beam, threshold - 0.05)
-        found = found[(vectors[found] @ query >= threshold) & (node[found] != own)]
-        counts.append(int(weight[found].sum()))
-        if len(found):
-            unite(parent, np.full(len(found), np.searchsorted(every, own)), members_at[found])
-    tied = np.flatnonzero(parent != np.arange(len(every)))
-    return pd.DataFrame(
-        {
-            "node": np.concatenate([asking["node"].to_numpy(), every[tied]]),
-            "links": np.concatenate([np.array(counts, dtype=np.int64), np.zeros(len(tied), dtype=np.int64)]),
-            "root": np.concatenate([asking["node"].to_numpy(), every[parent[tied]]]),
-        }
-    )
+    for i in range(0, len(queries), _QUERIES_AT_ONCE):
+        some = queries[i : i + _QUERIES_AT_ONCE]
+        for query, me, near in zip(some, own[i : i + _QUERIES_AT_ONCE], some @ doors.T):
+            found = _greedy(query, vectors, edges, start, near, beam, reach)
+            found = found[(vectors[found] @ query >= threshold) & (node[found] != me)]
+            counts.append(int(weight[found].sum()))
+            if len(found):
+                unite(parent, np.full(len(found), np.searchsorted(every, me)), members_at[found])
+    return _forest(own, counts, every, parent)
 
 
 def _links(vectors: DataFrame, centroids: np.ndarray, threshold: float, slack: float, beam: int) -> DataFrame:
