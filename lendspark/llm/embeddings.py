@@ -10,8 +10,9 @@
    finds vectors in range, it goes on through their neighbours. As a large group of near copies has no edges
    but to itself, the search starts from a place in every component of the edges that are close to the range.
    Cosines are computed in double precision, and only links that reach the threshold are counted.
-5. An audit compares a bounded sample of vectors with all rows. Below `RECALL`, slack and beam are doubled and
-   the search is done again; the recall reached comes with the result.
+5. An audit compares bounded samples of vectors, with few links and with many, with all rows. Below `RECALL`,
+   slack and beam are doubled and the search is done again; after `ATTEMPTS` searches all vectors are compared
+   with all. The recall reached comes with the result.
 
 Parts meet queries in groups of bounded size, each of which sends back counts and a spanning forest of its
 links, never pairs.
@@ -38,7 +39,7 @@ CENTROIDS = 4096
 PER_CENTROID = 400
 SAMPLE = 16_384
 PART = 4096
-SLACK = 1.0  # over the root of the dimension: what separates close vectors points anywhere
+SLACK = 1.2  # over the root of the dimension: what separates close vectors points anywhere
 BEAM = 48
 DEGREE = 24
 ALPHA = 1.2
@@ -47,6 +48,7 @@ RECALL = 0.9
 ATTEMPTS = 3
 _EDGES_AT_ONCE = 1 << 14
 _QUERIES_AT_ONCE = 256
+_ROWS_AT_ONCE = 2048
 
 
 def usable(vec: Column) -> Column:
@@ -239,27 +241,80 @@ def _links(vectors: DataFrame, centroids: np.ndarray, threshold: float, slack: f
     return stock.unionByName(asking).groupBy("shard", "m", "q").applyInPandas(partial(_search, threshold, beam), "node long, links long, root long")
 
 
+def _meet(threshold: float, group: pd.DataFrame) -> pd.DataFrame:
+    """Like `_search`, but every query is compared with every member."""
+    member, asking = group.loc[group["role"] == 0], group.loc[group["role"] == 1]
+    if not len(member) or not len(asking):
+        return pd.DataFrame({"node": [], "links": [], "root": []}).astype("int64")
+    vectors, queries = (_unit(np.array(rows["vec"].tolist(), dtype=np.float64)) for rows in (member, asking))
+    node, weight, own = member["node"].to_numpy(), member["n"].to_numpy(), asking["node"].to_numpy()
+    every = np.unique(np.concatenate([node, own]))
+    parent = np.arange(len(every))
+    members_at, own_at = np.searchsorted(every, node), np.searchsorted(every, own)
+    counts: list[int] = []
+    for i in range(0, len(queries), _QUERIES_AT_ONCE):
+        part = slice(i, i + _QUERIES_AT_ONCE)
+        hit = (queries[part] @ vectors.T >= threshold) & (node != own[part, None])
+        counts += (hit @ weight).tolist()
+        asked, found = np.nonzero(hit)
+        unite(parent, own_at[part][asked], members_at[found])
+    return _forest(own, counts, every, parent)
+
+
+def _exact(vectors: DataFrame, threshold: float) -> DataFrame:
+    """What `_links` gives, by comparing all parts of all vectors with each other; the work grows with the square."""
+    parts = -(-vectors.count() // PART)
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    dealt = cut(vectors.select("node", "vec", "n", F.pmod(F.xxhash64("node"), F.lit(parts)).cast("int").alias("part")))
+    stock = dealt.select(F.col("part").alias("m"), every.alias("q"), F.lit(0).alias("role"), "node", "vec", "n")
+    asking = dealt.select(every.alias("m"), F.col("part").alias("q"), F.lit(1).alias("role"), "node", "vec", "n")
+    return stock.unionByName(asking).groupBy("m", "q").applyInPandas(partial(_meet, threshold), "node long, links long, root long")
+
+
+def _tied(vectors: DataFrame, found: DataFrame) -> DataFrame:
+    """`vectors` with the links found of each, and the root of its component."""
+    tied = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    whole = vectors.join(links, "node", "left").join(tied, "node", "left")
+    return cut(whole.withColumn("root", F.coalesce("root", "node")).withColumn("links", F.coalesce("links", F.lit(0).cast("long"))))
+
+
 def _compare(shared, threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    asked, own = shared.value
+    asked, own, own_root = shared.value
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        node, n = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-        hit = (_unit(_matrix(batch.column(1))) @ asked.T >= threshold) & (node[:, None] != own)
-        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array((hit * n[:, None]).sum(axis=0))], names=["node", "links"])
+        for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            rows = batch.slice(at, _ROWS_AT_ONCE)
+            node, n, root = (rows.column(i).to_numpy() for i in (0, 2, 3))
+            hit = (_unit(_matrix(rows.column(1))) @ asked.T >= threshold) & (node[:, None] != own)
+            together = hit & (root[:, None] == own_root)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n @ hit), pa.array(n @ together)], names=["node", "true", "together"])
+
 
+def _audit(whole: DataFrame, threshold: float) -> float:
+    """The recall of the worst class of vectors, by comparing some with all others.
 
-def _audit(vectors: DataFrame, found: DataFrame, threshold: float) -> float:
-    """The share of links found of at most AUDITED vectors, by comparing these with all others."""
-    chosen = vectors.orderBy(F.xxhash64("node"), "node").limit(AUDITED).select("node", "vec").toArrow()
-    own = chosen.column("node").to_numpy()
-    shared = vectors.sparkSession.sparkContext.broadcast((_unit(_matrix(chosen.column("vec"))), own))
-    true = vectors.select("node", "vec", "n").mapInArrow(partial(_compare, shared, threshold), "node long, links long")
-    true = true.groupBy("node").agg(F.sum("links").alias("true"))
-    mine = found.where(F.col("node").isin(own.tolist())).groupBy("node").agg(F.sum("links").alias("mine"))
-    least = F.least("true", F.coalesce("mine", F.lit(0)))
-    hit, all_ = true.join(mine, "node", "left").agg(F.sum(least), F.sum("true")).head()
-    return 1.0 if not all_ else hit / all_
+    At most AUDITED vectors are drawn of each number of digits of the links found, and as many of those without
+    any, so that neither hot groups nor loose vectors crowd out the rest. A vector's recall is the share of its
+    true links that was found, or the share that its component holds if that is less. Classes are the powers
+    of two of the true links; a class has the mean of its vectors, each standing for those it was drawn from.
+    """
+    digits = F.when(F.col("links") == 0, 0).otherwise(F.least(F.length(F.col("links").cast("string")), F.lit(4)))
+    layered = whole.withColumn("layer", digits)
+    held = {r["layer"]: r["count"] for r in layered.groupBy("layer").count().collect()}
+    drawn = [layered.where(F.col("layer") == k).orderBy(F.xxhash64("node"), "node").limit(AUDITED) for k in sorted(held)]
+    chosen = pa.concat_tables([d.select("node", "vec", "root", "links", "layer").toArrow() for d in drawn])
+    own, root, mine, layer = (chosen.column(c).to_numpy() for c in ("node", "root", "links", "layer"))
+    shared = whole.sparkSession.sparkContext.broadcast((_unit(_matrix(chosen.column("vec"))), own, root))
+    met = whole.select("node", "vec", "n", "root").mapInArrow(partial(_compare, shared, threshold), "node long, true long, together long")
+    sums = {r["node"]: (r["true"], r["together"]) for r in met.groupBy("node").agg(F.sum("true").alias("true"), F.sum("together").alias("together")).collect()}
+    true, together = np.array([sums[i] for i in own.tolist()], dtype=np.int64).T
+    linked = np.flatnonzero(true > 0)
+    if not len(linked):
+        return 1.0
+    recall = np.minimum(np.minimum(mine, true), together)[linked] / true[linked]
+    weight = np.array([held[k] / np.count_nonzero(layer == k) for k in layer.tolist()])[linked]
+    class_ = np.frexp(true[linked].astype(np.float64))[1]
+    return min(float(np.average(recall[class_ == c], weights=weight[class_ == c])) for c in np.unique(class_))
 
 
 def _one_length(rows: DataFrame, threshold: float) -> DataFrame:
@@ -272,17 +327,15 @@ def _one_length(rows: DataFrame, threshold: float) -> DataFrame:
     centroids = fit_centroids(_unit(_matrix(sample.column("vec"))), wanted)
     slack, beam = SLACK / np.sqrt(centroids.shape[1]), BEAM
     for _ in range(ATTEMPTS):
-        found = cut(_links(vectors, centroids, threshold, slack, beam))
-        recall = _audit(vectors, found, threshold)
+        whole = _tied(vectors, cut(_links(vectors, centroids, threshold, slack, beam)))
+        recall = _audit(whole, threshold)
         if recall >= RECALL:
             break
         slack, beam = 2 * slack, 2 * beam
-    tied = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    whole = vectors.join(links, "node", "left").join(tied, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    whole = cut(whole)
+    else:
+        whole, recall = _tied(vectors, cut(_exact(vectors, threshold))), 1.0
     lowest = whole.groupBy("root").agg(F.min("low").alias("component_id"))
-    n_links = F.coalesce("links", F.lit(0).cast("long")) + F.col("n") - 1
+    n_links = F.col("links") + F.col("n") - 1
     return whole.join(lowest, "root").select("vec", n_links.alias("n_links"), "component_id", F.lit(recall).alias("recall"))
 
 

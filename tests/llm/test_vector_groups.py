@@ -30,3 +30,21 @@ def test_every_large_group_of_a_part_is_found(sizes, loose):
     linked = found[found["node"] != found["root"]]
     assert len(set(linked["root"])) == len(sizes)
     assert len(linked) == sum(sizes) - len(sizes)
+
+
+def test_lost_small_groups_are_noticed_and_found(spark, monkeypatch):
+    sizes = (120, 12, 12, 2, 2)
+    rows = grouped(sizes, loose=20)
+    ids = list(range(len(rows)))
+    search = embeddings._links
+
+    def only_the_first_group(vectors, *args):
+        found = search(vectors, *args).join(vectors.select("node", "low"), "node")
+        return found.where(found.low < sizes[0]).select("node", "links", "root")
+
+    monkeypatch.setattr(embeddings, "_links", only_the_first_group)
+    monkeypatch.setattr(embeddings, "PART", 50)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, rows)], "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, embeddings.near_duplicates(df).collect()))
+    first = np.concatenate([np.repeat(np.cumsum((0, *sizes[:-1])), sizes), np.arange(sum(sizes), len(rows))])
+    assert [r[:3] for r in got] == list(zip(ids, true_links(rows).tolist(), first.tolist()))
