@@ -11,7 +11,9 @@ words holds at least one, about one position in sixteen in all.
    The match is extended to the right, and to the left, up to WINDOW - 1 words on either side; what is longer
    goes on at the next selected position. A second array, sorted by the words before the gram, finds
    neighbours with the longest common past.
-3. Matches of PASSAGE words or more are united to the passages of their document.
+3. Where one neighbour shares the words before the gram and another those after it, the stretches of PASSAGE
+   words that may still be repeats are grouped by their words.
+4. Matches of PASSAGE words or more are united to the passages of their document.
 
 Equal suffixes of a thousand copies are a thousand neighbours, not a million pairs. Neighbours on either
 side of a partition's border are compared in one more, small, step: a run or two per partition.
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.llm.common import cut, lean
-from lendspark.operators.skew import lookup
+from lendspark.operators.skew import lookup, small
 
 GRAM = 20
 WINDOW = 31
@@ -42,7 +44,7 @@ _ROWS_AT_ONCE = 1 << 16
 _WORDS_KEPT = 1 << 20
 
 _SUFFIX = "gram long, right binary, left binary, rlen int, llen int, id long, key long, at int"
-_FOUND = f"{_SUFFIX}, begin int, end int, other long, border boolean"
+_FOUND = f"{_SUFFIX}, begin int, end int, other long, after int, before int, cover long, border boolean"
 
 
 class _Hashes(dict):
@@ -177,6 +179,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = np.full(rows.num_rows, np.iinfo(np.int32).max, dtype=np.int64)
         high = np.full(rows.num_rows, -1, dtype=np.int64)
         other: list = [None] * rows.num_rows
+        most = np.zeros((2, rows.num_rows), dtype=np.int64)  # words shared after and before
+        cover = np.zeros(rows.num_rows, dtype=np.int64)  # bit s: the words from s before the gram on are a match
         for near in (starts[run] - 1, ends[run]):
             mine = np.arange(begin, end)
             valid = (near >= 0) & (near < rows.num_rows)
@@ -184,14 +188,16 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             equal = gram[mine] == gram[near]
             mine, near = mine[equal], near[equal]
             after, before = _common(right, rlen, mine, near), _common(left, llen, mine, near)
+            most[0, mine], most[1, mine] = np.maximum(most[0, mine], after), np.maximum(most[1, mine], before)
             long = before + GRAM + after >= PASSAGE
             mine, near, after, before = mine[long], near[long], after[long], before[long]
+            cover[mine] |= (1 << (before + 1)) - (1 << (SIDE - after))
             low[mine] = np.minimum(low[mine], at[mine] - before)
             high[mine] = np.maximum(high[mine], at[mine] + GRAM + after)
             for i, j in zip(mine, near):
                 if ids[j] is not None and (other[i] is None or ids[j] < other[i]):
                     other[i] = int(ids[j])
-        hit = np.flatnonzero(high >= 0)
+        hit = np.flatnonzero(most.any(axis=0) | (high >= 0))
         edge = np.concatenate([np.arange(a, b) for a, b in borders]).astype(np.int64) if borders else np.empty(0, dtype=np.int64)
         taken = rows.take(pa.array(np.concatenate([hit, edge]))).combine_chunks()
         border = np.concatenate([np.zeros(len(hit), dtype=bool), np.ones(len(edge), dtype=bool)])
@@ -199,7 +205,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in (1, 2):  # words are only needed again at a border
             columns[i] = pc.if_else(pa.array(border), columns[i], pa.scalar(None, pa.binary()))
         both = np.concatenate([hit, edge])
-        columns += [pa.array(low[both].astype(np.int32)), pa.array(high[both].astype(np.int32)), pa.array([other[i] for i in both], pa.int64()), pa.array(border)]
+        columns += [pa.array(low[both].astype(np.int32)), pa.array(high[both].astype(np.int32)), pa.array([other[i] for i in both], pa.int64())]
+        columns += [*(pa.array(m[both].astype(np.int32)) for m in most), pa.array(cover[both]), pa.array(border)]
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _FOUND.split(", ")])
 
     held: list[pa.RecordBatch] = []
@@ -231,16 +238,47 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _matches(suffixes: DataFrame, order: list[str]) -> DataFrame:
-    """(id, key, begin, end, other) of the suffixes that match a neighbour in one sorted array."""
+    """What the suffixes that share a word beside their gram have in common with a neighbour in one sorted array;
+    `end` is negative without a match."""
     ranged = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
     found = cut(ranged.mapInArrow(_compare, _FOUND))
     names = [c.split()[0] for c in _SUFFIX.split(", ")]
     borders = found.where("border").select(*names).distinct().coalesce(1).sortWithinPartitions(*order)
-    across = borders.mapInArrow(_compare, _FOUND)
-    wanted = ("id", "key", "begin", "end", "other")
+    across = cut(borders.mapInArrow(_compare, _FOUND))
+    wanted = ("gram", "id", "key", "at", "begin", "end", "other", "after", "before", "cover")
     return found.where("not border").select(*wanted).unionByName(across.where("not border").select(*wanted))
 
 
+def _crossed(suffixes: DataFrame, near: DataFrame) -> DataFrame:
+    """(id, key, begin, end, other) of the passages whose words no neighbour shares whole.
+
+    One neighbour may share the words after a gram and another those before it, and a third document both. What
+    the neighbours share is the most that any document shares on that side, so only stretches of PASSAGE words
+    within it can be repeats. Those that no neighbour settled are asked for by their words, in all suffixes of the gram.
+    """
+    open_ = F.expr(f"(shiftleft(1L, before + 1) - shiftleft(1L, {SIDE} - after)) & ~cover")
+    asked = (
+        near.groupBy("gram", "id", "key", "at")
+        .agg(F.max("after").alias("after"), F.max("before").alias("before"), F.bit_or("cover").alias("cover"))
+        .where(F.col("after") + F.col("before") >= SIDE)
+        .select("gram", open_.alias("asked"))
+        .where("asked != 0")
+        .groupBy("gram")
+        .agg(F.bit_or("asked").alias("asked"))
+    )
+    steps = F.expr(f"explode(filter(sequence(0, {SIDE}), s -> (shiftleft(1L, s) & asked) != 0 AND s <= llen AND {SIDE} - s <= rlen)) AS s")
+    words = F.expr(f"xxhash64(substring(`left`, 1, 4 * s), substring(`right`, 1, 4 * ({SIDE} - s))) AS words")
+    stretches = suffixes.join(small(asked), "gram").select("gram", "id", "key", "at", "left", "right", steps)
+    stretches = cut(stretches.select("gram", "s", words, "id", "key", "at"))
+    doc = F.struct("id", "key")
+    repeated = stretches.groupBy("gram", "s", "words").agg(F.min(doc).alias("low"), F.max(doc).alias("high")).where("NOT low <=> high")
+    other = F.coalesce(F.when(~doc.eqNullSafe(F.col("low")), F.col("low.id")), F.when(~doc.eqNullSafe(F.col("high")), F.col("high.id")))
+    begin = F.col("at") - F.col("s")
+    return lookup(stretches, repeated, ["gram", "s", "words"]).select(
+        "id", "key", begin.alias("begin"), (begin + PASSAGE).alias("end"), other.alias("other")
+    )
+
+
 def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, begins, ends, others = [], [], [], []
@@ -279,5 +317,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     suffixes = cut(candidates.select("id", "key", "text", "grams").mapInArrow(_suffixes, _SUFFIX))
     after = _matches(suffixes, ["gram", "right", "left", "id", "key", "at"])
     before = _matches(suffixes, ["gram", "left", "right", "id", "key", "at"])
-    spans = after.unionByName(before).groupBy("id", "key").agg(F.collect_list(F.struct("begin", "end", "other")).alias("spans"))
+    near = after.unionByName(before)
+    matched = near.where("end >= 0").select("id", "key", "begin", "end", "other")
+    spans = matched.unionByName(_crossed(suffixes, near)).groupBy("id", "key").agg(F.collect_list(F.struct("begin", "end", "other")).alias("spans"))
     return spans.select("id", "spans").mapInArrow(_unite, "doc_id long, begin int, end int, other_id long")
