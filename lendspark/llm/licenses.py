@@ -107,12 +107,23 @@ def base_places(text: str) -> list[tuple[int, str]]:
     return sorted(found)
 
 
+def _best_places(window: str, notice: str) -> list[regex.Match]:
+    """The best place from every word on; of places that overlap the one with the fewest edits, then the first."""
+    starts = [0, *(at + 1 for at in _places(window, " "))]
+    matches = [m for m in (_matcher(notice).match(window, at) for at in starts) if m]
+    chosen: list[regex.Match] = []
+    for match in sorted(matches, key=lambda m: (sum(m.fuzzy_counts), m.start())):
+        if all(match.end() <= other.start() or other.end() <= match.start() for other in chosen):
+            chosen.append(match)
+    return chosen
+
+
 def spans_of(text: str) -> list[dict]:
-    """The verified places of all notices in a text of words, best match first within a window."""
+    """The verified places of all notices in a text of words; those of one notice do not overlap."""
     found = []
     for notice, label in (*BASE.items(), *NOTICES.items()):
         for begin, end in _windows(text, notice):
-            for match in _matcher(notice).finditer(text[begin:end]):
+            for match in _best_places(text[begin:end], notice):
                 first = text.count(" ", 0, begin + match.start())
                 words = match.group().strip().count(" ") + 1
                 found.append({"label": label, "notice": notice, "first_word": first, "words": words, "edits": sum(match.fuzzy_counts)})
