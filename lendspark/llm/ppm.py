@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from lendspark.llm import blocks
 from lendspark.llm.common import cut, lean, scratch_path
 
-ORDER = 4
-SHARD_ROWS = 2_000_000
+ORDER = 5
+SHARD_ROWS = 1_000_000
 EDGE = 0xFF  # stands before and after a text; no UTF-8 text contains it
 END = b"\xff"  # the token that ends a text in the base score
 _AT_ONCE = 1 << 20
