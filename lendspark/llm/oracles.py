@@ -103,4 +103,83 @@ SELECT rows.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, row
 FROM rows JOIN lowest USING (vec_id) LEFT JOIN counted USING (vec_id)
 """
 
-ORACLES: dict[str, str] = {"op4_url_filter": _OP4, "op6_source_mixing": _OP6, "op7_exact_dedup": _OP7, "op10_embedding_near_dedup": _OP10}
+# The CRC of every byte value, and the CRC-32 of a text's UTF-8 bytes beside that table.
+_CRC_TABLE = (
+    "(SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: "
+    "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS tab)"
+)
+_CASE = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _crc(text: str) -> str:
+    byte = f"CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT)"
+    bytes_ = f"list_transform(range(octet_length(encode({text}))), lambda i: {byte})"
+    return f"xor(list_reduce({bytes_}, lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+_OP11 = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')), {_CASE}) AS run
+  FROM documents
+), counted AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS keyed, run, count(*) AS n FROM runs GROUP BY ALL
+), hashed AS (
+  SELECT run, n, {_crc('keyed')} AS h FROM counted, {_CRC_TABLE}
+), thinned AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM thinned WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), shorter AS MATERIALIZED (
+  SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), holed AS (
+  SELECT word, n, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS hole FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM holed a JOIN holed b ON a.hole = b.hole AND a.word <> b.word
+  UNION ALL SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON s.less = w.word
+  UNION ALL SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON s.less = w.word
+), best AS (
+  SELECT word, CAST(count(*) AS BIGINT) AS n_near, max(n) AS most, arg_min(other, (-n, other)) AS other FROM near GROUP BY word
+), tied AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * n THEN other END AS form, CASE WHEN most >= 2 * n THEN most END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), climbed AS (
+  SELECT word, word AS at, form FROM tied UNION ALL SELECT c.word, t.word, t.form FROM climbed c JOIN tied t ON c.form = t.word
+)
+SELECT tied.word, tied.form, climbed.at AS root, n, n_near, form_n FROM tied JOIN climbed ON climbed.word = tied.word AND climbed.form IS NULL
+"""
+
+_OP12 = rf"""
+WITH words AS (
+  SELECT 's' AS side, doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), {_CASE}), '{_ALNUM}') AS w FROM documents
+  UNION ALL
+  SELECT 't', NULL, row_number() OVER (),
+    regexp_extract_all(translate(coalesce(text, ''), {_CASE}), '{_ALNUM}') FROM benchmark
+), runs AS MATERIALIZED (
+  SELECT side, r, array_to_string(w[i : i + k - 1], ' ') AS feature FROM (
+    SELECT side, r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest([1, 2, 3]) AS k))
+), hashed AS MATERIALIZED (
+  SELECT feature, {_crc('feature')} % 10000 AS bucket FROM (SELECT DISTINCT feature FROM runs), {_CRC_TABLE}
+), counts AS (
+  SELECT bucket, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t FROM runs JOIN hashed USING (feature) GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * (sum(s) OVER () + 10000) / ((s + 1.0::DOUBLE) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain FROM counts
+), weights AS (
+  SELECT r, CAST(count(*) AS BIGINT) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+  FROM runs JOIN hashed USING (feature) JOIN gains USING (bucket) WHERE side = 's' GROUP BY r
+), scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296))) AS BIGINT) AS score
+  FROM words LEFT JOIN weights USING (r) WHERE side = 's'
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) FILTER (n_words >= 20) OVER () AS fit FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * fit // 100 THEN place END AS rank FROM ranked
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_url_filter": _OP4, "op6_source_mixing": _OP6, "op7_exact_dedup": _OP7, "op10_embedding_near_dedup": _OP10,
+    "op11_spelling_variants": _OP11, "op12_importance_resampling": _OP12,
+}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendspark.llm import bpe, embeddings, exact_dedup, importance, licenses, mixing, ppm, quality, simhash, spelling, suffixes, urls
+from lendspark.llm import bpe, embeddings, exact_dedup, importance, licenses, mixing, partitions, ppm, quality, simhash, spelling, suffixes, urls
 from lendspark.llm.common import documents, table
 
 
@@ -61,11 +61,15 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partitions.nearest(table(spark, sf_dir, "embeddings")).drop("recall")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_quality_classifier, op3_simhash_near_dedup, op4_url_filter, op5_byte_bpe, op6_source_mixing,
         op7_exact_dedup, op8_repeated_passages, op9_ppm_score, op10_embedding_near_dedup, op11_spelling_variants,
-        op12_importance_resampling,
+        op12_importance_resampling, op13_nearest_neighbours,
     )
 }
