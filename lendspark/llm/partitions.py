@@ -38,6 +38,7 @@ NEIGHBOURS = 10
 AUDITED = 256
 RECALL = 0.95
 FIRST_WIDTH = 64
+FIRST_ROUND = 8
 STUCK = 0.9  # a part with more of its node than this is not split again
 SPARE = 4
 _AT_ONCE = 512
@@ -278,13 +279,15 @@ def _leaves_needed(asking: DataFrame, members: DataFrame, models: list[DataFrame
 
 
 def _meet(wanted: int, stock: pa.Table, asking: pa.Table) -> pa.Table:
-    """The `wanted` nearest members of a leaf for each of its queries; ties to the member with the smallest id."""
+    """The `wanted` nearest members of a leaf for each of its queries, as far as they reach its `floor`; ties to the
+    member with the smallest id."""
     schema = pa.schema([("query", pa.int64()), ("unit", pa.int64()), ("low", pa.int64()), ("held", pa.int64()), ("score", pa.float64())])
     if not stock.num_rows or not asking.num_rows:
         return schema.empty_table()
     stock = stock.sort_by("low")
     rows, (unit, low, held) = _matrix(stock.column("vec")), (stock.column(c).to_numpy() for c in ("unit", "low", "held"))
     queries, own = _matrix(asking.column("vec")), asking.column("unit").to_numpy()
+    floor = asking.column("floor").combine_chunks().fill_null(-np.inf).to_numpy()
     found = []
     for i in range(0, len(queries), _AT_ONCE):
         some = queries[i : i + _AT_ONCE]
@@ -294,14 +297,15 @@ def _meet(wanted: int, stock: pa.Table, asking: pa.Table) -> pa.Table:
             score += some[:, j, None] * rows[top, j]
         keep = np.lexsort((top, -score), axis=-1)[:, :wanted]
         top, score = np.take_along_axis(top, keep, axis=1), np.take_along_axis(score, keep, axis=1)
-        query = np.repeat(own[i : i + _AT_ONCE], top.shape[1])
-        columns = [query, unit[top.ravel()], low[top.ravel()], held[top.ravel()], score.ravel()]
+        good = score >= floor[i : i + _AT_ONCE, None]
+        query = np.broadcast_to(own[i : i + _AT_ONCE, None], top.shape)[good]
+        columns = [query, *(x[top[good]] for x in (unit, low, held)), score[good]]
         found.append(pa.table([pa.array(c) for c in columns], schema=schema))
     return pa.concat_tables(found)
 
 
 def _compared(members: DataFrame, routed: DataFrame, wanted: int) -> DataFrame:
-    """(query, unit, low, held, score): the nearest members of all leaves a query was routed to, and how many ids they have."""
+    """(query, unit, low, held, score): the nearest members of each leaf a query was routed to, and how many ids they have."""
     chunks = lambda name: F.ceil(F.count("*") / F.lit(CHUNK)).cast("int").alias(name)
     counts = members.groupBy("node").agg(chunks("m_all")).join(routed.groupBy("node").agg(chunks("q_all")), "node")
     counts = small(counts)
@@ -309,29 +313,43 @@ def _compared(members: DataFrame, routed: DataFrame, wanted: int) -> DataFrame:
     m, q = (F.pmod(F.xxhash64("unit"), F.col(name)).cast("int") for name in ("m_all", "q_all"))
     ids = [F.col("ids")[0].alias("low"), F.size("ids").cast("long").alias("held")]
     stock = members.join(counts, "node").select("node", m.alias("m"), every("q_all").alias("q"), "unit", "vec", *ids)
-    asking = routed.join(counts, "node").select("node", every("m_all").alias("m"), q.alias("q"), "unit", "vec")
+    asking = routed.join(counts, "node").select("node", every("m_all").alias("m"), q.alias("q"), "unit", "vec", "floor")
     keys = ["node", "m", "q"]
     found = "query long, unit long, low long, held long, score double"
-    met = stock.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInArrow(partial(_meet, wanted), found)
-    return _best(met, "query", [F.desc("score"), F.asc("low")], wanted, "rank").drop("rank")
+    return stock.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInArrow(partial(_meet, wanted), found)
 
 
 def _search(asking: DataFrame, members: DataFrame, models: list[DataFrame], width: int, wanted: int) -> DataFrame:
-    """(query, unit, score) of the nearest `wanted` rows found; a query whose leaves hold fewer goes on to more leaves."""
+    """(query, unit, score) of the nearest `wanted` rows in the `width` most probable leaves of every query.
+
+    Leaves are compared in rounds, four times as many with every round. From the second on, a leaf gives only
+    members as near as the `wanted` best so far, so that a query has some `wanted` rows a round and not a leaf.
+    A query whose leaves hold fewer rows than `wanted` goes on to more leaves.
+    """
     leaves = 1 + sum(model.agg(F.sum("parts")).head()[0] for model in models)
-    whole = None
-    while True:
-        found = cut(_compared(members, cut(route(asking, models, width)), wanted))
-        part = found.select("query", "unit", "score")
-        if width >= leaves:
-            return part if whole is None else whole.unionByName(part)
-        rows = found.groupBy(F.col("query").alias("unit")).agg(F.sum("held").alias("rows")).where(F.col("rows") >= wanted)
-        asking = cut(asking.join(rows, "unit", "left_anti"))
-        part = part.join(rows.select(F.col("unit").alias("query")), "query", "left_semi")
-        whole = part if whole is None else whole.unionByName(part)
-        if asking.isEmpty():
-            return whole
-        width *= 4
+    routed = cut(route(asking, models, width))
+    best, done = None, 0
+    while done < width:
+        upto = min(width, max(FIRST_ROUND, 4 * done))
+        part = routed.where((F.col("place") > done) & (F.col("place") <= upto)).drop("place")
+        if best is None:
+            part = part.withColumn("floor", F.lit(None).cast("double"))
+        else:
+            floors = best.groupBy(F.col("query").alias("unit")).agg(F.when(F.count("*") >= wanted, F.min("score")).alias("floor"))
+            part = part.join(floors, "unit", "left")
+        found = _compared(members, part, wanted)
+        found = found if best is None else found.unionByName(best)
+        best = cut(_best(found, "query", [F.desc("score"), F.asc("low")], wanted, "rank").drop("rank"))
+        done = upto
+    part = best.select("query", "unit", "score")
+    if width >= leaves:
+        return part
+    full = best.groupBy(F.col("query").alias("unit")).agg(F.sum("held").alias("rows")).where(F.col("rows") >= wanted).select("unit")
+    short = cut(asking.join(full, "unit", "left_anti"))
+    if short.isEmpty():
+        return part
+    kept = part.join(full.withColumnRenamed("unit", "query"), "query", "left_semi")
+    return kept.unionByName(_search(short, members, models, 4 * width, wanted))
 
 
 def _units(rows: DataFrame, count: int) -> DataFrame:
