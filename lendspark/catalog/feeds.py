@@ -9,14 +9,17 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendspark.config import AML, BUREAU, FRAUD, PROFILE
 from lendspark.operators import bronze, silver
 from lendspark.session import scratch_path
+from lendspark.sources.json_arrays import scan_array_elements
 
 AS_OF = datetime(2024, 2, 1, tzinfo=timezone.utc)
 RUN_ID = "run_check"
@@ -170,6 +173,19 @@ FROM aml_feed""",
 _JSON_DOCUMENT_KEYS = 100  # customers per JSON document
 
 
+_TRICKY = '{"trace":{"note":"} ], [{ \\" , \\\\","path":[[1,{"a":{}}],"]"]},'
+
+
+def _in_brackets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of a task as one JSON array, as they come."""
+    started = False
+    for batch in batches:
+        lines = [("," if started or i else "[") + line for i, line in enumerate(batch.column(0).to_pylist())]
+        started = started or bool(lines)
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["]" if started else "[]"])], names=["value"])
+
+
 class Feeds:
     """The feeds of one scale directory, and the silver tables they stand for."""
 
@@ -232,6 +248,25 @@ class Feeds:
         row = F.struct(meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"))
         return parts.select(F.col("value").alias("line"), meta["file_name"].alias("raw_path"), row.alias("position"), F.lit(RUN_ID).alias("ingest_run_id"))
 
+    def deliver(self, folder: str, part: str) -> None:
+        """Write the documents of some customers below `folder`, each to a file of its own: every report, and screenings
+        and scores in JSON arrays of a hundred customers."""
+        bureau = f"SELECT text AS value FROM bureau_documents WHERE {part}"
+        arrays = "SELECT '[' || array_join(array_sort(collect_list(item)), ',') || ']' AS value FROM {items} WHERE {part} GROUP BY floor(k / 100)"
+        lists = {FRAUD: "fraud_items", AML: "aml_items"}
+        queries = {BUREAU: bureau} | {source: arrays.format(items=items, part=part) for source, items in lists.items()}
+        for source, sql in queries.items():
+            self.query(sql).write.mode("append").option("maxRecordsPerFile", 1).text(f"{folder}/{source}")
+
+    def array_files(self, items: str, column: str, source: str) -> DataFrame:
+        """The items written as JSON arrays, one per task whatever its size, and read back element by element: (line, raw_path,
+        position, ingest_run_id). Each item also holds an object and a text full of brackets, braces and quotes."""
+        landing = scratch_path(self.spark, "landing")
+        tricky = F.concat(F.lit(_TRICKY), F.expr(f"substr({column}, 2)"))
+        self.feed(items).select(tricky.alias("value")).mapInArrow(_in_brackets, "value string").write.text(f"{landing}/{source}")
+        elements = scan_array_elements(self.spark, f"{landing}/{source}", "*.txt")
+        return elements.select("line", F.col("name").alias("raw_path"), "position", F.lit(RUN_ID).alias("ingest_run_id"))
+
     def landed(self, source: str, files: DataFrame) -> DataFrame:
         return bronze.envelopes(files, source, RUN_ID, AS_OF)
 

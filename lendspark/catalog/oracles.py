@@ -100,9 +100,9 @@ _VECTOR_JSON = (
     f" dob := {_token('dob')}, email := {_token('email')}, emirate := {_token('emirate')}, emirates_id := emirates_id,"
     " fraud_available := fraud_available, fraud_decision := fraud_decision,"
     f" fraud_reason_codes := {_json_list('fraud_reason_codes')}, fraud_score := fraud_score, full_name := {_token('full_name')},"
-    " gross_annual_income := gross_annual_income, had_overdue_before := had_overdue_before, is_new_user := is_new_user,"
+    " gross_annual_income := gross_annual_income, had_overdue_before := CAST(had_overdue_before AS INT), is_new_user := CAST(is_new_user AS INT),"
     " kyc_age_days := kyc_age_days, num_bounced_cheques := num_bounced_cheques, num_court_cases := num_court_cases,"
-    f" num_open_court_cases := num_open_court_cases, payment_order_flag := payment_order_flag, phone := {_token('phone')},"
+    f" num_open_court_cases := num_open_court_cases, payment_order_flag := CAST(payment_order_flag AS INT), phone := {_token('phone')},"
     " product := product, score_range := score_range, total_bounced_cheques_amount := total_bounced_cheques_amount,"
     " total_claim_amount := total_claim_amount)) AS VARCHAR)"
 )
@@ -209,6 +209,25 @@ _CHAINED = {
     " FROM chain c JOIN placed p ON p.product = c.product AND p.segment = c.segment AND p.seq = c.seq + 1",
 }
 
+# One chain per product, row by row.
+_PLAIN = {
+    "in_line": "SELECT product, decision_id, head, tail, row_number() OVER (PARTITION BY product ORDER BY decision_id) AS seq FROM placed",
+    "plain": "SELECT product, seq, decision_id, repeat('0', 64) AS prev, sha256(head || repeat('0', 64) || tail) AS this FROM in_line WHERE seq = 1"
+    " UNION ALL SELECT n.product, n.seq, n.decision_id, p.this, sha256(n.head || p.this || n.tail)"
+    " FROM plain p JOIN in_line n ON n.product = p.product AND n.seq = p.seq + 1",
+}
+
+# Two batches, by odd and even customers; which of their segments were touched afterwards.
+_TREE = {
+    "halves": f"SELECT product, {_K} % 100 AS k, CAST({_K} % 2 + 1 AS BIGINT) AS batch, CAST({_SEGMENT} AS BIGINT) AS own FROM decided",
+    "ends": "SELECT product, max(own) AS last FROM halves WHERE batch = 1 GROUP BY product",
+    "in_tree": "SELECT h.*, CASE WHEN batch = 1 THEN own ELSE coalesce(last, -1) + 1 + own END AS segment FROM halves h LEFT JOIN ends USING (product)",
+    "cut_off": "SELECT max(segment) AS segment FROM in_tree WHERE product = 'bnpl'",
+    "tree_issues": "SELECT t.product, t.batch, t.segment,"
+    " CASE WHEN t.product = 'bnpl' AND t.segment = (SELECT segment FROM cut_off) THEN 'segment_missing' ELSE 'segment_altered' END AS kind"
+    " FROM in_tree t GROUP BY ALL HAVING bool_or(k IN (7, 12)) OR kind = 'segment_missing'",
+}
+
 # What was done to the stored chains, and hence which issues must be found.
 _ISSUES = {
     "marked": f"SELECT *, {_K} % 100 = 7 AS flipped, {_K} % 100 = 13 AS gone, {_K} % 100 = 21 AS edited FROM placed",
@@ -247,6 +266,12 @@ FROM fraud_items GROUP BY k // 100
 UNION ALL SELECT 'aml', 'callbacks_' || lpad(CAST(k // 100 AS VARCHAR), 9, '0') || '.json', '[' || string_agg(item, ',' ORDER BY item) || ']', 'json'
 FROM aml_items GROUP BY k // 100)"""
 
+_RUN = "CASE WHEN k % 3 = 0 THEN 'second' ELSE 'first' END"
+_DELIVERED = f"""(
+SELECT 'aecb' AS source, {_RUN} AS run, text FROM bureau_documents
+UNION ALL SELECT 'fraud', {_RUN}, '[' || string_agg(item, ',' ORDER BY item) || ']' FROM fraud_items GROUP BY k // 100, 2
+UNION ALL SELECT 'aml', {_RUN}, '[' || string_agg(item, ',' ORDER BY item) || ']' FROM aml_items GROUP BY k // 100, 2)"""
+
 _FACT_COLUMNS = (
     "decision_id, emirates_id, product, '2024-02-01 00:00:00' AS decision_ts, outcome, reason_codes, 'v1.0.0' AS engine_version,"
     " rule_pack_version, credit_score, fraud_score, aml_status"
@@ -298,6 +323,9 @@ ORACLES: dict[str, str] = {
     "bronze_idempotent": _with(
         f"SELECT source, count(*) AS files_landed, count(DISTINCT sha256(text)) AS unique_hashes FROM {_FILES} GROUP BY source"
     ),
+    "bronze_incremental": _with(
+        f"SELECT source, run AS ingest_run_id, sha256(text || chr(10)) AS content_sha256, count(*) AS files FROM {_DELIVERED} GROUP BY ALL"
+    ),
     "parse_bureau_xml": _with(
         f"SELECT {_REPORT_ID} AS report_id, cb_subject_id, report_date, emirates_id, full_name, dob, nationality, credit_score, score_range,"
         " payment_order_flag, num_bounced_cheques, total_bounced_cheques_amount, num_court_cases, num_open_court_cases, total_claim_amount,"
@@ -494,6 +522,19 @@ ORACLES: dict[str, str] = {
         " this AS this_snapshot_sha256 FROM chain",
         _CHAINED,
     ),
+    "snapshots_plain": _with("SELECT product, seq, decision_id, prev AS prev_snapshot_sha256, this AS this_snapshot_sha256 FROM plain", _PLAIN),
+    "newest_snapshots": _with(
+        "SELECT decision_id, product, '2024-02-01 00:00:00' AS decision_ts FROM decided WHERE outcome = 'DECLINE' ORDER BY decision_id LIMIT 500"
+    ),
+    "vector_archive": _with(
+        "SELECT emirates_id, product, '2024-02-01 00:00:00' AS as_of_ts, credit_score, gross_annual_income, is_new_user, aml_matched_lists FROM vectors"
+    ),
+    "silver_overwrite": _with("SELECT report_id, emirates_id, report_date, credit_score FROM bureau_feed WHERE credit_score < 600"),
+    "audit_reset": _with(
+        "SELECT product, count(*) AS snapshots, count(*) AS bodies, CAST(1 AS BIGINT) AS batches, repeat('0', 64) AS genesis,"
+        f" (SELECT count(DISTINCT vector_sha) FROM hashed WHERE {_K} % 2 = 1) AS vectors FROM hashed WHERE {_K} % 2 = 1 GROUP BY product"
+    ),
+    "chain_tree_verify": _with("SELECT product, batch, segment, kind, true AS in_full_check FROM tree_issues", _TREE),
     "chain_heads": _with(
         "SELECT product, this AS head, segment, CAST(1 AS BIGINT) AS batch FROM chain"
         " QUALIFY row_number() OVER (PARTITION BY product ORDER BY segment DESC, seq DESC) = 1",
@@ -520,3 +561,6 @@ ORACLES: dict[str, str] = {
     ),
     "replay_pii_invariant": _with("SELECT count(*) AS decisions, CAST(0 AS BIGINT) AS differing FROM decided"),
 }
+
+# The same records, delivered as arrays.
+ORACLES |= {"parse_fraud_array": ORACLES["parse_fraud"], "parse_aml_array": ORACLES["parse_aml"]}

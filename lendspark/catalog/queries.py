@@ -18,6 +18,7 @@ from lendspark.operators import (
     conflicts,
     decisions,
     keyed,
+    merkle,
     packs,
     quality,
     reports,
@@ -27,7 +28,8 @@ from lendspark.operators import (
 )
 from lendspark.plans import pipeline
 from lendspark.session import configure, cut, scratch_path
-from lendspark.sources.files import read_table
+from lendspark.sources.files import read_table, write_table
+from lendspark.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,6 +139,19 @@ def bronze_idempotent(f: Feeds) -> DataFrame:
     return bronze.summary(bronze.append_new(batch, store, day))
 
 
+@query
+def bronze_incremental(f: Feeds) -> DataFrame:
+    """Two deliveries and three runs of the landing stream: what each run read, by source and content."""
+    folder, store = scratch_path(f.spark, "landing"), scratch_path(f.spark, "bronze")
+    patterns = {source: "*.txt" for source in (BUREAU, FRAUD, AML)}
+    for run, part in (("first", "k % 3 <> 0"), ("second", "k % 3 = 0"), ("third", None)):
+        if part:
+            f.deliver(folder, part)
+        landing.land_files(f.spark, folder, store, run, AS_OF, patterns=patterns, files_per_batch=500)
+    landed = landing.read_landed(f.spark, store)
+    return landed.groupBy("source", "ingest_run_id", "content_sha256").agg(F.count("*").alias("files"))
+
+
 @query
 def parse_bureau_xml(f: Feeds) -> DataFrame:
     rows = silver.parse_bureau(f.landed(BUREAU, f.bureau_files()), AS_OF).rows
@@ -149,22 +164,38 @@ def bureau_rejects(f: Feeds) -> DataFrame:
     return rejects.select("source", "source_event_id", "reason")
 
 
+def _fraud_shown(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "provider_ref", "emirates_id", "phone", "email", "score", "decision", _text_list("reason_codes"), "model_version", _stamp("scored_at")
+    )
+
+
+def _aml_shown(rows: DataFrame) -> DataFrame:
+    return rows.select("callback_id", "emirates_id", "full_name", "dob", "status", _text_list("matched_lists"), _stamp("received_at"))
+
+
 @query
 def parse_fraud(f: Feeds) -> DataFrame:
     items = silver.line_items(f.record_files("fraud_items", "item", FRAUD), schemas.FRAUD_ITEM)
-    return silver.parse_fraud(items, strict=True).rows.select(
-        "provider_ref", "emirates_id", "phone", "email", "score", "decision", _text_list("reason_codes"),
-        "model_version", _stamp("scored_at"),
-    )
+    return _fraud_shown(silver.parse_fraud(items, strict=True).rows)
 
 
 @query
 def parse_aml(f: Feeds) -> DataFrame:
     items = silver.line_items(f.record_files("aml_items", "item", AML), schemas.AML_ITEM)
-    return silver.parse_aml(items, strict=True).rows.select(
-        "callback_id", "emirates_id", "full_name", "dob", "status", _text_list("matched_lists"),
-        _stamp("received_at"),
-    )
+    return _aml_shown(silver.parse_aml(items, strict=True).rows)
+
+
+@query
+def parse_fraud_array(f: Feeds) -> DataFrame:
+    items = silver.line_items(f.array_files("fraud_items", "item", FRAUD), schemas.FRAUD_ITEM)
+    return _fraud_shown(silver.parse_fraud(items, strict=True).rows)
+
+
+@query
+def parse_aml_array(f: Feeds) -> DataFrame:
+    items = silver.line_items(f.array_files("aml_items", "item", AML), schemas.AML_ITEM)
+    return _aml_shown(silver.parse_aml(items, strict=True).rows)
 
 
 @query
@@ -178,6 +209,15 @@ def validate_split(f: Feeds) -> DataFrame:
     return good.unionByName(bad)
 
 
+@query
+def silver_overwrite(f: Feeds) -> DataFrame:
+    """A whole table written over: nothing of the first delivery is left."""
+    store = scratch_path(f.spark, "silver")
+    dirty, clean = f.bureau(dirty=True).where("credit_score >= 600"), f.bureau().where("credit_score < 600")
+    write_table(dirty, store)
+    return write_table(clean, store).select("report_id", "emirates_id", "report_date", "credit_score")
+
+
 @query
 def profile_features(f: Feeds) -> DataFrame:
     return f.profile().select(
@@ -510,6 +550,22 @@ def decision_lookup(f: Feeds) -> DataFrame:
     return found.select("decision_id", "emirates_id", "product", "outcome", _text_list("reason_codes"))
 
 
+@query
+def newest_snapshots(f: Feeds) -> DataFrame:
+    """The list a person sees: at most 500 ids, newest first."""
+    listed = reports.decision_lookup(_facts(f), outcome="DECLINE", limit=500)
+    return listed.select("decision_id", "product", _stamp("decision_ts"))
+
+
+@query
+def vector_archive(f: Feeds) -> DataFrame:
+    """The vectors as lines of JSON, as they read back."""
+    path = scratch_path(f.spark, "vectors")
+    pipeline.archive_vectors(vectors.assemble(f.silver(), AS_OF), path)
+    back = f.spark.read.schema(schemas.VECTOR).json(path)
+    return back.select("emirates_id", "product", _stamp("as_of_ts"), "credit_score", "gross_annual_income", "is_new_user", _text_list("aml_matched_lists"))
+
+
 # --- data quality ---
 
 
@@ -578,6 +634,8 @@ def dq_persist(f: Feeds) -> DataFrame:
     tables = {k: cut(v) for k, v in _quality_tables(f).items()}
     for run_id in ("run_a", "run_b", "run_a"):
         quality.persist(quality.scorecard(tables, AS_OF, run_id), store)
+    one_rule = [rule for rule in quality.RULES if rule.rule_id == "aml_coverage"]
+    quality.persist(quality.scorecard(tables, AS_OF, "run_b", one_rule), store)
     stored = read_table(f.spark, store, schemas.DQ_RESULT)
     return stored.select("run_id", "rule_id", "checked", "failed", "status")
 
@@ -617,6 +675,13 @@ def snapshots(f: Feeds) -> DataFrame:
     )
 
 
+@query
+def snapshots_plain(f: Feeds) -> DataFrame:
+    """One chain per product, every snapshot pointing to the one before it."""
+    written = audit.write_snapshots(_decided(f), shards=1)
+    return written.select("product", "seq", "decision_id", "prev_snapshot_sha256", "this_snapshot_sha256")
+
+
 @query
 def chain_heads(f: Feeds) -> DataFrame:
     return audit.chain_heads(audit.snapshot_index(audit.write_snapshots(_decided(f))))
@@ -659,6 +724,21 @@ def chain_append_retry(f: Feeds) -> DataFrame:
     return sizes.join(kept, "product").join(found, "product", "left").fillna(0, ["issues"])
 
 
+@query
+def audit_reset(f: Feeds) -> DataFrame:
+    """A run that does not append starts all chains anew: what an earlier run stored is gone."""
+    decided = cut(_decided(f))
+    layout = pipeline.Layout(scratch_path(f.spark, "audit"))
+    pipeline.write_audit(decided, layout)
+    stored = pipeline.write_audit(decided.where(_customer_number() % 2 == 1), layout)
+    bodies = stored["bodies"].groupBy("product").agg(F.count("*").alias("bodies"))
+    found = stored["index"].groupBy("product").agg(
+        F.count("*").alias("snapshots"), F.max("batch").alias("batches"), F.min_by("prev_snapshot_sha256", F.struct("segment", "seq")).alias("genesis")
+    )
+    held = stored["vectors"].agg(F.count("*").alias("vectors"))
+    return found.join(bodies, "product").join(F.broadcast(held), how="cross")  # one row
+
+
 @query
 def chain_verify(f: Feeds) -> DataFrame:
     stored = _tampered(f)
@@ -672,6 +752,39 @@ def chain_verify_product(f: Feeds) -> DataFrame:
     return issues.select("decision_id", "product", "kind")
 
 
+_TREE_KEY = b"catalog"
+
+
+@query
+def chain_tree_verify(f: Feeds) -> DataFrame:
+    """Two batches under a tree, then outcomes changed, bodies removed and the end of a chain cut off: the segments that
+    each batch finds on its own, and whether verifying everything finds them too."""
+    decided = cut(_decided(f))
+    odd = _customer_number() % 2 == 1
+    first = cut(audit.write_snapshots(decided.where(~odd)))
+    second = cut(audit.write_snapshots(decided.where(odd), audit.chain_heads(audit.snapshot_index(first))))
+    none = f.spark.createDataFrame([], merkle.HEADS)
+    heads, stored = none, None
+    for rows in (first, second):
+        new = cut(merkle.leaves(audit.snapshot_index(rows), audit.snapshot_bodies(rows)))
+        added, _, ends = merkle.append(new, merkle.latest_heads(heads), _TREE_KEY)
+        heads, stored = cut(heads.unionByName(ends)), added if stored is None else cut(stored.unionByName(added))
+    k = _customer_number() % 100
+    both = first.unionByName(second)
+    last = both.where("product = 'bnpl'").agg(F.max("segment").alias("segment")).withColumn("product", F.lit("bnpl"))
+    both = cut(both.join(F.broadcast(last), ["product", "segment"], "left_anti"))  # one row
+    flipped = F.when(F.col("outcome") == "REFER", F.lit("APPROVE")).otherwise(F.lit("REFER"))
+    bodies = audit.snapshot_bodies(both).where(k != 12).withColumn("outcome", F.when(k == 7, flipped).otherwise(F.col("outcome")))
+    index = audit.snapshot_index(both)
+    own = None
+    for batch in (1, 2):
+        found = merkle.verify_batch(index, bodies, stored, heads, batch, _TREE_KEY)
+        own = found if own is None else own.unionByName(found)
+    whole = merkle.verify_all(index, bodies, stored, heads, _TREE_KEY).select("product", "segment", "kind", F.lit(True).alias("_all"))
+    joined = own.where("segment IS NOT NULL").join(whole, ["product", "segment", "kind"], "left")
+    return joined.select("product", "batch", "segment", "kind", F.coalesce("_all", F.lit(False)).alias("in_full_check"))
+
+
 @query
 def chain_issue_summary(f: Feeds) -> DataFrame:
     stored = _tampered(f)

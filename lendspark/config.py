@@ -34,6 +34,7 @@ SOURCE_FORMATS = {BUREAU: "xml", FRAUD: "json", AML: "json", PROFILE: "sqlite"}
 SOURCE_GLOBS = {BUREAU: "*.xml", FRAUD: "*.json", AML: "*.json", PROFILE: "*.db"}
 
 RECORD_GLOB = "*.jsonl"  # feeds with one record per line, of any size
+WHOLE_BYTES = 256 << 20  # a larger JSON array is read element by element, as one row could not hold it
 
 EID_PATTERN = r"^784-[0-9]{4}-[0-9]{7}-[0-9]$"
 NAME_FUZZY_THRESHOLD = 0.92

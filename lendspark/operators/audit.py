@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -53,11 +54,25 @@ def tokenise(vectors: DataFrame) -> DataFrame:
     return vectors.withColumns({field: pii_token(F.col(field)) for field in PII_FIELDS})
 
 
+# Fixed: these flags are hashed as 0 and 1, all others as false and true.
+_AS_NUMBERS = ("had_overdue_before", "is_new_user", "payment_order_flag")
+
+
 def vector_json(vectors: DataFrame) -> Column:
     """Canonical JSON of a vector's columns, timestamps as UTC text."""
     fields = {c: F.col(c) for c in VECTOR_COLUMNS}
     fields["as_of_ts"] = iso_timestamp(F.col("as_of_ts"))
-    return canonical_json(fields)
+    fields |= {c: F.col(c).cast("int") for c in _AS_NUMBERS}
+    return canonical_json(fields, doubles={name for name, kind in vectors.dtypes if kind == "double"})
+
+
+def _stored_vector(json: Column) -> Column:
+    """The vector of a stored text; its flags may be numbers or truth values."""
+    as_text = schemas.VECTOR
+    for flag in _AS_NUMBERS:
+        as_text = as_text.replace(f"{flag} boolean", f"{flag} string")
+    stored = F.from_json(json, as_text)
+    return reduce(lambda v, flag: v.withField(flag, v[flag].cast("boolean")), _AS_NUMBERS, stored)
 
 
 def hashed_vectors(decided: DataFrame) -> DataFrame:
@@ -141,8 +156,8 @@ def _fold_digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(*at, state.hexdigest())], columns=["product", "segment", "digest"])
 
 
-def _segment_digests(rows: DataFrame) -> DataFrame:
-    """(product, segment, digest) of rows that are dealt by product and segment already."""
+def segment_digests(rows: DataFrame) -> DataFrame:
+    """(product, segment, digest) of rows (product, segment, seq, _digest) that are dealt by product and segment already."""
     ordered = rows.sortWithinPartitions("product", "segment", "seq").select("product", "segment", "_digest")
     return ordered.mapInPandas(_fold_digests, "product string, segment bigint, digest string")
 
@@ -209,21 +224,22 @@ def write_snapshots(decided: DataFrame, heads: DataFrame | None = None, shards:
     `heads` (from `chain_heads`) continues existing chains; without it chains start at genesis.
     """
     placed = (
-        _with_starts(cut(_bodies(decided)), heads)
+        _with_starts(_bodies(decided), heads)
         .withColumn("start", F.coalesce("start", F.lit(GENESIS_HASH)))
         .withColumn("batch", F.coalesce("_batch", F.lit(0).cast("bigint")) + 1)
         .withColumn("segment", F.coalesce("_last", F.lit(-1).cast("bigint")) + 1 + _segment_of(shards))
         .withColumn("shards", F.lit(shards).cast("bigint"))
         .drop("_last", "_batch")
-        .repartition("product", "segment")
     )
     in_segment = Window.partitionBy("product", "segment").orderBy("decision_id")
-    numbered = placed.withColumn("seq", F.row_number().over(in_segment).cast("bigint"))
+    # Stored: three steps go on from here, and only the last needs the whole rows.
+    numbered = cut(placed.withColumn("seq", F.row_number().over(in_segment).cast("bigint")))
     starts = numbered.groupBy("product", "segment").agg(F.max("start").alias("start"))
-    segments = _segment_digests(numbered).join(starts, ["product", "segment"]).select("product", "segment", "start", "digest")
+    digests = segment_digests(numbered.select("product", "segment", "seq", "_digest").repartition("product", "segment"))
+    anchors = small(_anchored(digests.join(starts, ["product", "segment"]).select("product", "segment", "start", "digest")))
     chained = (
-        numbered.join(_anchored(segments), ["product", "segment"])
-        .select("product", "segment", "seq", "anchor", F.col("_head").alias("head"), F.col("_tail").alias("tail"))
+        numbered.select("product", "segment", "seq", F.col("_head").alias("head"), F.col("_tail").alias("tail"))
+        .join(anchors, ["product", "segment"])
         .repartition("product", "segment")
         .sortWithinPartitions("product", "segment", "seq")
         .mapInPandas(_fold_rows, f"product string, segment bigint, seq bigint, {_PREV} string, {_THIS} string")
@@ -250,70 +266,93 @@ def snapshot_bodies(snapshots: DataFrame) -> DataFrame:
 # --- verification -------------------------------------------------------------------------------
 
 
+def rehashed(index: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Index and bodies side by side, every body hashed again: (product, segment, seq, batch, decision_id, listed, present,
+    feature_vector_sha256, prev, stored, _digest, _rehashed). `listed` is the hash in the index, `stored` the one in the body."""
+    places = index.select("decision_id", "batch", F.col("product").alias("chain"), "segment", "seq", F.col(_THIS).alias("listed"))
+    # The body's own product is part of its text; the index decides which chain it stands in.
+    joined = _with_text(places.join(bodies.withColumn("present", F.lit(True)), ["decision_id", "batch"], "left"))
+    return joined.select(
+        F.col("chain").alias("product"), "segment", "seq", "batch", "decision_id", "listed", F.coalesce("present", F.lit(False)).alias("present"),
+        "feature_vector_sha256", F.col(_PREV).alias("prev"), F.col(_THIS).alias("stored"), "_digest",
+        F.sha2(F.concat("_head", F.col(_PREV), "_tail"), 256).alias("_rehashed"),
+    )
+
+
+def _short(digest: str) -> str:
+    return digest[:12] + ".."
+
+
+def _broken(pointer: str, expected: str) -> str:
+    return f"points to {_short(pointer)}, follows {_short(expected)}"
+
+
+_WALKED = "product string, segment bigint, batch bigint, decision_id string, kind string, detail string, prev string, last string, digest string"
+
+
+def _walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Along each segment in order: its issues, and at its end one row without a kind that says how it begins and
+    ends and what its rows hash to. A row that is not there is stepped over."""
+    at, first, last, state = None, None, None, hashlib.sha256()
+
+    def end() -> list[tuple]:
+        return [] if first is None else [(*at, first[0], first[1], None, None, first[2], last, state.hexdigest())]
+
+    for frame in frames:
+        out: list[tuple] = []
+        for row in frame.itertuples(index=False):
+            if (row.product, row.segment) != at:
+                out += end()
+                at, first, last, state = (row.product, row.segment), None, None, hashlib.sha256()
+            issue = (row.product, row.segment, row.batch, row.decision_id)
+            if not row.present:
+                out.append((*issue, MISSING_FILE, "no body is stored for this snapshot", None, None, None))
+                continue
+            if row.rehashed != row.stored:
+                out.append((*issue, HASH_MISMATCH, f"hashes to {_short(row.rehashed)}, stored as {_short(row.stored)}", None, None, None))
+            if first is None:
+                first = (row.batch, row.decision_id, row.prev)
+            elif row.prev != last:
+                out.append((*issue, CHAIN_BREAK, _broken(row.prev, last), None, None, None))
+            last = row.stored
+            state.update(row.digest.encode())
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in _WALKED.split(", ")])
+    yield pd.DataFrame(end(), columns=[c.split()[0] for c in _WALKED.split(", ")])
+
+
 def verify_chain(
     index: DataFrame, bodies: DataFrame, vectors: DataFrame, product: str | None = None
 ) -> DataFrame:
     """Every integrity issue of the stored chains: (decision_id, product, kind, detail).
 
-    Index and bodies meet once, and are then dealt by segment once: hashes are recomputed row by row, the
-    order check looks back to the last row of the segment that is there, and segments are tied together
-    over one narrow row each. A vector that is no longer stored is not an issue.
+    Index and bodies meet once and are dealt by segment once. What is left of a segment is its issues and one narrow
+    row, over which the segments are tied together. A vector that is no longer stored is not an issue.
     """
     if product is not None:
         index = index.where(F.col("product") == product)
         bodies = bodies.where(F.col("product") == product)
-    places = index.select("decision_id", "batch", F.col("product").alias("chain"), "segment", "seq")
-    # The body's own product is part of its text; the index decides which chain it stands in.
-    joined = _with_text(places.join(bodies.withColumn("_present", F.lit(True)), ["decision_id", "batch"], "left"))
-    rows = joined.select(
-        F.col("chain").alias("product"), "segment", "seq", "batch", "decision_id", "_present", "feature_vector_sha256", _PREV, _THIS, "_digest",
-        F.sha2(F.concat("_head", F.col(_PREV), "_tail"), 256).alias("_rehashed"),
-    ).repartition("product", "segment")
-    earlier = Window.partitionBy("product", "segment").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.last(_THIS, ignorenulls=True).over(earlier)
-
-    short = lambda c: F.concat(F.substring(c, 1, 12), F.lit("..."))
-    issue = lambda bad, kind, detail: F.when(
-        bad, F.struct(F.lit(kind).alias("kind"), detail.alias("detail"))
-    )
-
-    def broken(expected: Column) -> Column:
-        detail = F.concat(F.lit("prev "), short(F.col(_PREV)), F.lit(" != expected "), short(expected))
-        return issue(F.col(_PREV) != expected, CHAIN_BREAK, detail)
-
-    differs = F.concat(F.lit("recomputed "), short(F.col("_rehashed")), F.lit(" != stored "), short(F.col(_THIS)))
-    found = F.array(
-        issue(F.col("_present").isNull(), MISSING_FILE, F.lit("snapshot body not found")),
-        issue(F.col("_rehashed") != F.col(_THIS), HASH_MISMATCH, differs),
-        broken(F.col("_before")),
-    )
-    own = rows.withColumn("_before", before).select(
-        "decision_id", "product", F.inline(F.filter(found, lambda i: i.isNotNull()))
+    rows = rehashed(index, bodies).select(
+        "product", "segment", "seq", "batch", "decision_id", "present", "prev", "stored", F.col("_rehashed").alias("rehashed"), F.col("_digest").alias("digest")
     )
+    ordered = rows.repartition("product", "segment").sortWithinPartitions("product", "segment", "seq")
+    walked = cut(ordered.mapInPandas(_walk, _WALKED))
+    own = walked.where("kind IS NOT NULL").select("decision_id", "product", "kind", "detail")
 
-    present = rows.where("_present")
-    ends = present.groupBy("product", "segment").agg(
-        F.max("batch").alias("batch"),
-        F.min_by(F.struct("decision_id", _PREV), "seq").alias("first"),
-        F.max_by(_THIS, "seq").alias("last"),
-    )
-    segments = ends.join(_segment_digests(present), ["product", "segment"])
     along = Window.partitionBy("product").orderBy("segment")
     follows_batch = F.lag("batch").over(along) == F.col("batch")
-    opening = F.when(
-        follows_batch, F.sha2(F.concat(F.lag(f"first.{_PREV}").over(along), F.lag("digest").over(along)), 256)
-    ).otherwise(F.coalesce(F.lag("last").over(along), F.lit(GENESIS_HASH)))
-    tied = segments.select("product", "first.decision_id", F.col(f"first.{_PREV}").alias(_PREV), opening.alias("_opening"))
-    untied = tied.select("decision_id", "product", F.inline(F.array_compact(F.array(broken(F.col("_opening"))))))
-
-    altered = vectors.where(F.sha2("json", 256) != F.col("sha256")).select(
-        F.col("sha256").alias("feature_vector_sha256")
+    opening = F.when(follows_batch, F.sha2(F.concat(F.lag("prev").over(along), F.lag("digest").over(along)), 256)).otherwise(
+        F.coalesce(F.lag("last").over(along), F.lit(GENESIS_HASH))
     )
-    mismatched = present.join(altered, "feature_vector_sha256", "left_semi").select(
-        "decision_id",
-        "product",
-        F.lit(VECTOR_MISMATCH).alias("kind"),
-        F.lit("the stored vector hashes to another value").alias("detail"),
+    short = lambda c: F.concat(F.substring(c, 1, 12), F.lit(".."))
+    tied = walked.where("kind IS NULL").withColumn("_opening", opening).where(F.col("prev") != F.col("_opening"))
+    detail = F.concat(F.lit("points to "), short("prev"), F.lit(", follows "), short("_opening"))
+    untied = tied.select("decision_id", "product", F.lit(CHAIN_BREAK).alias("kind"), detail.alias("detail"))
+
+    altered = vectors.where(F.sha2("json", 256) != F.col("sha256")).select(F.col("sha256").alias("feature_vector_sha256"))
+    touched = bodies.select("decision_id", "batch", "feature_vector_sha256").join(small(altered), "feature_vector_sha256", "left_semi")
+    mismatched = index.select("decision_id", "batch", "product").join(small(touched.select("decision_id", "batch")), ["decision_id", "batch"], "left_semi")
+    mismatched = mismatched.select(
+        "decision_id", "product", F.lit(VECTOR_MISMATCH).alias("kind"), F.lit("the stored vector hashes to another value").alias("detail")
     )
     return own.unionByName(untied).unionByName(mismatched)
 
@@ -342,8 +381,7 @@ def require_intact(issues: DataFrame) -> None:
 
 def replay(bodies: DataFrame, vectors: DataFrame, packs: Iterable[RulePack] = PACKS) -> DataFrame:
     """Each snapshot decided again from its stored vector: original, replayed, and whether they match."""
-    fields = F.from_json("json", schemas.VECTOR)
-    stored = vectors.select(F.col("sha256").alias("feature_vector_sha256"), fields.alias("v"))
+    stored = vectors.select(F.col("sha256").alias("feature_vector_sha256"), _stored_vector(F.col("json")).alias("v"))
     rows = bodies.select(
         "decision_id", "product", "rule_pack_version", "outcome", "reason_codes", "feature_vector_sha256"
     ).join(stored, "feature_vector_sha256")

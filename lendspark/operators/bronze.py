@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendspark import schemas
-from lendspark.config import AML, FRAUD, SOURCE_FORMATS, SOURCES
+from lendspark.config import AML, FRAUD, SOURCE_FORMATS, SOURCE_GLOBS, SOURCES, WHOLE_BYTES
 from lendspark.operators.skew import small
-from lendspark.sources.files import read_table, scan_landing, scan_lines
+from lendspark.sources.files import large_arrays, read_table, scan_landing, scan_lines
+from lendspark.sources.json_arrays import scan_array_elements
 
 # Sources that may come with one record per line.
 RECORD_SOURCES = (FRAUD, AML)
@@ -19,25 +20,29 @@ RECORD_SOURCES = (FRAUD, AML)
 _IDENTITY = ["source", "ingest_date", "raw_path"]
 
 
-def envelopes(files: DataFrame, source: str, run_id: str, received_at: datetime) -> DataFrame:
-    """Provenance columns beside the raw content of `files` (path, content)."""
+def envelope_columns(source: Column, payload_format: Column, run_id: str, received_at: datetime) -> list[Column]:
+    """The columns of a landed file (path, content)."""
     name = F.element_at(F.split("path", "/"), -1)
     digest = F.sha2("content", 256)
-    ingest_date = received_at.date().isoformat()
-    stored_as = F.concat(
-        F.lit(f"bronze/{source}/ingest_date={ingest_date}/"), F.substring(digest, 1, 16), F.lit("_"), name
-    )
-    return files.where(F.col("content").isNotNull()).select(
+    day = F.lit(received_at.date().isoformat())
+    stored_as = F.concat(F.lit("bronze/"), source, F.lit("/ingest_date="), day, F.lit("/"), F.substring(digest, 1, 16), F.lit("_"), name)
+    return [
         F.regexp_replace(name, r"(?<=.)\.[^.]*$", "").alias("source_event_id"),
         F.lit(run_id).alias("ingest_run_id"),
         F.lit(received_at).cast("timestamp").alias("received_at"),
         digest.alias("content_sha256"),
         stored_as.alias("raw_path"),
-        F.lit(SOURCE_FORMATS[source]).alias("payload_format"),
-        "content",
-        F.lit(source).alias("source"),
-        F.lit(ingest_date).alias("ingest_date"),
-    )
+        payload_format.alias("payload_format"),
+        F.col("content"),
+        source.alias("source"),
+        day.alias("ingest_date"),
+    ]
+
+
+def envelopes(files: DataFrame, source: str, run_id: str, received_at: datetime) -> DataFrame:
+    """Provenance columns beside the raw content of `files` (path, content)."""
+    columns = envelope_columns(F.lit(source), F.lit(SOURCE_FORMATS[source]), run_id, received_at)
+    return files.where(F.col("content").isNotNull()).select(*columns)
 
 
 def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
@@ -70,6 +75,27 @@ def land(spark: SparkSession, landing: str, bronze: str, run_id: str, received_a
     return append_new(batch, bronze, received_at.date().isoformat())
 
 
+def _delivered_as(source: Column, day: str) -> Column:
+    """The name a delivery (name, size, modified) is stored under."""
+    delivery = F.concat_ws("_", F.col("size").cast("string"), F.unix_micros("modified").cast("string"), F.col("name"))
+    return F.concat(F.lit("bronze/"), source, F.lit(f"/ingest_date={day}/"), delivery)
+
+
+def record_columns(source: Column, run_id: str, received_at: datetime) -> list[Column]:
+    """The columns of a landed line (line, name, size, modified, position)."""
+    day = received_at.date().isoformat()
+    return [
+        F.lit(run_id).alias("ingest_run_id"),
+        F.lit(received_at).cast("timestamp").alias("received_at"),
+        F.sha2("line", 256).alias("content_sha256"),
+        _delivered_as(source, day).alias("raw_path"),
+        F.col("position"),
+        F.col("line"),
+        source.alias("source"),
+        F.lit(day).alias("ingest_date"),
+    ]
+
+
 def land_records(spark: SparkSession, landing: str, store: str, run_id: str, received_at: datetime) -> None:
     """Land the line-delimited feeds, record by record, each with the hash of its content.
 
@@ -77,24 +103,35 @@ def land_records(spark: SparkSession, landing: str, store: str, run_id: str, rec
     """
     day = received_at.date().isoformat()
     known = read_records(spark, store).where(F.col("ingest_date") == day).select("source", "raw_path").distinct()
-    delivery = F.concat_ws("_", F.col("size").cast("string"), F.unix_micros("modified").cast("string"), F.col("name"))
     batch = None
     for source in RECORD_SOURCES:
-        rows = scan_lines(spark, landing, source).where(F.trim("line") != "").select(
-            F.lit(run_id).alias("ingest_run_id"),
-            F.lit(received_at).cast("timestamp").alias("received_at"),
-            F.sha2("line", 256).alias("content_sha256"),
-            F.concat(F.lit(f"bronze/{source}/ingest_date={day}/"), delivery).alias("raw_path"),
-            "position",
-            "line",
-            F.lit(source).alias("source"),
-            F.lit(day).alias("ingest_date"),
-        )
+        lines = scan_lines(spark, landing, source).where(F.trim("line") != "")
+        rows = lines.select(*record_columns(F.lit(source), run_id, received_at))
         batch = rows if batch is None else batch.unionByName(rows)
     fresh = batch.join(small(known), ["source", "raw_path"], "left_anti")
     fresh.write.mode("append").partitionBy("source", "ingest_date").parquet(store)
 
 
+def land_arrays(
+    spark: SparkSession, landing: str, store: str, run_id: str, received_at: datetime, larger_than: int = WHOLE_BYTES
+) -> None:
+    """Land JSON arrays of more than `larger_than` bytes element by element, as `land_records` does with lines.
+
+    A delivery that was landed before on the same day adds nothing; if all were, no file is opened.
+    """
+    day = received_at.date().isoformat()
+    for source in RECORD_SOURCES:
+        stored_as = _delivered_as(F.lit(source), day)
+        known = read_records(spark, store).where((F.col("ingest_date") == day) & (F.col("source") == source)).select("raw_path").distinct()
+        delivered = large_arrays(spark, landing, source, larger_than).select(stored_as.alias("raw_path"))
+        if delivered.join(small(known), "raw_path", "left_anti").isEmpty():
+            continue
+        elements = scan_array_elements(spark, f"{landing}/{source}", SOURCE_GLOBS[source], larger_than)
+        rows = elements.select(*record_columns(F.lit(source), run_id, received_at))
+        fresh = rows.join(small(known), "raw_path", "left_anti")
+        fresh.select(*rows.columns).write.mode("append").partitionBy("source", "ingest_date").parquet(store)
+
+
 def read_records(spark: SparkSession, store: str) -> DataFrame:
     return read_table(spark, store, schemas.BRONZE_RECORDS)
 

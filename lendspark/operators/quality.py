@@ -14,10 +14,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendspark import schemas
 from lendspark.config import AML, AML_STATUSES, BUREAU, FRAUD, PROFILE, WARN_THRESHOLDS
 from lendspark.functions.text import iso_date, valid_eid
 from lendspark.operators.keyed import latest_per_key
 from lendspark.operators.resolve import EVENT_IDS
+from lendspark.operators.skew import small
+from lendspark.session import cut
+from lendspark.sources.files import read_table
 
 MUST_PASS = "MUST_PASS"
 WARN = "WARN"
@@ -272,8 +276,19 @@ def samples(
 
 
 def persist(results: DataFrame, path: str) -> None:
-    """Store a run's results; a run stored again replaces its own rows and no others."""
-    results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+    """Store results under (run_id, rule_id): a rule stored again replaces its own row of that run and no other.
+
+    The rows of these runs that are not replaced are staged with the new ones, and the runs' partitions are then swapped;
+    other runs are not touched. Of rows that share a key within `results` the last evaluated one counts.
+    """
+    spark = results.sparkSession
+    key = ["run_id", "rule_id"]
+    newest = Window.partitionBy(*key).orderBy(F.desc("evaluated_at"), F.desc("failed"))
+    fresh = cut(results.withColumn("_place", F.row_number().over(newest)).where("_place = 1").drop("_place"))
+    stored = read_table(spark, path, schemas.DQ_RESULT)
+    kept = stored.join(small(fresh.select("run_id").distinct()), "run_id", "left_semi").join(small(fresh.select(*key)), key, "left_anti")
+    staged = cut(fresh.select(*stored.columns).unionByName(kept))
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
 
 
 def verdict(results: DataFrame) -> DataFrame:

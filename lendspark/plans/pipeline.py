@@ -20,6 +20,7 @@ from lendspark.operators.skew import small
 from lendspark.session import configure, cut, scratch
 from lendspark.sources.files import read_table, write_table
 from lendspark.sources.profile_db import read_profile_tables
+from lendspark.streaming import landing as stream
 
 
 @dataclass(frozen=True)
@@ -155,6 +156,11 @@ def build_gold(
     }
 
 
+def archive_vectors(features: DataFrame, path: str) -> None:
+    """The vectors once more as lines of JSON, nulls included, for readers without Parquet."""
+    features.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
 def read_audit(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return {
         "index": read_table(spark, layout.path("audit", "snapshot_index"), schemas.SNAPSHOT_INDEX),
@@ -202,17 +208,21 @@ def run(
     append_audit: bool = False,
     since: str | None = None,
     profile: Mapping[str, DataFrame] | None = None,
+    incremental: bool = False,
+    archive: bool = False,
 ) -> dict[str, DataFrame]:
     """Land, parse, resolve, check, decide, snapshot and verify. Returns every stored table.
 
     `as_of` stands for "now" throughout, so a run can be repeated with the same results. The records of all
     landed days count, and the last one per customer wins over days too; each day is parsed once, and `since`
     (an ISO date) leaves out the days before it. `profile` gives the day's users, applications and instalments
-    as DataFrames; without it they are read from the profile databases that landed that day, if any.
+    as DataFrames; without it they are read from the profile databases that landed that day, if any. With `incremental`
+    a stream lands only files it has not seen (`streaming.landing`), in tables of its own; an installation keeps to one way.
+    With `archive` the vectors are also kept as lines of JSON.
     """
     configure(spark)
     with scratch(spark):
-        return _run(spark, landing, Layout(root), as_of, run_id, strict, use_er_links, append_audit, since, profile)
+        return _run(spark, landing, Layout(root), as_of, run_id, strict, use_er_links, append_audit, since, profile, incremental, archive)
 
 
 def _run(
@@ -226,17 +236,25 @@ def _run(
     append_audit: bool,
     since: str | None,
     profile: Mapping[str, DataFrame] | None,
+    incremental: bool,
+    archive: bool,
 ) -> dict[str, DataFrame]:
-    today = bronze.land(spark, landing, layout.path("bronze"), run_id, as_of)
-    stored = bronze.read_bronze(spark, layout.path("bronze"))
+    day = as_of.date().isoformat()
+    if incremental:
+        stored = stream.land_files(spark, landing, layout.path("bronze_files"), run_id, as_of).drop(stream.BATCH)
+        records = stream.land_lines(spark, landing, layout.path("bronze_lines"), run_id, as_of).drop(stream.BATCH)
+        today = stored.where(F.col("ingest_date") == day)
+        bronze.land_arrays(spark, landing, layout.path("bronze_records"), run_id, as_of)
+        records = records.unionByName(bronze.read_records(spark, layout.path("bronze_records")))
+    else:
+        today = bronze.land(spark, landing, layout.path("bronze"), run_id, as_of)
+        stored = bronze.read_bronze(spark, layout.path("bronze"))
+        bronze.land_records(spark, landing, layout.path("bronze_records"), run_id, as_of)
+        bronze.land_arrays(spark, landing, layout.path("bronze_records"), run_id, as_of)
+        records = bronze.read_records(spark, layout.path("bronze_records"))
     if since is not None:
-        stored = stored.where(F.col("ingest_date") >= since)
+        stored, records = (raw.where(F.col("ingest_date") >= since) for raw in (stored, records))
     tables = {"bronze_summary": bronze.summary(today)}
-    bronze.land_records(spark, landing, layout.path("bronze_records"), run_id, as_of)
-    records = bronze.read_records(spark, layout.path("bronze_records"))
-    if since is not None:
-        records = records.where(F.col("ingest_date") >= since)
-    day = as_of.date().isoformat()
     documents, records = (_pending(spark, raw, layout, day) for raw in (stored, records))
     if profile is None:
         profile = delivered_profile(spark, landing, _profile_databases(today))
@@ -244,6 +262,8 @@ def _run(
     tables |= build_resolution(tables, layout, as_of)
     tables["dq_result"] = check_quality(tables, layout, as_of, run_id)
     tables |= build_gold(tables, layout, as_of, run_id, use_er_links)
+    if archive:
+        archive_vectors(read_table(spark, layout.path("gold", "decision_input_vector"), schemas.VECTOR), layout.path("gold", "decision_input_vector_json"))
     tables |= write_audit(tables["decided"], layout, append_audit)
     issues = audit.verify_chain(tables["index"], tables["bodies"], tables["vectors"])
     audit.require_intact(issues)

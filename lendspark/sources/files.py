@@ -6,9 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.config import RECORD_GLOB, SOURCE_GLOBS
+from lendspark.config import RECORD_GLOB, SOURCE_FORMATS, SOURCE_GLOBS, WHOLE_BYTES
 
-_BINARY_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+BINARY_FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -18,18 +18,31 @@ def _missing(error: AnalysisException) -> bool:
 def scan_landing(spark: SparkSession, landing: str, source: str) -> DataFrame:
     """The landed files of one source as (path, modificationTime, length, content).
 
-    One row holds one file, so a file must stay below 2 GB; larger feeds come with one record per line,
-    and `scan_lines` reads them.
+    One row holds one file. JSON arrays above WHOLE_BYTES are left to `json_arrays.scan_array_elements`, any other
+    file must stay below 2 GB.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", SOURCE_GLOBS[source])
     try:
-        return reader.load(f"{landing}/{source}")
+        files = reader.load(f"{landing}/{source}")
+        return files.where(F.col("length") <= WHOLE_BYTES) if SOURCE_FORMATS[source] == "json" else files
     except AnalysisException as error:
         if _missing(error):
-            return spark.createDataFrame([], _BINARY_FILES)
+            return spark.createDataFrame([], BINARY_FILES)
         raise
 
 
+def large_arrays(spark: SparkSession, landing: str, source: str, larger_than: int = WHOLE_BYTES) -> DataFrame:
+    """(name, size, modified) of the JSON arrays that `scan_landing` leaves out; nothing of them is read."""
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", SOURCE_GLOBS[source]).load(f"{landing}/{source}")
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        files = spark.createDataFrame([], BINARY_FILES)
+    name = F.element_at(F.split("path", "/"), -1).alias("name")
+    return files.where(F.col("length") > larger_than).select(name, F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
 def scan_lines(spark: SparkSession, landing: str, source: str) -> DataFrame:
     """The lines of a source's line-delimited feeds: (line, name, size, modified, position). Large files are split."""
     meta = F.col("_metadata")
