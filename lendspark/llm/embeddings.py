@@ -3,15 +3,15 @@
 1. Equal vectors are collapsed, however many there are, and compared once.
 2. Centroids are fitted to a bounded sample; there are at most `CENTROIDS`, so they fit every executor. Each
    vector has its home in the shard of the nearest one, and is a member of every shard whose centroid is
-   nearly as close (`slack`). A shard of more than `PART` vectors is cut into parts, whatever its size.
+   nearly as close (`slack`), at most `OVERLAP` of them. A shard of more than `PART` vectors is cut into parts, whatever its size.
 3. Every part gets a flat graph: close candidates of a vector are pruned so that each kept neighbour leads in
    a direction of its own. Then the adjacency lists that a vector has in its shards are united.
 4. A vector queries all parts of its home shard: a greedy search finds its surroundings, and as long as it
    finds vectors in range, it goes on through their neighbours. As a large group of near copies has no edges
-   but to itself, the search starts from a place in every component of the edges that are close to the range.
+   but to itself, the search starts from the medoid and from a place in every group that the edges close to the range form.
    Cosines are computed in double precision, and only links that reach the threshold are counted.
 5. An audit compares bounded samples of vectors, with few links and with many, with all rows. Below `RECALL`,
-   slack and beam are doubled and the search is done again; after `ATTEMPTS` searches all vectors are compared
+   slack, overlap and beam are doubled and the search is done again; after `ATTEMPTS` searches all vectors are compared
    with all. The recall reached comes with the result.
 
 Parts meet queries in groups of bounded size, each of which sends back counts and a spanning forest of its
@@ -40,6 +40,7 @@ PER_CENTROID = 400
 SAMPLE = 16_384
 PART = 4096
 SLACK = 1.2  # over the root of the dimension: what separates close vectors points anywhere
+OVERLAP = 4
 BEAM = 48
 DEGREE = 24
 ALPHA = 1.2
@@ -80,7 +81,7 @@ def fit_centroids(sample: np.ndarray, count: int, rounds: int = 6) -> np.ndarray
     return centroids
 
 
-def _assign(shared, slack: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _assign(shared, slack: float, overlap: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     centroids = shared.value
     for batch in batches:
         if not batch.num_rows:
@@ -88,7 +89,10 @@ def _assign(shared, slack: float, batches: Iterator[pa.RecordBatch]) -> Iterator
         near = _unit(_matrix(batch.column(1))) @ centroids.T
         home = near.argmax(axis=1)
         best = near[np.arange(len(near)), home]
-        row, shard = np.nonzero(near >= best[:, None] - slack)
+        close = near >= best[:, None] - slack
+        if overlap < near.shape[1]:  # the nearest ones, so that a vector's shards do not multiply with the centroids
+            close &= near >= -np.partition(-near, overlap - 1, axis=1)[:, overlap - 1 : overlap]
+        row, shard = np.nonzero(close)
         is_home = pa.array(shard == home[row])
         taken = batch.take(pa.array(row))
         yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int64)), is_home, *taken.columns], names=["shard", "home", "node", "vec", "n"])
@@ -135,8 +139,8 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _entries(vectors: np.ndarray, edges: tuple[np.ndarray, ...], reach: float) -> np.ndarray:
-    """One place of every component that the edges of at least `reach` form: a group of near copies that has no
-    edge out, or a few that no search follows, is entered as well. Loose vectors are components of their own."""
+    """The medoid, and one place of every component of two or more that the edges of at least `reach` form: a group of
+    near copies that has no edge out, or a few that no search follows, is entered as well."""
     _, size, flat = edges
     source = np.repeat(np.arange(len(vectors)), size)
     parent = np.arange(len(vectors))
@@ -144,7 +148,9 @@ def _entries(vectors: np.ndarray, edges: tuple[np.ndarray, ...], reach: float) -
         a, b = source[i : i + _EDGES_AT_ONCE], flat[i : i + _EDGES_AT_ONCE]
         close = np.einsum("ij,ij->i", vectors[a], vectors[b]) >= reach
         unite(parent, a[close], b[close])
-    return np.flatnonzero(parent == np.arange(len(vectors)))
+    held = np.bincount(parent, minlength=len(vectors))
+    medoid = int(np.argmax(vectors @ vectors.mean(axis=0)))
+    return np.union1d(np.flatnonzero(held > 1), [medoid])
 
 
 def _greedy(
@@ -222,11 +228,11 @@ def _search(threshold: float, beam: int, group: pd.DataFrame) -> pd.DataFrame:
     return _forest(own, counts, every, parent)
 
 
-def _links(vectors: DataFrame, centroids: np.ndarray, threshold: float, slack: float, beam: int) -> DataFrame:
+def _links(vectors: DataFrame, centroids: np.ndarray, threshold: float, slack: float, overlap: int, beam: int) -> DataFrame:
     """(node, links, root) of the distinct vectors (node, vec, n): counts, and links that connect the linked."""
     shared = vectors.sparkSession.sparkContext.broadcast(centroids)
     schema = f"shard long, home boolean, node long, {vectors.schema['vec'].name} {vectors.schema['vec'].dataType.simpleString()}, n long"
-    members = vectors.select("node", "vec", "n").mapInArrow(partial(_assign, shared, slack), schema)
+    members = vectors.select("node", "vec", "n").mapInArrow(partial(_assign, shared, slack, overlap), schema)
     members = cut(members)
     # A row per shard, and there are at most CENTROIDS.
     sizes = members.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
@@ -290,13 +296,14 @@ def _compare(shared, threshold: float, batches: Iterator[pa.RecordBatch]) -> Ite
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n @ hit), pa.array(n @ together)], names=["node", "true", "together"])
 
 
-def _audit(whole: DataFrame, threshold: float) -> float:
+def _audit(whole: DataFrame, threshold: float) -> float | None:
     """The recall of the worst class of vectors, by comparing some with all others.
 
     At most AUDITED vectors are drawn of each number of digits of the links found, and as many of those without
     any, so that neither hot groups nor loose vectors crowd out the rest. A vector's recall is the share of its
     true links that was found, or the share that its component holds if that is less. Classes are the powers
-    of two of the true links; a class has the mean of its vectors, each standing for those it was drawn from.
+    of two of the true links; a class has the mean of its vectors, each standing for those it was drawn from. None if
+    no vector drawn has a true link: then nothing was measured, and nothing is claimed.
     """
     digits = F.when(F.col("links") == 0, 0).otherwise(F.least(F.length(F.col("links").cast("string")), F.lit(4)))
     layered = whole.withColumn("layer", digits)
@@ -310,7 +317,7 @@ def _audit(whole: DataFrame, threshold: float) -> float:
     true, together = np.array([sums[i] for i in own.tolist()], dtype=np.int64).T
     linked = np.flatnonzero(true > 0)
     if not len(linked):
-        return 1.0
+        return None
     recall = np.minimum(np.minimum(mine, true), together)[linked] / true[linked]
     weight = np.array([held[k] / np.count_nonzero(layer == k) for k in layer.tolist()])[linked]
     class_ = np.frexp(true[linked].astype(np.float64))[1]
@@ -325,18 +332,18 @@ def _one_length(rows: DataFrame, threshold: float) -> DataFrame:
     sample = vectors.orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).select("vec").toArrow()
     wanted = min(CENTROIDS, -(-count // PER_CENTROID))
     centroids = fit_centroids(_unit(_matrix(sample.column("vec"))), wanted)
-    slack, beam = SLACK / np.sqrt(centroids.shape[1]), BEAM
+    slack, overlap, beam = SLACK / np.sqrt(centroids.shape[1]), OVERLAP, BEAM
     for _ in range(ATTEMPTS):
-        whole = _tied(vectors, cut(_links(vectors, centroids, threshold, slack, beam)))
+        whole = _tied(vectors, cut(_links(vectors, centroids, threshold, slack, overlap, beam)))
         recall = _audit(whole, threshold)
-        if recall >= RECALL:
+        if recall is None or recall >= RECALL:
             break
-        slack, beam = 2 * slack, 2 * beam
+        slack, overlap, beam = 2 * slack, 2 * overlap, 2 * beam
     else:
         whole, recall = _tied(vectors, cut(_exact(vectors, threshold))), 1.0
     lowest = whole.groupBy("root").agg(F.min("low").alias("component_id"))
     n_links = F.col("links") + F.col("n") - 1
-    return whole.join(lowest, "root").select("vec", n_links.alias("n_links"), "component_id", F.lit(recall).alias("recall"))
+    return whole.join(lowest, "root").select("vec", n_links.alias("n_links"), "component_id", F.lit(recall).cast("double").alias("recall"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
@@ -346,7 +353,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     that repeat a vector included. Vectors that are null, empty, zero or hold a null or non-finite component
     link with nothing: they are their own component. Vectors of different lengths never link. Null ids are
     linked, and name a component only if no member has an id. Other columns are not read; an empty table
-    gives no rows. `recall` is what the audit found.
+    gives no rows. `recall` is what the audit found, null where none of the vectors drawn has a link.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
     good = usable(F.col("vec"))

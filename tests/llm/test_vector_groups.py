@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from lendspark.llm import embeddings
@@ -48,3 +49,29 @@ def test_lost_small_groups_are_noticed_and_found(spark, monkeypatch):
     got = sorted(map(tuple, embeddings.near_duplicates(df).collect()))
     first = np.concatenate([np.repeat(np.cumsum((0, *sizes[:-1])), sizes), np.arange(sum(sizes), len(rows))])
     assert [r[:3] for r in got] == list(zip(ids, true_links(rows).tolist(), first.tolist()))
+
+
+def test_loose_vectors_are_no_entries():
+    rows = grouped((5, 2), loose=600)
+    vectors = embeddings._unit(rows)
+    lists = embeddings.robust_prune(vectors @ vectors.T)
+    size = np.array([len(x) for x in lists])
+    doors = embeddings._entries(vectors, (np.cumsum(size) - size, size, np.concatenate(lists)), embeddings.THRESHOLD - 0.05)
+    assert 3 <= len(doors) < 0.05 * len(rows)
+    assert {0, 5} <= set(doors.tolist())
+
+
+def test_an_audit_that_saw_no_link_claims_nothing(spark):
+    rows = grouped((), loose=300)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    found = embeddings.near_duplicates(df)
+    assert {r["recall"] for r in found.collect()} == {None} and found.where("n_links > 0").count() == 0
+
+
+def test_a_vector_is_in_a_bounded_number_of_shards():
+    rows = grouped((), loose=200)
+    centroids = embeddings._unit(grouped((), loose=64))
+    batch = pa.RecordBatch.from_pydict({"node": list(range(200)), "vec": rows.tolist(), "n": [1] * 200})
+    shared = type("Shared", (), {"value": centroids})
+    members = pa.Table.from_batches(embeddings._assign(shared, 10.0, 4, iter([batch])))
+    assert members.num_rows == 800 and sum(members.column("home").to_pylist()) == 200
