@@ -166,10 +166,12 @@ def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     """The rows of `df` as the mix repeats them, with all their columns; cases as in `mix`.
 
     A document comes as often as the mix takes its words, to the nearest whole number: the one document
-    that a source's last block cuts is in if half of it is.
+    that a source's last block cuts is in if half of it is. Copies lie in the order of their output shard and of their position in
+    it, so that those of one document stand apart and every stretch of the output is mixed.
     """
     whole = split_row(df, [id_col, text_col, source_col])
     rows = cut(whole.select(F.col("_row").alias("row"), F.col("_0").cast("long").alias("id"), F.col("_2").alias("source"), _size("_1")))
-    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    copies = draw(rows).where("size > 0").select(F.col("row").alias("_row"), times.alias("times")).where("times > 0")
-    return whole.join(copies, "_row").select("_doc", F.explode(F.sequence(F.lit(1), "times"))).select("_doc.*")
+    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")  # the passes that take all of it come first
+    taken = draw(rows).where("size > 0").select(F.col("row").alias("_row"), F.explode(F.slice("draws", F.lit(1), times)).alias("_copy"))
+    copies = whole.join(taken, "_row").select("_doc", "_copy.shard", "_copy.position")
+    return copies.repartitionByRange("shard", "position").sortWithinPartitions("shard", "position").select("_doc.*")

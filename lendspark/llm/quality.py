@@ -196,14 +196,15 @@ def is_held_out(id_col: str | Column) -> Column:
 @lean
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = _feature_rows(batch.column(1))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(rows), pa.list_(pa.float64()))], names=["label", "values"])
+        rows = pa.array(list(_feature_rows(batch.column(3))), pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], rows], names=["id", "label", "hash", "values"])
 
 
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """Fit on the rows of `labels` (same id column; quality 0 or 1) that are not held out.
 
-    Labels that are null, or that contradict each other for one id, are left out.
+    Labels that are null, or that contradict each other for one id, are left out. Of several rows with one id, that of
+    the smallest text hash is learned from, so that no id outweighs the others and `sample` bounds what reaches the driver.
     """
     known = (
         labels.where(F.col(id_col).isNotNull() & F.col("quality").isin(0, 1) & ~is_held_out(id_col))
@@ -214,8 +215,10 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", F.col("label").cast("long").alias("label"))
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     # The sample is bounded by its parameter: at most 20,000 pairs of numbers are broadcast.
-    learned = texts.join(F.broadcast(chosen), "id").select("label", "text")
-    rows = learned.mapInArrow(_sample_features, "label long, values array<double>").toPandas()
+    learned = texts.join(F.broadcast(chosen), "id").select("id", "label", F.xxhash64("text").alias("hash"), "text")
+    measured = learned.mapInArrow(_sample_features, "id long, label long, hash long, values array<double>")
+    first = F.min(F.struct("hash", "values", "label")).alias("first")
+    rows = measured.groupBy("id").agg(first).select("first.label", "first.values").toPandas()
     values = np.array(rows["values"].tolist(), dtype=np.float64).reshape(len(rows), len(FEATURES))
     order = np.lexsort(values.T)  # the model must not hang on the order of arrival
     return fit(values[order], rows["label"].to_numpy(dtype=np.float64)[order])

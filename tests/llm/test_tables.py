@@ -117,6 +117,17 @@ def test_mixed_rows_repeat_whole_rows(spark):
     assert mixing.mixed_rows(no_documents(spark)).count() == 0
 
 
+def test_copies_lie_in_the_order_of_shard_and_position(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 40)
+    table = [(i, prose(i, 20), "b" if i % 10 else "a") for i in range(200)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, source string")
+    drawn = {r["doc_id"]: r for r in mixing.mix(docs).collect()}
+    out = [r["doc_id"] for r in mixing.mixed_rows(docs).collect()]
+    want = [(d["shard"], d["position"], i) for i, r in drawn.items() for d in r["draws"][: round(r["taken"] / r["size"])]]
+    assert out == [i for _, _, i in sorted(want)]
+    assert max(Counter(out).values()) == 3 and sum(a == b for a, b in zip(out, out[1:])) < len(out) / 10
+
+
 def test_order_over_partitions(spark):
     df = spark.range(500).selectExpr("(id * 7919) % 1000 AS v")
     got = mixing.in_order(df.repartition(6), ["v"], "rank").collect()

@@ -176,6 +176,16 @@ def test_quality_separates_junk(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_an_id_with_a_third_of_all_rows_counts_once(spark):
+    table = [(i, prose(i, 30) if i % 2 else "AB!! CD!! " * 20) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality long")
+    once = spark.createDataFrame(table, "doc_id long, text string")
+    hot = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 5 and i % 2)
+    often = once.unionByName(spark.createDataFrame([(hot, table[hot][1])] * 200, "doc_id long, text string")).repartition(5)
+    scores = [[r["score"] for r in quality.score(once, quality.train(df, labels)).orderBy("doc_id").collect()] for df in (once, often)]
+    assert scores[0] == scores[1]
+
+
 def test_quality_of_awkward_tables(spark):
     docs = documents(spark, clashing=True)
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0), (8, None, None), (None, 1, 0), (13, 0, 0), (9, 1, 0)], "doc_id long, quality int, toxic int")
