@@ -517,6 +517,10 @@ ORACLES: dict[str, str] = {
     "vector_store": _with(
         f"SELECT substr(vector_sha, 1, 2) AS prefix, count(*) AS new_vectors FROM (SELECT DISTINCT vector_sha FROM hashed WHERE {_K} % 2 = 1) GROUP BY ALL"
     ),
+    "vector_store_sketch": _with(
+        "SELECT substr(vector_sha, 1, 2) AS prefix, count(*) AS new_vectors, CAST(0 AS BIGINT) AS stored_but_not_possible"
+        f" FROM (SELECT DISTINCT vector_sha FROM hashed WHERE {_K} % 2 = 1) GROUP BY ALL"
+    ),
     "snapshots": _with(
         "SELECT product, segment, seq, decision_id, vector_sha AS feature_vector_sha256, prev AS prev_snapshot_sha256,"
         " this AS this_snapshot_sha256 FROM chain",

@@ -16,6 +16,7 @@ from lendspark.operators import (
     audit,
     bronze,
     conflicts,
+    content_store,
     decisions,
     keyed,
     merkle,
@@ -666,6 +667,19 @@ def vector_store(f: Feeds) -> DataFrame:
     return fresh.groupBy("prefix").agg(F.count(F.lit(1)).alias("new_vectors"))
 
 
+@query
+def vector_store_sketch(f: Feeds) -> DataFrame:
+    """The same, telling most vectors apart by the sketch: what is new, and how many rows had to be looked up for it."""
+    decided = _decided(f)
+    half = cut(audit.vector_store_rows(audit.hashed_vectors(decided.where(_customer_number() % 2 == 0))))
+    rows = cut(audit.vector_store_rows(audit.hashed_vectors(decided)))
+    sketch = cut(content_store.sketch_of(half))
+    split = content_store.split_by_sketch(rows, sketch)
+    missed = split.where("NOT possible").join(half, "sha256", "left_semi").agg(F.count("*").alias("stored_but_not_possible"))
+    fresh = content_store.new_vectors(rows, half, sketch).groupBy("prefix").agg(F.count("*").alias("new_vectors"))
+    return fresh.join(F.broadcast(missed), how="cross")  # one row
+
+
 @query
 def snapshots(f: Feeds) -> DataFrame:
     written = audit.write_snapshots(_decided(f))

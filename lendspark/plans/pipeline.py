@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lendspark import schemas
 from lendspark.config import AML, BUREAU, FRAUD, PROFILE
-from lendspark.operators import audit, bronze, conflicts, decisions, quality, resolve, silver, vectors
+from lendspark.operators import audit, bronze, conflicts, content_store, decisions, quality, resolve, silver, vectors
 from lendspark.operators.skew import small
 from lendspark.session import configure, cut, scratch
 from lendspark.sources.files import read_table, write_table
@@ -169,6 +169,13 @@ def read_audit(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     }
 
 
+def _stored_sketch(vectors: DataFrame, layout: Layout) -> DataFrame:
+    """The sketch of the stored vectors; made once for a store that was written without one."""
+    path = layout.path("audit", "feature_vector_sketch")
+    sketch = read_table(vectors.sparkSession, path, content_store.SKETCH)
+    return write_table(content_store.sketch_of(vectors), path) if sketch.isEmpty() else sketch
+
+
 def write_audit(
     decided: DataFrame, layout: Layout, append: bool = False, shards: int = audit.SHARDS
 ) -> dict[str, DataFrame]:
@@ -186,8 +193,12 @@ def write_audit(
     snapshots = cut(audit.write_snapshots(decided, heads, shards))
     rows = audit.vector_store_rows(audit.hashed_vectors(decided))
     if append:
-        rows = audit.new_vectors(rows, stored["vectors"])
-    write_table(rows, layout.path("audit", "feature_vectors"), ("prefix",), "append" if append else "overwrite")
+        rows = content_store.new_vectors(rows, stored["vectors"], _stored_sketch(stored["vectors"], layout))
+    rows = cut(rows)
+    mode = "append" if append else "overwrite"
+    # The sketch comes first: a bit too many costs a lookup, a bit too few would store a vector twice.
+    write_table(content_store.sketch_of(rows), layout.path("audit", "feature_vector_sketch"), mode=mode)
+    write_table(rows, layout.path("audit", "feature_vectors"), ("prefix",), mode)
     # The index comes last: what it does not hold yet does not count as stored.
     for name, part in (("snapshot_bodies", audit.snapshot_bodies), ("snapshot_index", audit.snapshot_index)):
         writer = part(snapshots).write.mode("overwrite").partitionBy("dt", "product", "batch")
