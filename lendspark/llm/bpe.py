@@ -129,7 +129,11 @@ def _ids_digest() -> Column:
 
 
 def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document encoded and decoded again."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document encoded and decoded again.
+
+    A null text is an empty one: no tokens, and the digests of nothing. Repeated rows and rows without an id each give a row; other
+    columns are not read; an empty table gives no rows.
+    """
     decoded = decode(encode(df, ranks, pattern), ranks)
     return decoded.select(
         "doc_id",
