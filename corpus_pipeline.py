@@ -14,31 +14,48 @@ from lendspark.session import remove, scratch, scratch_path
 
 
 def good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the quality model rejects; it learns from the labelled ones not held out."""
+    """Drop the documents that the quality model rejects; it learns from the labelled ones not held out.
+
+    A null or empty text is judged as an empty one; repeated rows are judged alike; no documents, no rows. Without usable
+    labels all documents have the same score, the model's base.
+    """
     prepare(spark)
     return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of equal texts."""
+    """Keep one document of each group of equal texts.
+
+    Null, empty and blank texts are equal. The longest text stays, then the smallest id, null ids last; of repeated rows one.
+    """
     prepare(spark)
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group linked by close fingerprints."""
+    """Keep one document of each group linked by close fingerprints.
+
+    Texts without words are one group. The smallest id stays, null ids last; of repeated rows one.
+    """
     prepare(spark)
     return simhash.drop_near_duplicates(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or leave out documents until every source has its target weight."""
+    """Repeat or leave out documents until every source has its target weight.
+
+    Texts without words are left out; a null source is a source; repeated rows and rows without an id are drawn like others.
+    """
     prepare(spark)
     return mixing.mixed_rows(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, with the digests that show they decode to it."""
+    """Token ids of every text, with the digests that show they decode to it.
+
+    A null text is an empty one, with no tokens; repeated rows and rows without an id each give a row. In all stages other
+    columns go along, whatever their names; here, in the last, they are dropped.
+    """
     prepare(spark)
     return bpe.round_trip(docs, *bpe.public_tokenizer(spark))
 
@@ -51,7 +68,7 @@ STAGES = [
     ("byte-level BPE", encoded),
 ]
 
-# The classifier and the fingerprints have no SQL form; tests/llm compares the stages with plain Python.
+# The classifier and the fingerprints have no SQL form; tests/llm compares the operators with plain Python, and the run with its stages.
 ORACLE_SQL = None
 
 
