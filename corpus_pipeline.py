@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendspark.llm import bpe, exact_dedup, mixing, quality, simhash
+from lendspark.llm import bpe, exact_dedup, mixing, near_copies, quality
 from lendspark.llm.common import documents, prepare, table
 from lendspark.session import remove, scratch, scratch_path
 
@@ -33,12 +33,13 @@ def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group linked by close fingerprints.
+    """Keep one document of each group whose shingles of five words have a similarity of 0.8 or more.
 
-    Texts without words are one group. The smallest id stays, null ids last; of repeated rows one.
+    Fingerprints in BK-trees find the candidates, as for op3, but at a radius for this similarity. Texts without words are
+    one group. The smallest id stays, null ids last; of repeated rows one.
     """
     prepare(spark)
-    return simhash.drop_near_duplicates(docs)
+    return near_copies.drop_near_copies(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
