@@ -9,9 +9,11 @@ decides and counts the edits. A place begins and ends with whole words.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -69,26 +71,33 @@ def _places(text: str, piece: str) -> Iterator[int]:
         at = text.find(piece, at + 1)
 
 
-def _windows(text: str, notice: str) -> Iterator[tuple[int, int]]:
-    """Stretches of whole words that hold every place of the notice, none overlapping another."""
-    slack = edits_of(notice)
-    spans = []
-    for offset, piece in pieces(notice):
-        for at in _places(text, piece):
-            low, high = at - offset - slack, at - offset + len(notice) + slack
-            begin = text.rfind(" ", 0, max(0, low) + 1) + 1
-            end = text.find(" ", max(0, high))
-            spans.append((begin, len(text) if end < 0 else end))
-    last = None
-    for begin, end in sorted(spans):
-        if last and begin <= last[1]:
-            last = (last[0], max(last[1], end))
-        else:
-            if last:
-                yield last
-            last = (begin, end)
-    if last:
-        yield last
+class _Words:
+    """Where the words of a text of words begin, found once and only if asked for."""
+
+    def __init__(self, text: str):
+        self.text = text
+
+    @cached_property
+    def starts(self) -> np.ndarray:
+        letters = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        return np.concatenate([[0], np.flatnonzero(letters == ord(" ")) + 1])
+
+    def number(self, at: int) -> int:
+        """The number of the word that holds the character `at`."""
+        return int(np.searchsorted(self.starts, at, side="right")) - 1
+
+    def near(self, places: np.ndarray, slack: int) -> np.ndarray:
+        """Beginnings of words that are no further than `slack` characters from one of the places, which may lie outside."""
+        low = np.searchsorted(self.starts, places - slack)
+        counts = np.searchsorted(self.starts, places + slack, side="right") - low
+        offsets = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        return np.unique(self.starts[np.repeat(low, counts) + offsets])
+
+
+def _starts(words: _Words, notice: str) -> np.ndarray:
+    """Beginnings of words at which the notice may stand: an unchanged piece is where it would put it, edits apart."""
+    places = [at - offset for offset, piece in pieces(notice) for at in _places(words.text, piece)]
+    return words.near(np.array(places, dtype=np.int64), edits_of(notice)) if places else np.empty(0, dtype=np.int64)
 
 
 def words_of(text: bytes) -> str:
@@ -97,36 +106,45 @@ def words_of(text: bytes) -> str:
 
 def base_places(text: str) -> list[tuple[int, str]]:
     """(first word, label) of every exact place of a base phrase in a text of words; places may overlap."""
-    found = []
+    found, words = [], _Words(text)
     for phrase, label in BASE.items():
         _, seed = pieces(phrase)[0]
         for at in _places(text, seed):
             end = at + len(phrase)
             if text[at:end] == phrase and (at == 0 or text[at - 1] == " ") and (end == len(text) or text[end] == " "):
-                found.append((text.count(" ", 0, at), label))
+                found.append((words.number(at), label))
     return sorted(found)
 
 
-def _best_places(window: str, notice: str) -> list[regex.Match]:
+def _best_places(words: _Words, notice: str) -> list[regex.Match]:
     """The best place from every word on; of places that overlap the one with the fewest edits, then the first."""
-    starts = [0, *(at + 1 for at in _places(window, " "))]
-    matches = [m for m in (_matcher(notice).match(window, at) for at in starts) if m]
-    chosen: list[regex.Match] = []
+    matches, reach = [], len(notice) + edits_of(notice)
+    for at in _starts(words, notice).tolist():
+        end = words.text.find(" ", at + reach)  # a blank ends a place as the end of the text does
+        match = _matcher(notice).match(words.text, at, len(words.text) if end < 0 else end)
+        if match:
+            matches.append(match)
+    begins: list[int] = []  # of the chosen places, which are apart from each other
+    chosen: dict[int, regex.Match] = {}
     for match in sorted(matches, key=lambda m: (sum(m.fuzzy_counts), m.start())):
-        if all(match.end() <= other.start() or other.end() <= match.start() for other in chosen):
-            chosen.append(match)
-    return chosen
+        next_ = bisect_right(begins, match.start())
+        if next_ and chosen[begins[next_ - 1]].end() > match.start():
+            continue
+        if next_ < len(begins) and begins[next_] < match.end():
+            continue
+        begins.insert(next_, match.start())
+        chosen[match.start()] = match
+    return list(chosen.values())
 
 
 def spans_of(text: str) -> list[dict]:
     """The verified places of all notices in a text of words; those of one notice do not overlap."""
-    found = []
+    found, words = [], _Words(text)
     for notice, label in (*BASE.items(), *NOTICES.items()):
-        for begin, end in _windows(text, notice):
-            for match in _best_places(text[begin:end], notice):
-                first = text.count(" ", 0, begin + match.start())
-                words = match.group().strip().count(" ") + 1
-                found.append({"label": label, "notice": notice, "first_word": first, "words": words, "edits": sum(match.fuzzy_counts)})
+        for match in _best_places(words, notice):
+            size = match.group().strip().count(" ") + 1
+            first = words.number(match.start())
+            found.append({"label": label, "notice": notice, "first_word": first, "words": size, "edits": sum(match.fuzzy_counts)})
     return sorted(found, key=lambda s: (s["first_word"], s["notice"], s["words"]))
 
 
