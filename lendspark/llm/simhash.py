@@ -7,8 +7,8 @@ within the radius agree in two blocks at least. A fingerprint joins one shard fo
 linked pair meets in a shard, and each shard's tree goes only to the tasks of that shard's own queries.
 (The trees of the whole corpus have no size bound, so none of them is broadcast to all executors.)
 
-A shard with more than `SHARD` fingerprints is cut into several trees; its fingerprints then query all of
-these, each in a task of its own. Within a task, links are reduced to a spanning forest before they leave,
+A shard with more than `SHARD` fingerprints is cut into several parts, each with a tree; every two parts meet in
+a group of their own, of about two `SHARD`s at most. Within a task, links are reduced to a spanning forest before they leave,
 so a family of n near copies gives at most n links a shard, never all its pairs.
 """
 
@@ -90,13 +90,13 @@ def _shard_keys(fp: Column, radius: int) -> Column:
     return F.array(*keys)
 
 
-def _link_batch(shard: np.ndarray, fp: np.ndarray, probe: np.ndarray, radius: int) -> pa.RecordBatch:
-    """Spanning links of one run of whole shards; rows of a shard stand together, those of its tree first."""
-    tree = np.flatnonzero(~probe)
+def _link_batch(group: np.ndarray, fp: np.ndarray, probe: np.ndarray, asks: np.ndarray, radius: int) -> pa.RecordBatch:
+    """Spanning links of whole groups; rows of a group stand together, those of its tree first."""
+    tree, queries = np.flatnonzero(~probe), np.flatnonzero(asks)
     parent = np.arange(len(fp))
-    forest = Forest(fp[tree], shard[tree])
-    for query, node in forest.search(fp, shard, radius):
-        unite(parent, query, tree[node])
+    forest = Forest(fp[tree], group[tree])
+    for query, node in forest.search(fp[queries], group[queries], radius):
+        unite(parent, queries[query], tree[node])
     linked = np.flatnonzero(parent != np.arange(len(fp)))
     pairs = [pa.array(fp[linked].view(np.int64)), pa.array(fp[parent[linked]].view(np.int64))]
     return pa.RecordBatch.from_arrays(pairs, names=["a", "b"])
@@ -104,9 +104,8 @@ def _link_batch(shard: np.ndarray, fp: np.ndarray, probe: np.ndarray, radius: in
 
 @lean
 def _links(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows arrive sorted by shard and part. The last shard of a run is held back until it is complete; of one
-    whose queries outrun the run only the tree, which is bounded, is kept."""
-    held: list[np.ndarray] = [np.empty((4, 0), dtype=np.int64)]  # key, part, fp, probe
+    """Rows arrive sorted by group, which has a bounded size. The last one of a run is held back until it is complete."""
+    held: list[np.ndarray] = [np.empty((5, 0), dtype=np.int64)]  # key, left, right, fp, probe
     size = 0
 
     def columns(batch: pa.RecordBatch) -> np.ndarray:
@@ -114,8 +113,10 @@ def _links(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
     def link(rows: np.ndarray) -> pa.RecordBatch:
         change = np.zeros(rows.shape[1], dtype=np.int64)
-        change[1:] = (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)
-        return _link_batch(np.cumsum(change), rows[2].view(np.uint64), rows[3].astype(bool), radius)
+        change[1:] = (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)
+        probe = rows[4].astype(bool)
+        asks = probe | (rows[1] == rows[2])
+        return _link_batch(np.cumsum(change), np.ascontiguousarray(rows[3]).view(np.uint64), probe, asks, radius)
 
     for batch in batches:
         held.append(columns(batch))
@@ -123,15 +124,10 @@ def _links(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         if size < _ROWS_AT_ONCE:
             continue
         rows = np.concatenate(held, axis=1)
-        last = np.flatnonzero((rows[:2] == rows[:2, -1:]).all(axis=0))
-        if rows[3, -1]:  # the queries of a cut shard: link these, keep its tree for those to come
-            yield link(rows)
-            keep = rows[:, last[rows[3, last] == 0]]
-        else:
-            if last[0]:
-                yield link(np.ascontiguousarray(rows[:, : last[0]]))
-            keep = rows[:, last]
-        held, size = [keep], 0
+        last = int(np.flatnonzero((rows[:3] == rows[:3, -1:]).all(axis=0))[0])
+        if last:
+            yield link(rows[:, :last])
+        held, size = [rows[:, last:].copy()], 0
     rows = np.concatenate(held, axis=1)
     if rows.shape[1]:
         yield link(rows)
@@ -146,10 +142,16 @@ def links(prints: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFr
         lookup(keyed, shared, ["key"])
         .select("key", "fp", parts.alias("parts"))
         .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
-        .select("key", F.explode(F.sequence("own", F.col("parts") - 1)).alias("part"), "fp", "own")
-        .select("key", "part", "fp", (F.col("part") != F.col("own")).alias("probe"))
+        .select("key", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+        .select(
+            "key",
+            F.least("own", "other").alias("left"),
+            F.greatest("own", "other").alias("right"),
+            "fp",
+            (F.col("own") > F.col("other")).alias("probe"),
+        )
     )
-    near = dealt.repartition("key", "part").sortWithinPartitions("key", "part", "probe", "fp")
+    near = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "probe", "fp")
     return near.mapInArrow(partial(_links, radius), "a long, b long")
 
 
@@ -159,7 +161,7 @@ def _classes(rows: DataFrame, radius: int) -> DataFrame:
     tied = components(links(prints, radius))
     rooted = cut(prints.join(tied.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rooted.join(lowest, "root").select("fp", "root", "component_id")
+    return lookup(rooted, lowest, ["root"]).select("fp", "root", "component_id")
 
 
 def near_duplicates(
