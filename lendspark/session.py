@@ -51,20 +51,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/lendspark/{name}-{uuid.uuid4().hex}"
 
 
-_kept: list[list[str]] = []  # what `cut` stored, per open `scratch` block
+_kept: list[list[tuple[str, str | None]]] = []  # what was stored (path, table), per open `scratch` block
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables that `cut` stores inside the block are deleted at its end; nothing may read them afterwards."""
+    """What is stored with `cut` or named by `discard_later` inside the block is deleted at its end; nothing may read it then."""
     _kept.append([])
     try:
         yield
     finally:
-        for path in _kept.pop():
+        for path, table in _kept.pop():
+            if table:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
             remove(spark, path)
 
 
+def discard_later(path: str, table: str | None = None) -> None:
+    """Delete what is stored at `path`, and the catalog's `table` over it, at the end of the open `scratch` block, if any."""
+    if _kept:
+        _kept[-1].append((path, table))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a stored table, wherever its file system is."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -78,8 +86,7 @@ def cut(df: DataFrame) -> DataFrame:
     without column pruning and without a size to plan by.
     """
     path = scratch_path(df.sparkSession, "cut")
-    if _kept:
-        _kept[-1].append(path)
+    discard_later(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
