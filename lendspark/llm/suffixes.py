@@ -15,8 +15,10 @@ words holds at least one, about one position in sixteen in all.
    words that may still be repeats are grouped by their words.
 4. Matches of PASSAGE words or more are united to the passages of their document.
 
-Equal suffixes of a thousand copies are a thousand neighbours, not a million pairs. Neighbours on either
-side of a partition's border are compared in one more, small, step: a run or two per partition.
+A text that repeats a few words on and on selects equal grams on and on; those with the same words around them
+are one suffix with the distance to the last of them. Equal suffixes of a thousand copies are a thousand
+neighbours, not a million pairs. Neighbours on either side of a partition's border are compared in one more,
+small, step: a run or two per partition.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _ROWS_AT_ONCE = 1 << 16
 _WORDS_KEPT = 1 << 20
 
-_SUFFIX = "gram long, right binary, left binary, rlen int, llen int, id long, key long, at int"
+_SUFFIX = "gram long, right binary, left binary, rlen int, llen int, id long, key long, at int, more int"
 _FOUND = f"{_SUFFIX}, begin int, end int, other long, after int, before int, cover long, border boolean"
 
 
@@ -120,6 +122,30 @@ def _sides(words: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return right, left, np.minimum(len(words) - places - GRAM, SIDE), np.minimum(places, SIDE)
 
 
+def _chains(words: np.ndarray, places: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which places to keep, how far the last place of each one's chain lies behind it).
+
+    A chain is a series of places of one gram, no further apart than a passage, with the same words on both sides: in
+    a text that repeats a few words on and on, nearly all places. What matches one of them matches all, at the same distance.
+    """
+    order = np.lexsort((places, grams))
+    at, gram = places[order], grams[order]
+    same = np.zeros(len(order), dtype=bool)
+    same[1:] = (gram[1:] == gram[:-1]) & (at[1:] - at[:-1] <= PASSAGE)
+    whole = (at >= SIDE) & (at + GRAM + SIDE <= len(words))
+    same[1:] &= whole[1:] & whole[:-1]
+    asked = np.flatnonzero(same)
+    if len(asked):
+        around = np.lib.stride_tricks.sliding_window_view(words, GRAM + 2 * SIDE)
+        for begin in range(0, len(asked), _ROWS_AT_ONCE):
+            part = asked[begin : begin + _ROWS_AT_ONCE]
+            same[part] = (around[at[part] - SIDE] == around[at[part - 1] - SIDE]).all(axis=1)
+    first = np.flatnonzero(~same)
+    last = np.append(first[1:], len(order)) - 1
+    by_place = np.argsort(at[first], kind="stable")
+    return order[first][by_place], (at[last] - at[first])[by_place]
+
+
 @lean
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes, powers = _Hashes(), _Powers()
@@ -131,13 +157,15 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = np.isin(grams, wanted.values.to_numpy().view(np.uint64))
             places, grams = places[own], grams[own]
             short = (full >> np.uint64(32)).astype(np.uint32)
-            parts.append((grams, *_sides(short, places), np.full(len(places), row), places))
+            kept, more = _chains(short, places, grams)
+            places, grams = places[kept], grams[kept]
+            parts.append((grams, *_sides(short, places), np.full(len(places), row), places, more))
         if not parts:
             continue
-        grams, right, left, rlen, llen, row, places = (np.concatenate(x) for x in zip(*parts))
+        grams, right, left, rlen, llen, row, places, more = (np.concatenate(x) for x in zip(*parts))
         taken = batch.select([0, 1]).take(pa.array(row))
         columns = [pa.array(grams.view(np.int64)), _blobs(right), _blobs(left), pa.array(rlen.astype(np.int32)), pa.array(llen.astype(np.int32))]
-        yield pa.RecordBatch.from_arrays([*columns, *taken.columns, pa.array(places.astype(np.int32))], names=[c.split()[0] for c in _SUFFIX.split(", ")])
+        yield pa.RecordBatch.from_arrays([*columns, *taken.columns, *(pa.array(x.astype(np.int32)) for x in (places, more))], names=[c.split()[0] for c in _SUFFIX.split(", ")])
 
 
 def _blobs(rows: np.ndarray) -> pa.Array:
@@ -171,7 +199,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return np.flatnonzero(change)
 
     def results(rows: pa.Table, starts: np.ndarray, begin: int, end: int, borders: list[tuple[int, int]]) -> pa.RecordBatch:
-        gram, at, rlen, llen = (rows.column(c).to_numpy() for c in ("gram", "at", "rlen", "llen"))
+        gram, at, more, rlen, llen = (rows.column(c).to_numpy() for c in ("gram", "at", "more", "rlen", "llen"))
         ids = rows.column("id").to_pandas(integer_object_nulls=True).to_numpy(dtype=object)
         right, left = _numbers(rows.column("right")), _numbers(rows.column("left"))
         run = np.searchsorted(starts, np.arange(begin, end), side="right") - 1
@@ -193,7 +221,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mine, near, after, before = mine[long], near[long], after[long], before[long]
             cover[mine] |= (1 << (before + 1)) - (1 << (SIDE - after))
             low[mine] = np.minimum(low[mine], at[mine] - before)
-            high[mine] = np.maximum(high[mine], at[mine] + GRAM + after)
+            high[mine] = np.maximum(high[mine], at[mine] + more[mine] + GRAM + after)
             for i, j in zip(mine, near):
                 if ids[j] is not None and (other[i] is None or ids[j] < other[i]):
                     other[i] = int(ids[j])
@@ -268,14 +296,14 @@ def _crossed(suffixes: DataFrame, near: DataFrame) -> DataFrame:
     )
     steps = F.expr(f"explode(filter(sequence(0, {SIDE}), s -> (shiftleft(1L, s) & asked) != 0 AND s <= llen AND {SIDE} - s <= rlen)) AS s")
     words = F.expr(f"xxhash64(substring(`left`, 1, 4 * s), substring(`right`, 1, 4 * ({SIDE} - s))) AS words")
-    stretches = suffixes.join(small(asked), "gram").select("gram", "id", "key", "at", "left", "right", steps)
-    stretches = cut(stretches.select("gram", "s", words, "id", "key", "at"))
+    stretches = suffixes.join(small(asked), "gram").select("gram", "id", "key", "at", "more", "left", "right", steps)
+    stretches = cut(stretches.select("gram", "s", words, "id", "key", "at", "more"))
     doc = F.struct("id", "key")
     repeated = stretches.groupBy("gram", "s", "words").agg(F.min(doc).alias("low"), F.max(doc).alias("high")).where("NOT low <=> high")
     other = F.coalesce(F.when(~doc.eqNullSafe(F.col("low")), F.col("low.id")), F.when(~doc.eqNullSafe(F.col("high")), F.col("high.id")))
     begin = F.col("at") - F.col("s")
     return lookup(stretches, repeated, ["gram", "s", "words"]).select(
-        "id", "key", begin.alias("begin"), (begin + PASSAGE).alias("end"), other.alias("other")
+        "id", "key", begin.alias("begin"), (begin + PASSAGE + F.col("more")).alias("end"), other.alias("other")
     )
 
 
