@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendspark.llm.common import lean, scratch_path
+from lendspark.session import discard_later
 
 BLOCK_BYTES = 64 << 20
 CHUNK_WORDS = 1 << 20
@@ -125,6 +126,7 @@ def store_blocks(df: DataFrame, split: Callable[[bytes], list]) -> DataFrame:
     built = df.select("payload", "text", "learn").mapInArrow(partial(_build, split), _TYPES)
     path = scratch_path(df.sparkSession, "blocks")
     name = path.rpartition("/")[2].replace("-", "_")
+    discard_later(path, name)
     writer = built.write.option("path", path).option("compression", "zstd").option("parquet.block.size", str(32 << 20))
     writer.bucketBy(_buckets(df.sparkSession), "block").saveAsTable(name)
     return df.sparkSession.table(name)

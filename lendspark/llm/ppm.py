@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from lendspark.llm import blocks
 from lendspark.llm.common import cut, lean, scratch_path
+from lendspark.session import discard_later
 
 ORDER = 5
 SHARD_ROWS = 1_000_000
@@ -147,6 +148,7 @@ def shard_files(model: DataFrame) -> list[str]:
     placed = model.withColumn("shard", F.explode(F.when(order < 2, every).otherwise(F.array(own))))
     spark = model.sparkSession
     path = scratch_path(spark, "trie")
+    discard_later(path)
     sorted_ = placed.repartition("shard").sortWithinPartitions("shard", "kind", "key")
     sorted_.write.partitionBy("shard").parquet(path)
     files = {int(re.search(r"/shard=(\d+)/", f)[1]): f for f in spark.read.schema(placed.schema).parquet(path).inputFiles()}
