@@ -4,13 +4,12 @@ A similarity (Jaccard) of 0.8 over shingles of five words puts two 64-bit finger
 and nearly always within `RADIUS`. At that radius blocks of equal bits no longer tell near texts from others, so
 the trees are sharded by min-hashes instead: `BANDS` times, texts meet that agree in `ROWS` smallest hashes.
 Two texts of similarity s meet with probability 1 - (1 - s ** 3) ** 8: 0.997 at 0.8, 0.9998 at 0.87, and
-hardly ever (0.008) at 0.1. In each group a BK-tree of the fingerprints finds the candidates, and the sets of shingles
-decide: whole sets of up to `SKETCH` shingles, else the `SKETCH` smallest hashes of both texts together, whose
-share of common ones has a standard error of 0.025 at 0.8.
+hardly ever (0.008) at 0.1. In each group a BK-tree of the fingerprints finds the candidates, and the whole sets of
+shingles (32 bits of each hash) decide.
 
 Texts with equal sets of shingles are collapsed first. A group is compared only as far as its texts are not yet
-connected, and gives a spanning forest, never all its pairs. A group of more than `SHARD` sets is cut into
-parts, and every two parts meet in a task of their own.
+connected, and gives a spanning forest, never all its pairs. A group of more than `SHARD` shingles is cut into
+parts, and every two parts meet in a group of their own.
 """
 
 from __future__ import annotations
@@ -34,8 +33,9 @@ SIMILARITY = 0.8
 SHINGLE = 5
 RADIUS = 20
 BANDS, ROWS = 8, 3
-SKETCH = 256
-SHARD = 20_000
+# Shingles in a part of a group; a text counts as `_TEXT` more, so that the texts of a part are bounded, too.
+SHARD = 4_000_000
+_TEXT = 400
 _AT_ONCE = 1 << 16
 _BYTES_AT_ONCE = 32 << 20
 # Odd multipliers: each orders the hashes anew.
@@ -44,7 +44,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
 
-_SET = "row string, id long, digest long, fp long, size long, sketch binary, bands array<long>"
+_SET = "row string, id long, digest long, fp long, size long, hashes binary, bands array<long>"
 
 
 def shingles(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
@@ -92,9 +92,9 @@ def _sets(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         rows = []
         for text in pc.cast(batch.column(2), pa.binary()):
             hashes = shingles(text.as_py() or b"", shingle)
-            sketch = np.unique((hashes[:SKETCH] >> np.uint64(32)).astype(np.uint32))
+            short = np.unique((hashes >> np.uint64(32)).astype(np.uint32))
             digest = np.uint64(xxhash.xxh64_intdigest(hashes.tobytes())).view(np.int64)
-            rows.append((int(digest), _fingerprint(hashes), len(hashes), sketch.tobytes(), _bands(hashes)))
+            rows.append((int(digest), _fingerprint(hashes), len(short), short.tobytes(), _bands(hashes)))
         types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
         columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(types)]
         names = [column.split()[0] for column in _SET.split(", ")]
@@ -102,18 +102,15 @@ def _sets(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
 
 def shingle_sets(df: DataFrame, row: Column, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """(row, id, digest, fp, size, sketch, bands): the shingles of every text; a null text is empty."""
+    """(row, id, digest, fp, size, hashes, bands): the shingles of every text; a null text is empty."""
     narrow = df.select(row.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(partial(_sets, shingle), _SET)
 
 
-def resemblance(a: np.ndarray, size_a: int, b: np.ndarray, size_b: int) -> float:
-    """The similarity of two sets of sketches `a` and `b`; exact where both sketches hold whole sets."""
-    common = np.intersect1d(a, b, assume_unique=True)
-    if size_a <= SKETCH and size_b <= SKETCH:
-        return len(common) / max(1, len(a) + len(b) - len(common))
-    union = np.union1d(a, b)[:SKETCH]
-    return np.searchsorted(common, union[-1], side="right") / len(union)
+def resemblance(a: np.ndarray, b: np.ndarray) -> float:
+    """The similarity of two sets of hashes, each without repeats."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / max(1, len(a) + len(b) - common)
 
 
 def _forest(group: pa.Table, similarity: float, radius: int) -> pa.RecordBatch:
@@ -121,7 +118,7 @@ def _forest(group: pa.Table, similarity: float, radius: int) -> pa.RecordBatch:
     key, left, right, digest, fp, size, probe = (
         group.column(c).to_numpy() for c in ("key", "left", "right", "digest", "fp", "size", "probe")
     )
-    sketches = group.column("sketch").combine_chunks()
+    sets = group.column("hashes").combine_chunks()
     change = np.zeros(len(key), dtype=np.int64)
     change[1:] = (key[1:] != key[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
     shard, prints = np.cumsum(change), fp.view(np.uint64)
@@ -135,18 +132,15 @@ def _forest(group: pa.Table, similarity: float, radius: int) -> pa.RecordBatch:
         while len(a):
             apart = find(parent, a) != find(parent, b)
             a, b = a[apart], b[apart]
-            close = [
-                resemblance(_sketch(sketches, i), size[i], _sketch(sketches, j), size[j]) >= similarity
-                for i, j in zip(a[:step].tolist(), b[:step].tolist())
-            ]
-            linked = np.array(close, dtype=bool)
+            asked = zip(a[:step].tolist(), b[:step].tolist())
+            linked = np.array([resemblance(_set(sets, i), _set(sets, j)) >= similarity for i, j in asked], dtype=bool)
             unite(parent, a[:step][linked], b[:step][linked])
             a, b, step = a[step:], b[step:], 2 * step
     linked = np.flatnonzero(parent != np.arange(len(key)))
     return pa.RecordBatch.from_arrays([pa.array(digest[linked]), pa.array(digest[parent[linked]])], names=["a", "b"])
 
 
-def _sketch(column: pa.Array, row: int) -> np.ndarray:
+def _set(column: pa.Array, row: int) -> np.ndarray:
     return np.frombuffer(column[row].as_buffer(), dtype=np.uint32)
 
 
@@ -169,13 +163,14 @@ def _links(similarity: float, radius: int, batches: Iterator[pa.RecordBatch]) ->
 
 
 def links(sets: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
-    """(a, b): links that connect the distinct `digest`s of similar shingle sets."""
-    keyed = sets.select(F.explode("bands").alias("key"), "digest")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / F.lit(shard)).cast("int")
+    """(a, b): links that connect the `digest`s of similar shingle sets; a set may have several rows."""
+    keyed = sets.dropDuplicates(["digest"]).select(F.explode("bands").alias("key"), "digest", "size")
+    weight = F.sum(F.col("size") + _TEXT)
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), weight.alias("weight")).where("n > 1")
+    parts = F.ceil(F.col("weight") / F.lit(shard)).cast("int")
     own = F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")
     met = (
-        lookup(keyed, shared, ["key"])
+        lookup(keyed.drop("size"), shared, ["key"])
         .select("key", "digest", parts.alias("parts"))
         .withColumn("own", own)
         .select("key", "digest", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
@@ -187,8 +182,11 @@ def links(sets: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS,
             "digest",
         )
     )
-    wide = met.join(sets.select("digest", "fp", "size", "sketch"), "digest")
-    ordered = wide.select("key", "left", "right", "digest", "fp", "size", "sketch", "probe")
+    met = cut(met)
+    first = F.any_value(F.struct("fp", "size", "hashes")).alias("first")
+    asked = sets.join(met.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(first)
+    wide = met.join(asked.select("digest", "first.*"), "digest")
+    ordered = wide.select("key", "left", "right", "digest", "fp", "size", "hashes", "probe")
     ordered = ordered.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "probe", "digest")
     return ordered.mapInArrow(partial(_links, similarity, radius), "a long, b long")
 
@@ -212,9 +210,7 @@ def drop_near_copies(
     """
     whole = split_row(df, [id_col, text_col])
     rows = cut(shingle_sets(whole, F.col("_row"), "_0", "_1", shingle))
-    first = F.any_value(F.struct("fp", "size", "sketch", "bands")).alias("first")
-    sets = rows.groupBy("digest").agg(first).select("digest", "first.*")
-    tied = components(links(cut(sets), similarity, radius, shard))
+    tied = components(links(rows, similarity, radius, shard))
     rooted = lookup(rows.select("row", "id", "digest"), tied.withColumnRenamed("node", "digest"), ["digest"], "left")
     smallest = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))
     kept = rooted.groupBy(F.coalesce("root", "digest").alias("class")).agg(smallest.alias("kept")).select("kept.row")
